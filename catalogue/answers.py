@@ -1,0 +1,160 @@
+"""Ad-hoc SQL, summaries, routing and nearest rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from civitally.functions import fixed_values as fv
+from civitally.functions import text
+from civitally.operators import answers, cleaning as cl, counting as ct, vectors
+
+from . import sql_parts as sp
+from .counts import monthly_counts, yearly_counts
+from .places import area_counts, location_counts, share_by_label
+from .registry import query
+from .tables import crimes, read
+
+M = sp.MARTS
+_TYPED = (f"{sp.CRIMES.replace('crimes AS', 'clean_rows AS', 1)}, crimes AS (SELECT id, date,"
+          " TRY_CAST(year AS INTEGER) AS year, primary_type, location_description,"
+          " TRY_CAST(community_area AS INTEGER) AS community_area FROM clean_rows)")
+
+
+def _ad_hoc(spark, sf_dir, sql):
+    cl.typed_view(crimes(spark, sf_dir), "crimes")
+    return answers.ad_hoc(spark, sql)
+
+
+def _shape(name, sql):
+    @query(f"WITH {_TYPED} {sql.replace('WITH ', ', ', 1) if sql.startswith('WITH ') else sql}", name=name)
+    def run(spark, sf_dir):
+        return _ad_hoc(spark, sf_dir, sql)
+
+    return run
+
+
+_shape("ad_hoc_top_types",
+       "SELECT primary_type, COUNT(*) AS n FROM crimes GROUP BY primary_type ORDER BY n DESC, primary_type LIMIT 5")
+_shape("ad_hoc_day_count",
+       "SELECT COUNT(*) AS n FROM crimes WHERE month(date)=7 AND day(date)=4 AND year=2019")
+_shape("ad_hoc_cte",
+       "WITH t AS (SELECT community_area, COUNT(*) AS n FROM crimes GROUP BY 1)"
+       " SELECT * FROM t ORDER BY n DESC, community_area LIMIT 3")
+_shape("ad_hoc_top_labels",
+       "SELECT location_description, COUNT(*) AS n FROM crimes GROUP BY 1"
+       " ORDER BY n DESC, location_description LIMIT 10")
+
+
+_EXTREMES = """SELECT arg_max({label}, {measure}) AS highest_label, max({measure}) AS highest_value,
+  arg_min({label}, {measure}) AS lowest_label, min({measure}) AS lowest_value FROM ({source})"""
+
+
+@query(_EXTREMES.format(label="location_category", measure="total_crimes",
+                        source=M["crimes_by_location"] + " ORDER BY location_category"))
+def extremes(spark, sf_dir):
+    return answers.extremes(location_counts(spark, sf_dir), "location_category", "total_crimes")
+
+
+_SUMMARY = """SELECT count(*) AS rows_analyzed, CAST(sum({m}) AS BIGINT) AS total_count,
+  round(avg({m}), 2) AS average_count,
+  (SELECT CAST({l} AS VARCHAR) FROM src ORDER BY coalesce(nullif({m}, 0), '-inf'::DOUBLE) DESC, {l} NULLS FIRST LIMIT 1) AS highest_label,
+  (SELECT CAST(trunc(coalesce({m}, 0)) AS BIGINT) FROM src ORDER BY coalesce(nullif({m}, 0), '-inf'::DOUBLE) DESC, {l} NULLS FIRST LIMIT 1) AS highest_count,
+  (SELECT CAST({l} AS VARCHAR) FROM src ORDER BY coalesce(nullif({m}, 0), 'inf'::DOUBLE), {l} NULLS FIRST LIMIT 1) AS lowest_label,
+  (SELECT CAST(trunc(coalesce({m}, 0)) AS BIGINT) FROM src ORDER BY coalesce(nullif({m}, 0), 'inf'::DOUBLE), {l} NULLS FIRST LIMIT 1) AS lowest_count,
+  CASE WHEN avg({m}) > 0 THEN max({m}) / avg({m}) >= 1.2 ELSE false END AS stands_out FROM src"""
+
+
+@query(f"WITH src AS (SELECT community_area, CAST(total_crimes AS DOUBLE) AS v FROM ({M['community_area_crimes']})) "
+       + _SUMMARY.format(m="v", l="community_area"))
+def summarize(spark, sf_dir):
+    return answers.summarize(area_counts(spark, sf_dir), "community_area", "total_crimes")
+
+
+@query(f"WITH src AS (SELECT month, CAST(total_crimes AS DOUBLE) AS v FROM ({M['monthly_crimes']})) "
+       + _SUMMARY.format(m="v", l="month"))
+def summarize_months(spark, sf_dir):
+    return answers.summarize(monthly_counts(spark, sf_dir), "month", "total_crimes")
+
+
+@query(f"SELECT CAST(sum(total_thefts) AS BIGINT) AS total, round(avg(total_thefts), 2) AS average"
+       f" FROM ({M['theft_by_location']})")
+def count_stats(spark, sf_dir):
+    return answers.count_stats(share_by_label(spark, sf_dir), "total_thefts")
+
+
+@query(f"WITH src AS ({M['yearly_crimes']}) SELECT min(year) AS first_year, max(year) AS last_year,"
+       " arg_min(total_crimes, year) AS first_value, arg_max(total_crimes, year) AS last_value,"
+       " round((arg_max(total_crimes, year) / CAST(arg_min(total_crimes, year) AS DOUBLE) - 1) * 100, 6)"
+       " AS change_pct FROM src")
+def first_last_change(spark, sf_dir):
+    change = answers.first_last_change(yearly_counts(spark, sf_dir), "year", "total_crimes")
+    return change.withColumn("change_pct", F.round("change_pct", 6))
+
+
+# Word beginnings that occur in the test conversations, routed like the shipped questions.
+_TEXT_ROUTES = (
+    ("german", ("und", "der", "die", "ist"), None),
+    ("french", ("les", "des", "est", "que"), None),
+    ("thing", ("thing", "that"), "THE"),
+    ("english", ("the", "and", "of"), None),
+    ("spanish", ("los", "el", "es"), None),
+)
+_TEXT_TYPES = ("the", "and")
+
+
+def _route_sql(routes, types):
+    found = "CASE " + " ".join(
+        f"WHEN contains(lower(text), '{t}') THEN '{t.upper()}'" for t in types) + " END"
+    tests = " ".join(
+        "WHEN regexp_matches(lower(text), '{}'){} THEN '{}'".format(
+            "|".join(rf"\b{w}" for w in words),
+            f" AND {found} = '{needed}'" if needed else "", target)
+        for target, words, needed in routes)
+    return (f"SELECT conv_id, turn, CASE {tests} END AS answer_table, {found} AS first_type"
+            " FROM conversations WHERE role = 'user'")
+
+
+def _routed(spark, sf_dir, routes, types):
+    asked = read(spark, sf_dir, "conversations").filter("role = 'user'")
+    return asked.select("conv_id", "turn", text.route("text", routes, types).alias("answer_table"),
+                        text.first_contained("text", types).alias("first_type"))
+
+
+@query(_route_sql(fv.QUESTION_ROUTES, fv.QUESTION_TYPES))
+def route_texts(spark, sf_dir):
+    return _routed(spark, sf_dir, fv.QUESTION_ROUTES, fv.QUESTION_TYPES)
+
+
+@query(_route_sql(_TEXT_ROUTES, _TEXT_TYPES))
+def route_texts_by_words(spark, sf_dir):
+    return _routed(spark, sf_dir, _TEXT_ROUTES, _TEXT_TYPES)
+
+
+_CENTRES = """numbered AS (SELECT label, generate_subscripts(embedding, 1) AS i,
+  unnest(embedding)::DOUBLE AS x FROM embeddings),
+means AS (SELECT label, i, round(avg(x), 6) AS x FROM numbered GROUP BY ALL),
+centres AS (SELECT label, list(x ORDER BY i) AS centre FROM means GROUP BY label),
+pairs AS (SELECT c.label AS query_id, e.vec_id, list_sum(list_transform(
+  list_zip(e.embedding::DOUBLE[], c.centre), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+  FROM embeddings e CROSS JOIN centres c),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM pairs)"""
+
+
+def _label_centres(spark, sf_dir):
+    """Mean vector of every label: one row per label, whatever the number of vectors."""
+    rows = read(spark, sf_dir, "embeddings")
+    numbered = rows.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
+    means = numbered.groupBy("label", "i").agg(F.round(F.avg("x"), 6).alias("x"))
+    ordered = F.sort_array(F.collect_list(F.struct("i", "x")))
+    centres = means.groupBy("label").agg(ordered.alias("e"))
+    return centres.select(F.col("label").alias("query_id"),
+                          F.transform("e", lambda s: s["x"]).alias("embedding"))
+
+
+@query(f"WITH {_CENTRES} SELECT CAST(query_id AS BIGINT) AS query_id, CAST(rank AS INTEGER) AS rank, vec_id,"
+       " round(distance, 6) AS distance FROM ranked WHERE rank <= 4")
+def vector_topk(spark, sf_dir):
+    """The 4 vectors nearest to the mean vector of every label."""
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = vectors.nearest_rows(rows, _label_centres(spark, sf_dir), k=4)
+    return found.withColumn("distance", F.round("distance", 6))
