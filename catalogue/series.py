@@ -24,7 +24,7 @@ def _idx(label: str) -> int:
     return int(year) * 12 + int(month) - 1
 
 
-_SERIES = f"""WITH RECURSIVE {sp.CRIMES}, {sp.WHOLE_MONTHS},
+_SERIES = f"""WITH {sp.CRIMES}, {sp.WHOLE_MONTHS},
 counted AS (SELECT primary_type, CAST(year(date) * 12 + month(date) - 1 AS INTEGER) AS month_idx, count(*) AS n
   FROM whole GROUP BY ALL),
 series AS (SELECT primary_type AS series, month_idx, CAST(n AS DOUBLE) AS value FROM counted
@@ -61,26 +61,18 @@ def _fit(tag: str, source: str, where: str, setups: str, horizon: int) -> str:
 {tag}_train AS (SELECT a.series, u.train_start, u.seasonal, list(a.value ORDER BY month_idx) AS ys,
     CAST(count(*) AS INTEGER) AS n, max(month_idx) AS last_idx
   FROM {source} a JOIN {tag}_setups u ON a.month_idx >= u.start WHERE {where} {setups} GROUP BY ALL),
-{tag}_run AS (
-  SELECT series, train_start, seasonal, alpha, beta, gamma, phi, 0 AS t, list_avg(ys[1:12]) AS l,
-    (list_avg(ys[13:24]) - list_avg(ys[1:12])) / 12 AS b,
-    CASE seasonal WHEN 'mul' THEN list_transform(ys[1:12], lambda y: y / list_avg(ys[1:12]))
-      ELSE list_transform(ys[1:12], lambda y: y - list_avg(ys[1:12])) END AS s,
-    0::DOUBLE AS sq, 0::DOUBLE AS lg FROM {tag}_train CROSS JOIN grid
-  UNION ALL
-  SELECT series, train_start, seasonal, alpha, beta, gamma, phi, t + 1,
-    base + alpha * scale_lb * e, phi * b + beta * scale_lb * e, s[2:12] || [s[1] + gamma * scale_s * e],
-    sq + e * e, lg + ln(mu)
-  FROM (SELECT *, y / mu - 1 AS e, CASE seasonal WHEN 'mul' THEN base ELSE mu END AS scale_lb,
-      CASE seasonal WHEN 'mul' THEN s[1] ELSE mu END AS scale_s
-    FROM (SELECT r.*, d.ys[r.t + 1] AS y, l + phi * b AS base,
-        CASE r.seasonal WHEN 'mul' THEN (l + phi * b) * s[1] ELSE l + phi * b + s[1] END AS mu
-      FROM {tag}_run r JOIN {tag}_train d USING (series, train_start, seasonal) WHERE r.t < d.n))
-  WHERE mu > 0),
-{tag}_best AS (SELECT * FROM (SELECT r.*, d.last_idx, sqrt(sq / d.n) AS sigma, d.n * ln(sq) + 2 * lg AS objective,
-    row_number() OVER (PARTITION BY series, train_start, seasonal
-      ORDER BY d.n * ln(sq) + 2 * lg, alpha, beta, gamma, phi) AS rn
-  FROM {tag}_run r JOIN {tag}_train d USING (series, train_start, seasonal) WHERE r.t = d.n) WHERE rn = 1),
+{tag}_start AS (SELECT *, list_transform(ys, lambda v: {_state('v')}) AS steps,
+    CASE seasonal WHEN 'mul' THEN list_transform(ys[1:12], lambda v: v / list_avg(ys[1:12]))
+      ELSE list_transform(ys[1:12], lambda v: v - list_avg(ys[1:12])) END AS season
+  FROM {tag}_train),
+{tag}_run AS (SELECT series, train_start, seasonal, alpha, beta, gamma, phi, n, last_idx,
+    list_reduce(steps, lambda a, x: {_next('x.y / ' + _MEAN + ' - 1')},
+      {_state('0', 'list_avg(ys[1:12])', '(list_avg(ys[13:24]) - list_avg(ys[1:12])) / 12', 'season')}) AS st
+  FROM {tag}_start CROSS JOIN grid),
+{tag}_best AS (SELECT *, st.l AS l, st.b AS b, st.s AS s, sqrt(st.sq / n) AS sigma,
+    n * ln(st.sq) + 2 * st.lg AS objective, row_number() OVER (PARTITION BY series, train_start, seasonal
+      ORDER BY n * ln(st.sq) + 2 * st.lg, alpha, beta, gamma, phi) AS rn
+  FROM {tag}_run QUALIFY rn = 1),
 {tag}_fc AS (SELECT series, train_start, seasonal, CAST(last_idx + h AS INTEGER) AS month_idx, h, alpha, beta, gamma,
     phi, objective, sigma,
     CASE seasonal WHEN 'mul' THEN (l + b * list_sum(list_transform(range(1, h + 1), lambda i: phi ** i))) * s[(h - 1) % 12 + 1]
@@ -88,6 +80,28 @@ def _fit(tag: str, source: str, where: str, setups: str, horizon: int) -> str:
   FROM {tag}_best CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS h))"""
 
 
+# State of the smoothing recursion as a struct, folded over the months with list_reduce.
+_BASE = "(a.l + phi * a.b)"
+_MEAN = f"(CASE seasonal WHEN 'mul' THEN {_BASE} * a.s[1] ELSE {_BASE} + a.s[1] END)"
+
+
+def _state(y: str, level: str = "0", trend: str = "0", season: str = "[]", sq: str = "0", lg: str = "0",
+           path: str = "[]") -> str:
+    return (f"{{'y': ({y})::DOUBLE, 'l': ({level})::DOUBLE, 'b': ({trend})::DOUBLE, 's': ({season})::DOUBLE[],"
+            f" 'sq': ({sq})::DOUBLE, 'lg': ({lg})::DOUBLE, 'path': ({path})::DOUBLE[]}}")
+
+
+def _next(error: str, path: str = "[]") -> str:
+    """State after a relative error."""
+    level = f"CASE seasonal WHEN 'mul' THEN {_BASE} ELSE {_MEAN} END"
+    season = f"CASE seasonal WHEN 'mul' THEN a.s[1] ELSE {_MEAN} END"
+    e = f"({error})"
+    return _state(
+        "0", f"{_BASE} + alpha * ({level}) * {e}", f"phi * a.b + beta * ({level}) * {e}",
+        f"a.s[2:12] || [a.s[1] + gamma * ({season}) * {e}]", f"a.sq + {e} * {e}",
+        f"a.lg + CASE WHEN {_MEAN} > 0 THEN ln({_MEAN}) END", path)
+
+
 def _paths(tag: str, horizon: int) -> str:
     """Simulated paths of the best points and their 10 % and 90 % quantiles."""
     return f"""
@@ -95,20 +109,15 @@ def _paths(tag: str, horizon: int) -> str:
   CROSS JOIN (SELECT unnest(range(1, {horizon + 1})) AS h)),
 {tag}_z AS (SELECT p, h, sqrt(-2 * ln((CAST(('0x' || substr(d, 1, 13))::UBIGINT AS DOUBLE) + 1) / (4503599627370496::DOUBLE + 1)))
   * cos(2 * pi() * CAST(('0x' || substr(d, 14, 13))::UBIGINT AS DOUBLE) / 4503599627370496::DOUBLE) AS z FROM {tag}_u),
-{tag}_sim AS (
-  SELECT series, train_start, seasonal, alpha, beta, gamma, phi, sigma, last_idx, p, 0 AS h, l, b, s, 0::DOUBLE AS y
-  FROM {tag}_best CROSS JOIN (SELECT unnest(range(0, {smoothing.PATHS})) AS p)
-  UNION ALL
-  SELECT series, train_start, seasonal, alpha, beta, gamma, phi, sigma, last_idx, p, h,
-    base + alpha * scale_lb * e, phi * b + beta * scale_lb * e, s[2:12] || [s[1] + gamma * scale_s * e], mu * (1 + e)
-  FROM (SELECT *, CASE seasonal WHEN 'mul' THEN base ELSE mu END AS scale_lb,
-      CASE seasonal WHEN 'mul' THEN s[1] ELSE mu END AS scale_s
-    FROM (SELECT r.* EXCLUDE (h), z.h, sigma * z.z AS e, l + phi * b AS base,
-        CASE seasonal WHEN 'mul' THEN (l + phi * b) * s[1] ELSE l + phi * b + s[1] END AS mu
-      FROM {tag}_sim r JOIN {tag}_z z ON z.p = r.p AND z.h = r.h + 1))),
-{tag}_bounds AS (SELECT series, train_start, seasonal, CAST(last_idx + h AS INTEGER) AS month_idx,
-    quantile_cont(y, 0.1) AS lower, quantile_cont(y, 0.9) AS upper
-  FROM {tag}_sim WHERE h > 0 GROUP BY ALL)"""
+{tag}_zs AS (SELECT p, list({_state('z')} ORDER BY h) AS steps FROM {tag}_z GROUP BY p),
+{tag}_sim AS (SELECT series, train_start, seasonal, last_idx,
+    list_reduce(steps, lambda a, x: {_next('sigma * x.y', f"a.path || [{_MEAN} * (1 + sigma * x.y)]")},
+      {_state('0', 'l', 'b', 's')}).path AS path
+  FROM {tag}_best CROSS JOIN {tag}_zs),
+{tag}_steps AS (SELECT series, train_start, seasonal, last_idx + generate_subscripts(path, 1) AS month_idx, unnest(path) AS y
+  FROM {tag}_sim),
+{tag}_bounds AS (SELECT series, train_start, seasonal, CAST(month_idx AS INTEGER) AS month_idx,
+    quantile_cont(y, 0.1) AS lower, quantile_cont(y, 0.9) AS upper FROM {tag}_steps GROUP BY ALL)"""
 
 
 _BT_WHERE = f"a.month_idx <= {_idx(fv.BACKTEST_TRAIN_END)}"
