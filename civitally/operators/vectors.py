@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RESULT = "query_id long, vec_id long, distance double"
@@ -57,11 +57,11 @@ def _search_block_by_block(
     # Every row block meets every query block once.
     left = rows.withColumns({
         "rb": F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)),
-        "qb": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long"),
+        "qb": F.explode(_numbers(query_blocks)),
     })
     right = queries.withColumns({
         "qb": F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)),
-        "rb": F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).cast("long"),
+        "rb": F.explode(_numbers(row_blocks)),
     })
 
     def search(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -75,6 +75,10 @@ def _search_block_by_block(
     )
 
 
+def _numbers(count: int) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
+
+
 def _k_best(ids: np.ndarray, points: np.ndarray, block: pd.DataFrame, k: int) -> pd.DataFrame:
     matrix = np.stack(block["embedding"].to_numpy())
     keys = block["vec_id"].to_numpy()
