@@ -8,6 +8,7 @@ from civitally.functions import fixed_values as fv
 from civitally.functions import text
 from civitally.operators import counting as ct
 from civitally.plans.marts import area_share
+from civitally.session import cut_lineage
 from civitally.sources.readers import area_centroids
 
 from . import sql_parts as sp
@@ -18,12 +19,11 @@ M = sp.MARTS
 PLACE = "location_description"
 
 
-def tidied(spark, sf_dir):
-    return crimes(spark, sf_dir).withColumn(PLACE, text.tidy_text(PLACE))
+TIDY = text.tidy_text
 
 
 def _kept_places():
-    return text.has_text(PLACE) & text.not_containing(PLACE, fv.LOCATION_EXCLUSIONS)
+    return text.has_text(TIDY(PLACE)) & text.not_containing(TIDY(PLACE), fv.LOCATION_EXCLUSIONS)
 
 
 def _category(column=PLACE):
@@ -36,7 +36,7 @@ def _is_type(name):
 
 @query(f"{sp.WITH} SELECT id, {sp.TIDY} AS location_description FROM crimes")
 def tidy_text(spark, sf_dir):
-    return tidied(spark, sf_dir).select("id", PLACE)
+    return crimes(spark, sf_dir).select("id", TIDY(PLACE).alias(PLACE))
 
 
 @query(f"{sp.WITH} SELECT {sp.normal(PLACE)} AS label, count(*) AS total FROM crimes"
@@ -83,33 +83,35 @@ def exclude_keywords(spark, sf_dir):
                        where=text.not_containing(PLACE, fv.CLEANING_EXCLUSIONS))
 
 
-def _venues(spark, sf_dir):
-    return tidied(spark, sf_dir).filter(
-        text.has_text(PLACE) & F.col(PLACE).rlike(fv.SPORT_PATTERN))
+def _venue_counts(spark, sf_dir):
+    at_venue = text.has_text(TIDY(PLACE)) & TIDY(PLACE).rlike(fv.SPORT_PATTERN)
+    return ct.sum_by_label(crimes(spark, sf_dir), PLACE, {PLACE: TIDY(PLACE)}, "total_crimes",
+                           other_keys=["primary_type"], where=at_venue)
 
 
 @query(M["sport_location_crimes"])
 def venue_groups(spark, sf_dir):
     group = text.classify_values("primary_type", fv.TYPE_GROUPS, fv.TYPE_GROUP_DEFAULT)
-    return ct.sum_by_label(_venues(spark, sf_dir), "primary_type", {"crime_category": group},
-                           "total_crimes")
+    return ct.sum_by(_venue_counts(spark, sf_dir), {"crime_category": group}, "total_crimes",
+                     "total_crimes")
 
 
 @query(M["sport_location_crimes_by_type"])
 def venue_types(spark, sf_dir):
-    return ct.count_by(_venues(spark, sf_dir), [PLACE, "primary_type"], "total_crimes")
+    return _venue_counts(spark, sf_dir)
 
 
 def _category_types(spark, sf_dir):
     return ct.sum_by_label(
-        tidied(spark, sf_dir), PLACE, {"location_category": _category()}, "total",
+        crimes(spark, sf_dir), PLACE, {"location_category": _category(TIDY(PLACE))}, "total",
         other_keys=["primary_type"], where=_kept_places())
 
 
 @query(M["crimes_by_location"])
 def location_counts(spark, sf_dir):
-    return ct.sum_by_label(tidied(spark, sf_dir), PLACE, {"location_category": _category()},
-                           "total_crimes", where=_kept_places())
+    return ct.sum_by_label(
+        crimes(spark, sf_dir), PLACE, {"location_category": _category(TIDY(PLACE))},
+        "total_crimes", where=_kept_places())
 
 
 @query(M["crimes_by_location_and_type"])
@@ -131,7 +133,8 @@ _RANKED = (
 
 @query(_RANKED)
 def rank_types_big_labels(spark, sf_dir):
-    counts = ct.count_by(tidied(spark, sf_dir), [PLACE, "primary_type"], where=_kept_places())
+    counts = ct.sum_by_label(crimes(spark, sf_dir), PLACE, {PLACE: TIDY(PLACE)},
+                             other_keys=["primary_type"], where=_kept_places())
     ranked = ct.rank_within(counts, PLACE, "primary_type", total_name="location_total")
     return ranked.filter("location_total > 100")
 
@@ -153,9 +156,9 @@ def area_rate(spark, sf_dir):
 
 
 def _place_rate(spark, sf_dir, rules, default, crime, part, rate):
-    counts = ct.count_by(tidied(spark, sf_dir), [PLACE, "primary_type"], "n",
+    counts = ct.count_by(crimes(spark, sf_dir), [PLACE, "primary_type"], "n",
                          F.col(PLACE).isNotNull())
-    kind = {"location_type": text.classify(PLACE, rules, default)}
+    kind = {"location_type": text.classify(TIDY(PLACE), rules, default)}
     return ct.share_by(counts, kind, _is_type(crime), part, "total_crimes", rate, weight="n")
 
 
@@ -173,7 +176,8 @@ def airport_rate(spark, sf_dir):
 
 @query(M["theft_by_location"])
 def share_by_label(spark, sf_dir):
-    counts = ct.count_by(tidied(spark, sf_dir), [PLACE, "primary_type"], "n", text.has_text(PLACE))
+    counts = ct.sum_by_label(crimes(spark, sf_dir), PLACE, {PLACE: TIDY(PLACE)}, "n",
+                             other_keys=["primary_type"], where=text.has_text(TIDY(PLACE)))
     label = {PLACE: text.normalize_label(PLACE)}
     return ct.share_by(counts, label, _is_type("THEFT"), "total_thefts", "total_crimes",
                        weight="n")
@@ -181,10 +185,14 @@ def share_by_label(spark, sf_dir):
 
 @query(M["theft_by_location"])
 def join_aggregates(spark, sf_dir):
-    """The same shares as two aggregates joined on the label."""
-    counts = ct.sum_by_label(
-        tidied(spark, sf_dir), PLACE, {PLACE: text.normalize_label(PLACE)}, "n",
-        other_keys=["primary_type"], where=text.has_text(PLACE))
+    """The same shares as two aggregates joined on the label.
+
+    Both sides read the written label counts. Without the cut the join's not-null test on
+    the normalised label would run the whole regex chain on every row, once per side.
+    """
+    counts = cut_lineage(ct.sum_by_label(
+        crimes(spark, sf_dir), PLACE, {PLACE: text.normalize_label(TIDY(PLACE))}, "n",
+        other_keys=["primary_type"], where=text.has_text(TIDY(PLACE))))
     thefts = ct.sum_by(counts, [PLACE], "n", "total_thefts", _is_type("THEFT"))
     totals = ct.sum_by(counts, [PLACE], "n", "total_crimes")
     return ct.join_totals(thefts, totals, [PLACE])

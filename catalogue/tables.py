@@ -63,11 +63,10 @@ HOLIDAYS = {
                       ("11-11", "Veterans Day"), ("12-25", "Christmas Day"))
 }
 
-# The columns in SQL that both engines read alike; {types} and {places} differ per engine.
+# The columns in SQL that both engines read alike; {date}, {types} and {places} differ per engine.
 _COLUMNS = {
     "id": "CAST(l_orderkey * 10 + l_linenumber AS {text})",
-    "date": "CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate + INTERVAL '228' MONTH"
-            " ELSE l_shipdate + INTERVAL '146' MONTH END + {seconds}",
+    "date": "{date}",
     "primary_type": "{types}",
     "description": "CONCAT('D', CAST(l_partkey % 25 AS {text}))",
     "location_description": "{places}",
@@ -125,13 +124,14 @@ def _parts(engine: str) -> dict[str, str]:
     if engine == "spark":
         types = f"{_array(TYPES, 'array(', ')')}[CAST({type_slot} AS INT)]"
         places = f"{_array(PLACES, 'array(', ')')}[CAST({place_slot} AS INT)]"
-        seconds = f"make_dt_interval(0, 0, 0, CAST({_SECOND_OF_DAY} AS DECIMAL(18, 6)))"
+        date = (f"timestampadd(SECOND, CAST({_SECOND_OF_DAY} AS INT), timestampadd(MONTH,"
+                " IF(l_linenumber % 2 = 0, 228, 146), l_shipdate))")
     else:
         types = f"({_array(TYPES, '[', ']')})[CAST({type_slot} AS INT) + 1]"
         places = f"({_array(PLACES, '[', ']')})[CAST({place_slot} AS INT) + 1]"
-        seconds = f"to_seconds({_SECOND_OF_DAY})"
-    parts = {"types": types, "places": places, "seconds": seconds, "text": text, "area": area}
-    date = _COLUMNS["date"].format(**parts)
+        date = ("CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate + INTERVAL '228' MONTH"
+                f" ELSE l_shipdate + INTERVAL '146' MONTH END + to_seconds({_SECOND_OF_DAY})")
+    parts = {"types": types, "places": places, "date": date, "text": text, "area": area}
     parts["date_text"] = (
         f"date_format({date}, 'MM/dd/yyyy hh:mm:ss a')" if engine == "spark"
         else f"strftime({date}, '%m/%d/%Y %I:%M:%S %p')"

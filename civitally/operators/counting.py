@@ -38,11 +38,16 @@ def sum_by_label(
 ) -> DataFrame:
     """Count by expressions of a label: group the labels first, then evaluate and roll up.
 
-    The expressions (regex chains) run once per distinct label and not once per row.
+    The expressions and ``where`` (regex chains over the label and the other keys) run once
+    per distinct label and not once per row. ``where`` is a conditional sum, because Spark
+    would push a filter on grouping keys back down to the rows.
     """
-    counts = count_by(df, [label, *other_keys], "_n", where)
+    counts = count_by(df, [label, *other_keys], "_n")
     keys = {**derived, **{k: F.col(k) for k in other_keys}}
-    return sum_by(counts, keys, "_n", name)
+    if where is None:
+        return sum_by(counts, keys, "_n", name)
+    kept = counts.groupBy(*_key_columns(keys)).agg(F.sum(F.when(where, F.col("_n"))).alias(name))
+    return kept.filter(F.col(name).isNotNull())
 
 
 def share_by(

@@ -20,11 +20,13 @@ TOTAL = "ALL"
 def drop_partial_month(df: DataFrame, ts: str = "date", min_last_day: int = 28) -> DataFrame:
     """Drop the last month if the data stops before its 28th day; NULL dates go as well.
 
-    The last timestamp is a scalar subquery over one column, so nothing is collected.
+    The cut-off is a scalar subquery over one column: nothing is collected, and rows are
+    tested with a plain comparison that reaches the file statistics.
     """
-    last = df.agg(F.max(ts).alias("last")).scalar()
-    keep = (F.dayofmonth(last) >= min_last_day) | (F.trunc(ts, "month") < F.trunc(last, "month"))
-    return df.filter(F.col(ts).isNotNull() & keep)
+    last = F.max(ts)
+    cutoff = F.when(F.dayofmonth(last) >= min_last_day, F.date_add(F.to_date(last), 1)).otherwise(
+        F.to_date(F.trunc(last, "month")))
+    return df.filter(F.col(ts) < df.agg(cutoff.cast(df.schema[ts].dataType)).scalar())
 
 
 def monthly_trend(df: DataFrame, ts: str = "date", min_last_day: int = 28) -> DataFrame:
