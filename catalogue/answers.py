@@ -107,7 +107,7 @@ def _route_sql(routes, types):
         f"WHEN contains(lower(text), '{t}') THEN '{t.upper()}'" for t in types) + " END"
     tests = " ".join(
         "WHEN regexp_matches(lower(text), '{}'){} THEN '{}'".format(
-            "|".join(rf"\b{w}" for w in words),
+            r"(^|[^\p{L}\p{N}_])(" + "|".join(words) + ")",
             f" AND {found} = '{needed}'" if needed else "", target)
         for target, words, needed in routes)
     return (f"SELECT conv_id, turn, CASE {tests} END AS answer_table, {found} AS first_type"

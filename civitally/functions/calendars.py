@@ -82,21 +82,25 @@ def in_month_days(ts: str | Column, keys: Sequence[str]) -> Column:
     return month_day(ts).isin(list(keys))
 
 
-def in_dates(ts: str | Column, dates: Iterable[str | dt.date]) -> Column:
+def in_dates(ts: str | Column, dates: Iterable[str | dt.date], prune: bool = False) -> Column:
     """True on the listed dates.
 
-    Neighbouring dates are merged and tested as ranges on the timestamp itself, so a
-    filter reaches the file statistics; ``to_date(ts) IN (...)`` would not.
+    ``prune`` is for filters on a stored column: it says the same once more as ranges on the
+    timestamp, in a form that reaches the file statistics, which ``to_date`` cannot.
     """
     column = F.col(ts) if isinstance(ts, str) else ts
+    days = sorted({_as_date(d) for d in dates})
+    listed = F.to_date(column).isin(days)
+    if not prune:
+        return listed
     one_day = dt.timedelta(days=1)
     ranges: list[list[dt.date]] = []
-    for day in sorted({_as_date(d) for d in dates}):
+    for day in days:
         if ranges and ranges[-1][1] == day:
             ranges[-1][1] = day + one_day
         else:
             ranges.append([day, day + one_day])
-    return _any_range(column, ranges)
+    return listed & _any_range(column, ranges)
 
 
 def in_years(ts: str | Column, years: Iterable[int]) -> Column:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fv
 
+# A place where no letter, digit or underscore stands before, in any script.
+WORD_START = r"(?<![\p{L}\p{N}_])"
+
 Words = Sequence[str]
 CategoryRules = Sequence[tuple[str, Words]]
 AliasRules = Sequence[tuple[str, str]]
@@ -109,7 +112,7 @@ def route(
     found_type = first_contained(column, types)
     chain = F
     for target, words, needed in routes:
-        test = text.rlike(any_word(words, prefix=r"\b"))
+        test = text.rlike(any_word(words, prefix=WORD_START))
         if needed is not None:
             test = (found_type == needed) & test
         chain = chain.when(test, target)

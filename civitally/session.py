@@ -17,6 +17,7 @@ def get_spark(app_name: str, time_zone: str = DATA_TIME_ZONE, **conf: str) -> Sp
         .config("spark.sql.session.timeZone", time_zone)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -183,7 +183,7 @@ def test_job_writes_every_mart(spark, incidents, holidays, built, tmp_path):
 def test_date_filters_reach_the_files(spark, incidents, tmp_path):
     incidents.write.parquet(str(tmp_path / "clean"))
     clean = spark.read.parquet(str(tmp_path / "clean"))
-    for test in (cal.in_dates("date", ["2019-11-28"]), cal.in_years("date", [2008, 2009])):
+    for test in (cal.in_dates("date", ["2019-11-28"], prune=True), cal.in_years("date", [2008, 2009])):
         pushed = plan(ct.count_by(clean, ["primary_type"], where=test))
         assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date" in pushed
         assert "ReadSchema: struct<date:timestamp_ntz,primary_type:string>" in pushed
@@ -196,3 +196,16 @@ def test_dimension_joins_are_broadcast_by_size(spark, incidents, holidays):
     df = holiday_split(dated, holidays)
     df.collect()
     assert "BroadcastHashJoin" in plan(df)
+
+
+def test_hours_follow_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    instant = spark.range(1).select(F.timestamp_seconds(F.lit(1577836800)).alias("date"))
+    try:
+        found = {}
+        for name in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            found[name] = tuple(cal.add_calendar_parts(instant).select("hour", "year").first())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == {"UTC": (0, 2020), "America/Los_Angeles": (16, 2019)}
