@@ -6,13 +6,17 @@ from pyspark.sql import functions as F
 
 from civitally.functions import fixed_values as fv
 from civitally.functions import text
-from civitally.operators import answers, cleaning as cl, counting as ct, vectors
+from civitally.operators import answers, cleaning as cl, vectors
+from civitally.operators.cubes import build_cubes
+from civitally.plans import built_in
+from civitally.plans.marts import derive_marts
+from civitally.session import cut_lineage
 
 from . import sql_parts as sp
 from .counts import monthly_counts, yearly_counts
 from .places import area_counts, location_counts, share_by_label
 from .registry import query
-from .tables import crimes, read
+from .tables import crimes, holidays, read
 
 M = sp.MARTS
 _TYPED = (f"{sp.CRIMES.replace('crimes AS', 'clean_rows AS', 1)}, crimes AS (SELECT id, date,"
@@ -158,3 +162,38 @@ def vector_topk(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = vectors.nearest_rows(rows, _label_centres(spark, sf_dir), k=4)
     return found.withColumn("distance", F.round("distance", 6))
+
+
+_BUILT_IN = {
+    "great_recession_by_type": ("primary_type", "total", "LIMIT 10"),
+    "community_area_crimes": ("community_area", "total_crimes", "LIMIT 10"),
+    "theft_by_location": ("location_description", "total_thefts", "LIMIT 10"),
+    "crimes_by_location": ("location_category", "total_crimes", ""),
+    "sport_location_crimes": ("crime_category", "total_crimes", ""),
+    "airport_theft_count_comparison": ("location_type", "theft_rate", ""),
+    "downtown_vs_residential_theft_robbery": ("area_type", "rate", ""),
+    "transit_vs_commercial_robbery_count": ("location_type", "robbery_count", ""),
+    "yearly_crimes": ("CAST(year AS VARCHAR)", "total_crimes", ""),
+}
+_BUILT_IN_SQL = " UNION ALL ".join(
+    f"(SELECT '{table}' AS answer_table, {label} AS label, round(CAST({measure} AS DOUBLE), 6) AS value"
+    f" FROM ({M[table]}) ORDER BY {measure} DESC, label {limit})"
+    for table, (label, measure, limit) in _BUILT_IN.items())
+
+
+@query(f"{_BUILT_IN_SQL} UNION ALL SELECT 'season_crimes', season, round(total_crimes / CASE season"
+       f" WHEN 'Summer' THEN 3.0::DOUBLE WHEN 'Late Winter' THEN 2 ELSE 7 END) FROM ({M['season_crimes']})")
+def built_in_answers(spark, sf_dir):
+    """The fixed answers to routed questions, stacked as (answer_table, label, value)."""
+    cubes = cut_lineage(build_cubes(crimes(spark, sf_dir)))
+    built = derive_marts(cubes, holidays(spark))
+    measures = {t: (label.replace("CAST(year AS VARCHAR)", "year"), m)
+                for t, (label, m, _) in _BUILT_IN.items()}
+    measures["season_crimes"] = ("season", "per_month")
+    stacked = None
+    for table, (label, measure) in measures.items():
+        rows = built_in.answer(table, built.__getitem__).select(
+            F.lit(table).alias("answer_table"), F.col(label).cast("string").alias("label"),
+            F.round(F.col(measure).cast("double"), 6).alias("value"))
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    return stacked

@@ -81,8 +81,10 @@ def top_series(
 
 def densify(series: DataFrame) -> DataFrame:
     """Every series on every month from the first to the last one of all, 0 where empty."""
-    ends = series.agg(F.min("month_idx").alias("lo"), F.max("month_idx").alias("hi"))
-    months = F.sequence(ends.select("lo").scalar(), ends.select("hi").scalar())
+    ends = series.agg(
+        F.struct(F.min("month_idx").alias("lo"), F.max("month_idx").alias("hi")).alias("ends")
+    ).scalar()
+    months = F.sequence(ends["lo"], ends["hi"])
     calendar = series.select("series").distinct().select(
         "series", F.explode(months).alias("month_idx")
     )

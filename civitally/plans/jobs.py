@@ -31,8 +31,8 @@ def run_clean(spark: SparkSession, raw_path: str, out: str, partitions: int | No
 def run_marts(df: DataFrame, holidays: DataFrame, out: str) -> None:
     """One scan to the cubes, written to the output; every mart is derived from them."""
     spark = df.sparkSession
-    build_cubes(df).write.mode("overwrite").partitionBy("cube").parquet(f"{out}/_cubes")
-    cubes = spark.read.parquet(f"{out}/_cubes")
+    build_cubes(df).write.mode("overwrite").partitionBy("cube").parquet(f"{out}/cubes")
+    cubes = spark.read.parquet(f"{out}/cubes")
     keys = {name: mart.keys for name, mart in marts().items()}
     for name, mart in derive_marts(cubes, holidays).items():
         writers.write_mart(mart, out, name, keys[name])

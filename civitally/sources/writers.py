@@ -36,7 +36,7 @@ def write_jdbc(df: DataFrame, table: str, options: Mapping[str, str]) -> None:
 def publish(tables: Mapping[str, DataFrame], root: str) -> int:
     """Replace a set of tables together.
 
-    Every table is written to a new version folder; one appended row in ``_published``
+    Every table is written to a new version folder; one appended row in ``published``
     makes the version visible once all of them are complete. A failed run leaves the
     former version in place, and readers never see a mix of two versions.
     """
@@ -45,7 +45,7 @@ def publish(tables: Mapping[str, DataFrame], root: str) -> int:
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/v{version}/{name}")
     row = spark.range(1).select(F.lit(version).cast("long").alias("version"))
-    row.coalesce(1).write.mode("append").parquet(f"{root}/_published")
+    row.coalesce(1).write.mode("append").parquet(f"{root}/published")
     return version
 
 
@@ -54,7 +54,7 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     from pyspark.errors import AnalysisException
 
     try:
-        published = spark.read.schema("version long").parquet(f"{root}/_published")
+        published = spark.read.schema("version long").parquet(f"{root}/published")
     except AnalysisException:
         return None
     return published.agg(F.max("version")).first()[0]

@@ -209,3 +209,19 @@ def test_hours_follow_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert found == {"UTC": (0, 2020), "America/Los_Angeles": (16, 2019)}
+
+
+def test_every_route_has_an_answer(built, holidays):
+    from civitally.plans import built_in
+
+    for table, _, _ in fv.QUESTION_ROUTES:
+        found = built_in.answer(table, built.__getitem__, holidays=holidays)
+        assert found.count() > 0, table
+    theft = built_in.answer("christmas_vs_nonchristmas_by_type", built.__getitem__, "THEFT")
+    # Four years are covered and one row has no date: 5 groups of year, 31 December days each.
+    assert {(r.day_type, r.total, r.daily_avg) for r in theft.collect()} == {
+        ("Christmas", 1, 0.0), ("Non-Christmas", 3, 0.0)}
+    with pytest.raises(KeyError):
+        built_in.answer("nothing", built.__getitem__)
+    with pytest.raises(ValueError):
+        built_in.answer("holiday_vs_nonholiday", built.__getitem__)
