@@ -16,7 +16,7 @@ from . import sql_parts as sp
 from .counts import monthly_counts, yearly_counts
 from .places import area_counts, location_counts, share_by_label
 from .registry import query
-from .tables import crimes, holidays, read
+from .tables import crimes, holidays, read, stack
 
 M = sp.MARTS
 _TYPED = (f"{sp.CRIMES.replace('crimes AS', 'clean_rows AS', 1)}, crimes AS (SELECT id, date,"
@@ -190,10 +190,9 @@ def built_in_answers(spark, sf_dir):
     measures = {t: (label.replace("CAST(year AS VARCHAR)", "year"), m)
                 for t, (label, m, _) in _BUILT_IN.items()}
     measures["season_crimes"] = ("season", "per_month")
-    stacked = None
-    for table, (label, measure) in measures.items():
-        rows = built_in.answer(table, built.__getitem__).select(
+    return stack([
+        built_in.answer(table, built.__getitem__).select(
             F.lit(table).alias("answer_table"), F.col(label).cast("string").alias("label"),
             F.round(F.col(measure).cast("double"), 6).alias("value"))
-        stacked = rows if stacked is None else stacked.unionByName(rows)
-    return stacked
+        for table, (label, measure) in measures.items()
+    ])

@@ -14,7 +14,7 @@ from civitally.session import cut_lineage
 
 from . import sql_parts as sp
 from .registry import query
-from .tables import crimes, holidays, read
+from .tables import crimes, holidays, read, stack
 
 M = sp.MARTS
 
@@ -382,10 +382,10 @@ def _measures(name):
 def all_marts(spark, sf_dir):
     """Every mart from one scan, stacked as (mart, key, value)."""
     cubes = cut_lineage(build_cubes(crimes(spark, sf_dir)))
-    stacked = None
+    frames = []
     for name, df in derive_marts(cubes, holidays(spark)).items():
         key = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in marts()[name].keys]
-        rows = df.select(F.lit(name).alias("mart"), F.concat_ws("|", *key).alias("key"),
-                         F.col(_measures(name)[0]).cast("bigint").alias("value"))
-        stacked = rows if stacked is None else stacked.unionByName(rows)
-    return stacked
+        frames.append(df.select(
+            F.lit(name).alias("mart"), F.concat_ws("|", *key).alias("key"),
+            F.col(_measures(name)[0]).cast("bigint").alias("value")))
+    return stack(frames)

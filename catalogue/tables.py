@@ -159,6 +159,14 @@ def raw_crimes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def stack(frames: list[DataFrame]) -> DataFrame:
+    """Union of many small results, paired up so that the plan is not analysed once per frame."""
+    while len(frames) > 1:
+        pairs = [frames[i:i + 2] for i in range(0, len(frames), 2)]
+        frames = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return frames[0]
+
+
 def holidays(spark: SparkSession) -> DataFrame:
     return holidays_from_dates(spark, HOLIDAYS)
 
