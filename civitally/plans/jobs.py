@@ -9,6 +9,9 @@
 from __future__ import annotations
 
 import argparse
+import json
+from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,14 +31,21 @@ def run_clean(spark: SparkSession, raw_path: str, out: str, partitions: int | No
     return cleaning.clean_report(raw, clean)
 
 
-def run_marts(df: DataFrame, holidays: DataFrame, out: str) -> None:
-    """One scan to the cubes, written to the output; every mart is derived from them."""
+def run_marts(
+    df: DataFrame, holidays: DataFrame, out: str, jdbc: Mapping[str, str] | None = None
+) -> None:
+    """One scan to the cubes, written to the output; every mart is derived from them.
+
+    With ``jdbc`` options each written mart also replaces its database table.
+    """
     spark = df.sparkSession
     build_cubes(df).write.mode("overwrite").partitionBy("cube").parquet(f"{out}/cubes")
     cubes = spark.read.parquet(f"{out}/cubes")
     keys = {name: mart.keys for name, mart in marts().items()}
     for name, mart in derive_marts(cubes, holidays).items():
         writers.write_mart(mart, out, name, keys[name])
+        if jdbc:
+            writers.write_jdbc(readers.read_mart(spark, out, name), name, jdbc)
 
 
 def run_forecast(
@@ -69,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     mart.add_argument("--clean", required=True)
     mart.add_argument("--holidays", required=True)
     mart.add_argument("--out", required=True)
+    mart.add_argument("--jdbc", help="JSON file with url, user, password and driver")
     forecast = commands.add_parser("forecast")
     forecast.add_argument("--marts", required=True)
     forecast.add_argument("--out", required=True)
@@ -81,8 +92,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "clean":
         run_clean(spark, args.raw, args.out, args.partitions).show()
     elif args.command == "marts":
+        jdbc = json.loads(Path(args.jdbc).read_text()) if args.jdbc else None
         run_marts(readers.read_clean(spark, args.clean),
-                  readers.read_holidays(spark, args.holidays), args.out)
+                  readers.read_holidays(spark, args.holidays), args.out, jdbc)
     elif args.command == "forecast":
         version = run_forecast(
             readers.read_mart(spark, args.marts, "monthly_trend"),

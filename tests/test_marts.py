@@ -170,8 +170,13 @@ def test_one_scan_for_all_cubes(spark, incidents, tmp_path):
     assert "description" not in text_plan.split("ReadSchema")[1].replace("location_description", "")
 
 
-def test_job_writes_every_mart(spark, incidents, holidays, built, tmp_path):
-    run_marts(incidents, holidays, str(tmp_path))
+def test_job_writes_every_mart(spark, incidents, holidays, built, tmp_path, monkeypatch):
+    from civitally.sources import writers
+
+    sent = []
+    monkeypatch.setattr(writers, "write_jdbc", lambda df, table, options: sent.append(table))
+    run_marts(incidents, holidays, str(tmp_path), {"url": "jdbc:none"})
+    assert sent == list(marts())
     for name in marts():
         assert rows(readers.read_mart(spark, str(tmp_path), name)) == rows(built[name]), name
     with pytest.raises(KeyError):
