@@ -1,4 +1,4 @@
 """All registered queries of the subpackage."""
 
-from . import simhash, toxicity  # noqa: F401
+from . import hosts, simhash, toxicity  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
