@@ -128,14 +128,13 @@ def format_turns(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
         for batch in chain(batches, [None]):
             out = [last] if last else []
             for conv_id, turn, role, text in (() if batch is None else batch.itertuples(index=False)):
-                conv_id = None if pd.isna(conv_id) else int(conv_id)
                 if conv_id != conv:
                     if last:
                         last["valid"] &= last_role in template.last
                     conv, seq, state = conv_id, 0, START
                 state = state and marker.step(state, role)
                 last_role, last = role, {
-                    "conv_id": conv_id, "turn": None if pd.isna(turn) else int(turn), "seq": seq,
+                    "conv_id": conv_id and int(conv_id), "turn": turn and int(turn), "seq": seq,
                     "valid": state is not None,
                     "segments": [{"text": t, "loss": loss} for t, loss in marker.segments(role, text)]}
                 out.append(last)
@@ -151,6 +150,8 @@ def format_turns(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = read.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # As text, because pandas turns whole numbers beside nulls into floats.
+    dealt = dealt.withColumns({c: F.col(c).cast("string") for c in ("conv_id", "turn")})
     return dealt.mapInPandas(walk, _SEGMENTS)
 
 
@@ -178,7 +179,7 @@ def read_back(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
                 if seq == 0:
                     if conv:
                         done.append(closed(conv))
-                    conv = {"id": None if pd.isna(conv_id) else int(conv_id), "n": 0, "turns": hashlib.sha256(),
+                    conv = {"id": conv_id and int(conv_id), "n": 0, "turns": hashlib.sha256(),
                             "chars": 0, "loss": hashlib.sha256(), "all": 0, "valid": True}
                 text = "".join(s["text"] for s in segments)
                 conv["all"] += len(text)
@@ -197,7 +198,7 @@ def read_back(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
             yield frame([closed(conv)])
 
     ordered = formatted.select("conv_id", "turn", "seq", "valid", "segments").repartition(
-        "conv_id").sortWithinPartitions("conv_id", "seq")
+        "conv_id").sortWithinPartitions("conv_id", "seq").withColumn("conv_id", F.col("conv_id").cast("string"))
     return ordered.mapInPandas(digest, (
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long, valid boolean"))
