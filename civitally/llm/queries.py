@@ -1,4 +1,4 @@
 """All registered queries of the subpackage."""
 
-from . import chat, hosts, pii, simhash, toxicity, warc  # noqa: F401
+from . import chat, decontaminate, hosts, pii, simhash, toxicity, warc  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

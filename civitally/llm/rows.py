@@ -1,8 +1,8 @@
-"""Keys for rows whose ids may be null or repeated."""
+"""Keys for rows whose ids may be null or repeated, and columns worked out once."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_KEY = ["row_key_a", "row_key_b"]
@@ -17,3 +17,8 @@ def with_row_key(df: DataFrame) -> DataFrame:
     parts = [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
     return df.withColumns({
         ROW_KEY[0]: F.xxhash64(*parts), ROW_KEY[1]: F.xxhash64(F.lit(1), *parts)})
+
+
+def once(expression: str) -> Column:
+    """The expression, marked so that no condition on it is moved below, where each use would work it out anew."""
+    return F.expr(f"CASE WHEN spark_partition_id() >= 0 THEN {expression} END")
