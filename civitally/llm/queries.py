@@ -1,4 +1,4 @@
 """All registered queries of the subpackage."""
 
-from . import chat, decontaminate, hosts, licenses, pii, simhash, toxicity, urls, warc  # noqa: F401
+from . import chat, decontaminate, hosts, licenses, mixing, pii, simhash, toxicity, urls, warc  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
