@@ -12,6 +12,7 @@ however many documents there are.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import chain, repeat
 
@@ -29,7 +30,10 @@ from .rows import ROW_KEY, with_row_key
 
 RADIUS = 2
 SEED = 42
+#: Of near_dedup: fingerprints a text, hashes in its sketch, words in a shingle, and the least similarity.
+PRINTS, SKETCH, SHINGLE, SIMILARITY = 4, 96, 5, 0.8
 _BLOCK = 1 << 16
+_WORD = re.compile(r"[^\W_]+")
 _LOW63 = (1 << 63) - 1
 # Parity masks of the code: bit i of a word belongs to column i + 1.
 _PARITY = [sum(1 << i for i in range(63) if (i + 1) >> j & 1) for j in range(6)]
@@ -73,17 +77,18 @@ def anchors(fingerprint: str = "fp"):
     ) END)[0]""")
 
 
-def _stars(words: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Links that connect the words of one anchor as all pairs within the radius would."""
+def _trees(words: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Links within the radius that connect the words of one anchor as all such pairs would."""
     left = words.view(np.uint64)  # bits of negative numbers would be counted in their absolute value
     while len(left):
-        seed, queue, left = left[0], [left[0]], left[1:]
+        queue, left = [left[0]], left[1:]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= RADIUS
+            word = queue.pop()
+            near = np.bitwise_count(left ^ word) <= RADIUS
             if near.any():
                 found, left = left[near], left[~near]
                 queue.extend(found)
-                yield from ((x, int(seed.view(np.int64))) for x in found.view(np.int64).tolist())
+                yield from ((x, int(word.view(np.int64))) for x in found.view(np.int64).tolist())
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -98,7 +103,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if batch is not None:
             rest, starts, stops = rows[starts[-1]:], starts[:-1], stops[:-1]
         several = stops - starts > 1
-        found = [x for s, e in zip(starts[several], stops[several]) for x in _stars(rows[s:e, 1].copy())]
+        found = [x for s, e in zip(starts[several], stops[several]) for x in _trees(rows[s:e, 1].copy())]
         if found:
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -125,17 +130,100 @@ def components(prints: DataFrame) -> DataFrame:
     return prints.drop("component_id", "root").join(classed, "fingerprint")
 
 
-def near_dedup(docs: DataFrame, width: int = 3) -> DataFrame:
-    """One document of each component: that with the smallest doc_id (nulls last).
+def _hashes(pieces: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, len(pieces))
 
-    Equal doc_ids are told apart by a hash of the row, and of wholly equal rows one stays.
-    Null and empty texts have fingerprint 0 and are one component, with what else has it.
-    The columns of ``docs`` come back, whatever their names.
+
+def profile(text: str | None) -> tuple[int, list[int], bytes]:
+    """Identity, fingerprints and sketch of a text without regard to case and punctuation.
+
+    Each fingerprint is the SimHash of the set of words by a hash of its own. The sketch holds the
+    smallest hashes of the five-word shingles; up to SKETCH shingles it is all of them.
     """
+    words = [w.encode() for w in _WORD.findall((text or "").lower())]
+    if not words:
+        return 0, [0] * PRINTS, b""
+    votes = np.zeros((PRINTS, 64), np.int64)
+    h = _hashes(sorted(set(words)))
+    n = len(h)
+    for k in range(PRINTS):
+        for at in range(0, n, _BLOCK):
+            bits = np.unpackbits(h[at:at + _BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            votes[k] += bits.sum(axis=0, dtype=np.int32)
+        # The next hash of each word is a mix of the last one.
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB) + np.uint64(k + 1)
+        h ^= h >> np.uint64(31)
+    prints = np.packbits(votes * 2 > n, axis=1, bitorder="little").view(np.int64).reshape(-1).tolist()
+    joined = b" ".join(words)
+    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], stops[:-1] + 1))
+    m = max(1, len(words) - SHINGLE + 1)
+    shingles = _hashes([joined[s:e] for s, e in zip(starts[:m].tolist(), stops[-m:].tolist())])
+    sketch = np.unique((shingles >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
+    return int(np.uint64(xxhash.xxh64_intdigest(joined, SEED)).view(np.int64)), prints, sketch
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Share of common five-word shingles, estimated from two sketches; exact for short texts."""
+    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
+    least = np.union1d(x, y)[:SKETCH]
+    if not len(least):
+        return 1.0
+    return float((np.isin(least, x) & np.isin(least, y)).sum() / len(least))
+
+
+def similar_links(texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between texts (id, prints, sketch) of at least the similarity ``least``.
+
+    Candidates share a fingerprint, or have fingerprints of one kind within the radius; of
+    texts with equal fingerprints each meets the smallest id.
+    """
+    every = texts.select("id", F.posexplode("prints").alias("kind", "fp"))
+    held = cut_lineage(every.groupBy("kind", "fp").agg(F.min("id").alias("first")))
+    same = every.join(held, ["kind", "fp"]).where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    # One comparison for all kinds: the kind takes part in the dealing.
+    dealt = held.select("kind", "fp", F.explode(anchors("fp")).alias("anchor")).withColumn(
+        "anchor", F.xxhash64("kind", "anchor")).repartition("anchor").sortWithinPartitions("anchor", "kind")
+    met = dealt.select("anchor", "fp").mapInPandas(_compare, "a long, b long").distinct()
+    ids = held.select("fp", "first").groupBy("fp").agg(F.min("first").alias("first"))
+    near = met.join(ids.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(
+        ids.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(
+        F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = same.unionByName(near).where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    drawn = texts.select("id", "sketch")
+    both = pairs.join(drawn.withColumnsRenamed({"id": "a", "sketch": "of_a"}), "a").join(
+        drawn.withColumnsRenamed({"id": "b", "sketch": "of_b"}), "b")
+    return both.where(alike("of_a", "of_b") >= least).select("a", "b")
+
+
+def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """One document of each group of copies: that with the smallest doc_id (nulls last).
+
+    Texts that differ in case and punctuation only are copies, and so are texts linked by
+    a similarity of at least ``least`` on five-word shingles. A text at a similarity of 0.8 has
+    its word set's SimHash within two bits about every other time, so four of them are
+    compared, each at its anchors. Null and wordless texts are one group. Of wholly equal rows one
+    stays. The columns of ``docs`` come back, whatever their names.
+    """
+
+    @F.pandas_udf("struct<id: long, prints: array<long>, sketch: binary>")
+    def profiles(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([profile(t) for t in texts], columns=["id", "prints", "sketch"])
+
     keyed = with_row_key(docs)
-    prints = with_fingerprint(keyed, width, out="fingerprint").select("doc_id", "fingerprint", *ROW_KEY)
-    prints = components(cut_lineage(prints))
-    first = prints.groupBy("root").agg(
+    rows = cut_lineage(keyed.select("doc_id", *ROW_KEY, profiles("text").alias("p")).select(
+        "doc_id", *ROW_KEY, "p.id", "p.prints", "p.sketch"))
+    texts = cut_lineage(rows.groupBy("id").agg(F.first("prints").alias("prints"), F.first("sketch").alias("sketch")))
+    found = roots(similar_links(texts, least)).withColumnRenamed("node", "id")
+    rooted = rows.select("doc_id", *ROW_KEY, "id").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    first = rooted.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *ROW_KEY)).alias("kept"))
     kept = first.select(*(F.col(f"kept.{c}") for c in ROW_KEY))
     return keyed.join(kept, ROW_KEY).dropDuplicates(ROW_KEY).select(*docs.columns)
