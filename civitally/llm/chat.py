@@ -144,7 +144,7 @@ def format_turns(turns: DataFrame, template: Template = INSTRUCT) -> DataFrame:
             elif last:
                 last["valid"] &= last_role in template.last
             if out:
-                yield pd.DataFrame(out).astype({"conv_id": "Int64", "turn": "Int64"})
+                yield pd.DataFrame(out, dtype=object).astype({"conv_id": "Int64", "turn": "Int64"})
 
     read = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
@@ -171,7 +171,7 @@ def read_back(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
             return (c["id"], c["n"], c["turns"].hexdigest(), c["chars"], c["loss"].hexdigest(), c["all"], c["valid"])
 
         def frame(done):
-            return pd.DataFrame(done, columns=columns).astype({"conv_id": "Int64"})
+            return pd.DataFrame(done, columns=columns, dtype=object).astype({"conv_id": "Int64"})
 
         for batch in batches:
             done = []

@@ -86,8 +86,8 @@ def host_verdicts(measured: DataFrame, host: str = "source", limit: float = HOST
     rates = hosts.agg(
         (F.sum("n_failed") / F.sum("n_docs")).alias("mean"),
         F.var_samp(F.round(F.col("n_failed") / F.col("n_docs"), 9)).alias("spread")).select(
-        "mean", F.when((F.col("spread") > 0) & (F.expr("mean * (1 - mean) / spread") > 1),
-                       F.expr("mean * (1 - mean) / spread - 1")).otherwise(FLAT_PRIOR).alias("strength"))
+        "mean", F.when((F.col("spread") > 0) & (F.expr("try_divide(mean * (1 - mean), spread)") > 1),
+                       F.expr("try_divide(mean * (1 - mean), spread) - 1")).otherwise(FLAT_PRIOR).alias("strength"))
     mean, strength = rates.select("mean").scalar(), rates.select("strength").scalar()
     shrunk = (F.col("n_failed") + strength * mean) / (F.col("n_docs") + strength)
     return hosts.select("host", "n_docs", "n_failed", F.round(shrunk, 6).alias("host_rate")).withColumn(

@@ -39,11 +39,11 @@ def share_budget(nodes: DataFrame, parents: Sequence[str], child: str) -> DataFr
     Sorted by capacity per weight, the first children are those that run short; the level at which
     the rest share what is left is a running sum, so one window settles all shortages.
     """
-    rank = F.when(F.col("weight") > 0, F.col("capacity") / F.col("weight"))
+    rank = F.when(F.col("weight") > 0, F.try_divide("capacity", "weight"))
     order = Window.partitionBy(*parents).orderBy(rank.asc_nulls_last(), child)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.col("given") - F.coalesce(F.sum("capacity").over(before), F.lit(0))) / F.sum("weight").over(after)
+    level = F.try_divide(F.col("given") - F.coalesce(F.sum("capacity").over(before), F.lit(0)), F.sum("weight").over(after))
     levels = nodes.withColumns({"__rank": rank, "__level": F.when(F.col("weight") > 0, level)})
     # The first child that the level does not fill sets the level for all after it.
     first = F.min(F.when(F.col("__level") <= F.col("__rank"), F.struct("__rank", child, "__level"))).over(
@@ -111,13 +111,14 @@ def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, weight: Column | None =
     keys = {f"__{c}": F.coalesce(F.col(c), F.lit("\u0000")) for c in levels}
     tokens = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     measured = docs.select(*kept).withColumns({**keys, "tokens": tokens})
-    named = [k for k in keys]
+    named, keys_of = list(keys), dict(zip(keys, levels))
     small = cut_lineage(measured.select("doc_id", *named, "tokens"))
     leaf_weight = F.lit(1) if weight is None else weight
-    leaves = plan(small.withColumnsRenamed(dict(zip(named, levels))), levels, leaf_weight, share, epochs)
-    leaves = cut_lineage(leaves).withColumnsRenamed(dict(zip(levels, named)))
-    taken = measured.join(leaves.where("budget > 0"), named)
-    times = F.col("whole") + F.when(order_hash(F.col("whole")) <= F.col("cut"), 1).otherwise(0)
+    leaves = plan(small.withColumnsRenamed(keys_of), levels, leaf_weight, share, epochs)
+    leaves = cut_lineage(leaves.where("budget > 0").select(
+        *(F.col(c).alias(k) for k, c in keys_of.items()), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")))
+    taken = measured.join(leaves, named)
+    times = F.col("__whole") + F.when(order_hash(F.col("__whole")) <= F.col("__cut"), 1).otherwise(0)
     return taken.withColumn("__times", times.cast("int")).where("__times > 0").select(
         *kept, "tokens", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias("epoch"))
 

@@ -1,11 +1,14 @@
-"""Keys for rows whose ids may be null or repeated, and columns worked out once."""
+"""Keys for rows whose ids may be null or repeated, and columns worked out once.
+
+Column names that begin with two underscores are reserved.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROW_KEY = ["row_key_a", "row_key_b"]
+ROW_KEY = ["__row_key_a", "__row_key_b"]
 
 
 def with_row_key(df: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def threshold(scored: DataFrame) -> DataFrame:
         *(F.count_if(F.col("label") == v).alias(v) for v in ("allow", "block")))
     up = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)  # at most 1,001 rows
     both = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    below = {v: F.coalesce(F.sum(v).over(up), F.lit(0)) / F.sum(v).over(both) for v in ("allow", "block")}
+    below = {v: F.try_divide(F.coalesce(F.sum(v).over(up), F.lit(0)), F.sum(v).over(both)) for v in ("allow", "block")}
     gain = F.round(below["block"] - below["allow"], 9)
     best = by.select("step", gain.alias("gain")).where("gain IS NOT NULL").agg(
         F.max(F.struct("gain", (-F.col("step")).alias("low"))).alias("best"))

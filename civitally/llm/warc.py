@@ -131,7 +131,7 @@ def convert(archives: DataFrame) -> DataFrame:
                     record_id = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{fields['URL']} {d} {page_id} {sha}')}"
                     out.append((None if page_id is None else int(page_id), record_id, fields["URL"],
                                 fields["IP-address"], date, fields["Content-type"], len(payload), sha, head, payload))
-                yield pd.DataFrame(out, columns=columns).astype({"page_id": "Int64"})
+                yield pd.DataFrame(out, columns=columns, dtype=object).astype({"page_id": "Int64"})
 
     return archives.select("content").mapInPandas(read, _RECORD)
 
@@ -163,8 +163,8 @@ def write_warc(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYT
         if revisit:
             lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{r.of['record_id']}>",
                       f"WARC-Refers-To-Target-URI: {r.of['url']}", f"WARC-Refers-To-Date: {r.of['warc_date']}"]
-            if not pd.isna(r.of["page_id"]):
-                lines.append(f"X-Refers-To-Page-Id: {int(r.of['page_id'])}")
+            if r.of["page_id"]:
+                lines.append(f"X-Refers-To-Page-Id: {r.of['page_id']}")
         lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(body)}", "", ""]
         return "\r\n".join(lines) + body.decode()
 
@@ -180,8 +180,10 @@ def write_warc(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYT
         if held:
             yield pd.DataFrame({"value": ["\r\n\r\n".join(held)]})
 
-    needed = ["record_id", "url", "ip", "warc_date", "payload_digest", "head", "payload", "of"]
-    packed = records.select(*needed).mapInPandas(pack, "value string")
+    # As text, because pandas turns whole numbers beside nulls into floats.
+    of = F.col("of").withField("page_id", F.col("of.page_id").cast("string"))
+    needed = ["record_id", "url", "ip", "warc_date", "payload_digest", "head", "payload"]
+    packed = records.select(*needed, of.alias("of")).mapInPandas(pack, "value string")
     # The end of a WARC record is two line ends, which the text writer puts after every value.
     packed.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 1).option(
         "compression", compression).text(folder)
@@ -219,7 +221,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                     out.append((page_id, int(_field(http, b"content-length")), sha, kind, refers_to,
                                 _field(head, b"warc-record-id").strip("<>"), _field(head, b"warc-target-uri")))
                 yield pd.DataFrame(out, columns=["page_id", "payload_bytes", "payload_digest", "record_type",
-                                                 "refers_to", "record_id", "url"]).astype(
+                                                 "refers_to", "record_id", "url"], dtype=object).astype(
                     {"page_id": "Int64", "refers_to": "Int64"})
 
     files = spark.read.format("binaryFile").load(folder).where("length > 0")
