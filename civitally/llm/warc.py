@@ -8,6 +8,7 @@ Conversion gives each record a stable identifier, an ISO timestamp, a type and d
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -151,8 +152,8 @@ def with_revisits(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     return joined.withColumn("of", F.when(revisits, F.col("of")))
 
 
-def write_warc(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, compression: str = "none") -> None:
-    """WARC files under ``folder``; a file holds about ``archive_bytes`` and one record at least."""
+def write_warc(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> None:
+    """WARC files under ``folder``; a file holds about ``archive_bytes`` (unpacked) and one record at least."""
 
     def block(r) -> str:
         revisit = r.of is not None
@@ -211,7 +212,8 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 out = []
-                for head, block in parse_warc(content):
+                packed = content[:2] == b"\x1f\x8b"
+                for head, block in parse_warc(gzip.decompress(content) if packed else content):
                     http, payload = _http(block)
                     kind, sha = _field(head, b"warc-type"), _field(head, b"warc-payload-digest").removeprefix("sha1:")
                     if kind == "response" and digest(payload) != sha:
