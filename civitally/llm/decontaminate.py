@@ -49,11 +49,12 @@ def _grams(df: DataFrame, text: str, out: str) -> DataFrame:
 def _simhash(df: DataFrame, grams: str, out: str) -> DataFrame:
     """Adds the SimHash of an array of hashes: a bit is set if it is in over half of them.
 
-    Sixteen sums hold four counters each, of 16 bits; arrays of over 65,535 are summed by parts.
+    Sixteen sums hold four counters each, of 16 bits; arrays of over 32,767 are summed by parts, so
+    that the highest counter keeps clear of the sign.
     """
     part = ", ".join(
         f"aggregate(part, 0L, (a, h) -> a + (shiftrightunsigned(h, {k}) & {_LANES}))" for k in range(16))
-    parts = f"transform(sequence(0, (size({grams}) - 1) div 65535), i -> slice({grams}, i * 65535 + 1, 65535))"
+    parts = f"transform(sequence(0, (size({grams}) - 1) div 32767), i -> slice({grams}, i * 32767 + 1, 32767))"
     bits = " | ".join(
         f"CASE WHEN 2 * aggregate(__sums, 0L, (a, s) -> a + (shiftrightunsigned(s[{k}], {16 * lane}) & 65535)) "
         f"> size({grams}) THEN {_one(16 * lane + k)} ELSE 0L END" for k in range(16) for lane in range(4))

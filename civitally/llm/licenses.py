@@ -9,6 +9,8 @@ another one of the same or a better priority is suppressed.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -91,7 +93,7 @@ FORMS = (
     (2, r"licen[sc]ed under (?:the )?(?:terms of (?:the )?)?", "name", r"(?: licen[sc]e)?"),
     (2, r"(?:released|distributed|published|available|provided) under (?:the )?(?:terms of (?:the )?)?", "name", r"(?: licen[sc]e)?"),
     (2, r"(?:governed by|subject to) (?:the )?(?:terms of (?:the )?)?", "name", r"(?: licen[sc]e)?"),
-    (3, r"", "name", r" licen[sc]e"),
+    (3, r"", "title", r""),
     (4, r"licen[sc]e ", "identifier", r""),
 )
 # Rules that name no license of the list: (priority, label, keyword, expression).
@@ -108,9 +110,15 @@ OTHERS = (
 
 def rules() -> list[tuple[int, str, str, str]]:
     """(priority, label, keyword, expression) of all rules."""
-    made = [(priority, label, keyword if part == "name" else ident.split("(")[0].split(" ")[0].split("[")[0],
-             before + f"(?:{name if part == 'name' else ident})" + after)
-            for priority, before, part, after in FORMS for label, keyword, name, ident in NAMES]
+    made = []
+    for priority, before, part, after in FORMS:
+        for label, keyword, name, ident in NAMES:
+            # A title says license: where the name does not always, the word follows it.
+            always = "licen" in re.sub(r"\(\?:[^()]*\)\?", "", name)
+            title = f"(?:{name})(?: licen[sc]e)?" if always else f"(?:{name}) licen[sc]e"
+            words = {"name": f"(?:{name})", "title": title, "identifier": f"(?:{ident})"}[part]
+            key = re.match("[a-z0-9]+", ident)[0] if part == "identifier" else keyword
+            made.append((priority, label, key, before + words + after))
     return made + list(OTHERS)
 
 

@@ -99,3 +99,26 @@ def test_empty_table_and_clashing_columns(spark):
 @pytest.mark.parametrize("text", ["", " \t\n", "one", "one two", "É é İ K", "w " * 70000])
 def test_fingerprint_of_odd_texts(text):
     assert simhash.fingerprint(text.encode(), 3) & (1 << 64) - 1 == brute_fingerprint(text)
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rnd = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, groups = [], 150
+    for g in range(groups):
+        words = rnd.choices(vocabulary, k=rnd.randint(60, 300))
+        for _ in range(4):
+            copy = list(words)
+            for _ in range(max(1, len(words) // 120)):
+                copy[rnd.randrange(len(copy))] = rnd.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy), "en", f"g{g}", 0))
+        rows.append((len(rows), ", ".join(words).upper(), "en", f"g{g}", 0))
+    kept = simhash.near_dedup(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.source for r in kept} == {f"g{g}" for g in range(groups)}
+    # 4 of 5 texts of a group should go; those whose links are all missed stay.
+    assert len(kept) - groups <= 0.05 * 4 * groups
+
+
+def test_sketch_is_exact_for_short_texts():
+    a, b = (simhash.profile(t)[2] for t in ("a b c d e f g h", "A, b c d e f g x"))
+    assert simhash.similarity(a, b) == 3 / 5 and simhash.similarity(a, a) == 1.0
