@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed_values as fv
+from .choice import first_of
 
 _MONTH_NAMES = (
     "January", "February", "March", "April", "May", "June",
@@ -38,14 +39,14 @@ def band(value: Column, bands: Sequence[tuple[str, Iterable[int]]], default: str
 
     NULL falls into ``default``; with ``default=None`` it stays NULL.
     """
-    chain = F
+    chain = []
     for name, members in bands:
         if isinstance(members, range) and members.step == 1:
             test = value.between(members.start, members.stop - 1)
         else:
             test = value.isin(list(members))
-        chain = chain.when(test, name)
-    return chain.otherwise(F.lit(default))
+        chain.append((test, name))
+    return first_of(chain, F.lit(default))
 
 
 def time_period(hour: Column, null_bucket: bool = True) -> Column:

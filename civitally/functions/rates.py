@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .choice import first_of
+
 
 def rate(part: str | Column, total: str | Column) -> Column:
     """part / total, NULL when the total is 0 or NULL."""
@@ -16,10 +18,10 @@ def rate(part: str | Column, total: str | Column) -> Column:
 def per_unit(total: str | Column, label: str | Column, units: Mapping[str, float]) -> Column:
     """Total divided by the label's number of units (hours, months, days); 1 if not listed."""
     name = F.col(label) if isinstance(label, str) else label
-    chain = F
+    chain = []
     for key, divisor in units.items():
-        chain = chain.when(name == key, F.lit(float(divisor)))
-    return _double(total) / chain.otherwise(F.lit(1.0))
+        chain.append((name == key, F.lit(float(divisor))))
+    return _double(total) / first_of(chain, F.lit(1.0))
 
 
 def pct_difference(a: str | Column, b: str | Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fv
+from .choice import first_of
 
 # A place where no letter, digit or underscore stands before, in any script.
 WORD_START = r"(?<![\p{L}\p{N}_])"
@@ -60,19 +61,19 @@ def classify(column: str | Column, rules: CategoryRules, default: str) -> Column
     Words match inside longer words: HOUSE is found in WAREHOUSE. NULL gets the default.
     """
     text = _col(column)
-    chain = F
+    chain = []
     for name, words in rules:
-        chain = chain.when(text.rlike(any_word(words)), name)
-    return chain.otherwise(default)
+        chain.append((text.rlike(any_word(words)), name))
+    return first_of(chain, default)
 
 
 def classify_values(column: str | Column, groups: CategoryRules, default: str) -> Column:
     """Group of the first value list holding exactly this value."""
     value = _col(column)
-    chain = F
+    chain = []
     for name, values in groups:
-        chain = chain.when(value.isin(list(values)), name)
-    return chain.otherwise(default)
+        chain.append((value.isin(list(values)), name))
+    return first_of(chain, default)
 
 
 def normalize_label(
@@ -93,10 +94,10 @@ def normalize_label(
 def first_contained(column: str | Column, words: Words) -> Column:
     """First listed word contained in the lower-cased text, in upper case; NULL if none."""
     text = F.lower(_col(column))
-    chain = F
+    chain = []
     for word in words:
-        chain = chain.when(text.contains(word), word.upper())
-    return chain.otherwise(F.lit(None).cast("string"))
+        chain.append((text.contains(word), word.upper()))
+    return first_of(chain, F.lit(None).cast("string"))
 
 
 def route(
@@ -110,13 +111,13 @@ def route(
     """
     text = F.lower(_col(column))
     found_type = first_contained(column, types)
-    chain = F
+    chain = []
     for target, words, needed in routes:
         test = text.rlike(any_word(words, prefix=WORD_START))
         if needed is not None:
             test = (found_type == needed) & test
-        chain = chain.when(test, target)
-    return chain.otherwise(F.lit(None).cast("string"))
+        chain.append((test, target))
+    return first_of(chain, F.lit(None).cast("string"))
 
 
 def _col(column: str | Column) -> Column:

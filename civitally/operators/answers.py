@@ -9,14 +9,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
-from ..functions.rates import pct_difference, rate
+from ..functions.rates import direction, pct_difference, rate
 
 ROW_LIMIT = 200
 
 
-def ad_hoc(spark: SparkSession, sql: str, limit: int = ROW_LIMIT) -> DataFrame:
-    """Run a query over the registered views; the answer is a report of at most ``limit`` rows."""
-    return spark.sql(sql).limit(limit)
+def ad_hoc(spark: SparkSession, sql: str, limit: int | None = ROW_LIMIT) -> DataFrame:
+    """Answer one query over the registered views.
+
+    The text is parsed by Spark as a subquery, so a command or a second statement is a syntax
+    error and changes nothing; files cannot be named in place of views. ``limit`` holds
+    only for a text without a LIMIT of its own; None returns all rows.
+    """
+    by_path = "spark.sql.runSQLOnFiles"
+    before = spark.conf.get(by_path)
+    spark.conf.set(by_path, "false")
+    try:
+        found = spark.sql(f"SELECT * FROM (\n{sql.strip().rstrip(';')}\n)")
+    finally:
+        spark.conf.set(by_path, before)
+    return found if limit is None or _has_limit(found) else found.limit(limit)
+
+
+def _has_limit(wrapped: DataFrame) -> bool:
+    """Whether the query inside the wrapping SELECT has an outermost LIMIT, by its analysed plan."""
+    node = wrapped._jdf.queryExecution().analyzed()
+    for name in ("Project", "SubqueryAlias"):
+        if node.nodeName() == "WithCTE":
+            node = node.plan()
+        if node.nodeName() == name:
+            node = node.child()
+    if node.nodeName() == "WithCTE":
+        node = node.plan()
+    return node.nodeName() in ("GlobalLimit", "LocalLimit")
 
 
 def extremes(df: DataFrame, label: str, measure: str) -> DataFrame:
@@ -120,4 +145,4 @@ def compare_flags(wide: DataFrame, key: str, on: str, off: str) -> DataFrame:
     """Difference in percent between the two columns of a flag pivot."""
     change = pct_difference(on, off)
     return wide.select(key, F.col(on), F.col(off), change.alias("pct_diff"),
-                       F.when(change >= 0, "higher").when(change < 0, "lower").alias("direction"))
+                       direction(change).alias("direction"))

@@ -7,6 +7,7 @@ of the rows reaches the shuffle as one row per task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,12 +132,23 @@ def first_rows(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
-    """Rows whose key hashes below ``fraction``.
+def hash_sample(
+    df: DataFrame, key: str | Sequence[str], fraction: float, seed: int = 42
+) -> DataFrame:
+    """Rows whose key hashes below ``fraction``; where it is NULL, all columns stand in for it.
 
-    The same rows whatever the partitioning or retries, unlike ``DataFrame.sample``.
+    The same rows whatever the partitioning or retries, unlike ``DataFrame.sample``. Equal
+    rows go together. Several key columns are hashed with a mark for NULL.
     """
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = [F.col(k).cast("string") for k in keys]
+    if len(keys) > 1:
+        parts = [F.coalesce(p, F.lit("\u0000")) for p in parts]
+    rest = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))).cast("binary"))
+    named = F.concat_ws("|", F.lit(str(seed)), *parts)
+    unnamed = F.concat_ws("|", F.lit(str(seed)), rest)
+    empty = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys])
+    digest = F.md5(F.when(empty, unnamed).otherwise(named).cast("binary"))
     slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return df.filter(slot < int(fraction * 2**32))
 

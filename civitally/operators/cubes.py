@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.choice import first_of
+
 # Grouping sets by name; the key columns are those of ``cube_input``.
 CUBES = {
     "by_hour": ("hour",),
@@ -56,8 +58,8 @@ def cube(cubes: DataFrame, name: str) -> DataFrame:
 
 
 def _cube_name(gid: Column) -> Column:
-    chain = F
+    chain = []
     for name, columns in CUBES.items():
         bits = "".join("0" if key in columns else "1" for key in _KEYS)
-        chain = chain.when(gid == int(bits, 2), name)
-    return chain.otherwise(F.lit(None))
+        chain.append((gid == int(bits, 2), name))
+    return first_of(chain, F.lit(None))

@@ -29,22 +29,34 @@ def drop_partial_month(df: DataFrame, ts: str = "date", min_last_day: int = 28)
     return df.filter(F.col(ts) < df.agg(cutoff.cast(df.schema[ts].dataType)).scalar())
 
 
+def _whole_months(
+    df: DataFrame, ts: str, kind: str | None = None, min_last_day: int = 28
+) -> DataFrame:
+    """Rows per year, month (and kind) without a partial last month, from one scan.
+
+    The last date is the largest of the groups' own, so only the groups are looked at twice.
+    """
+    groups = [F.year(ts).alias("year"), F.month(ts).alias("month"), *([kind] if kind else [])]
+    counts = df.filter(F.col(ts).isNotNull()).groupBy(*groups).agg(
+        F.count("*").alias("n"), F.max(F.col(ts).cast("timestamp_ntz")).alias("_latest"))
+    # As many rows as there are months and kinds, whatever the size of the input.
+    last = F.max("_latest").over(Window.partitionBy())
+    cut = (F.dayofmonth(last) < min_last_day) & (F.col("year") == F.year(last)) & (
+        F.col("month") == F.month(last))
+    return counts.withColumn("_cut", cut).filter(~F.col("_cut")).drop("_cut", "_latest")
+
+
 def monthly_trend(df: DataFrame, ts: str = "date", min_last_day: int = 28) -> DataFrame:
     """Rows per year and month, without a partial last month."""
-    kept = drop_partial_month(df, ts, min_last_day)
-    return kept.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month")).agg(
-        F.count("*").alias("total_crimes")
-    )
+    return _whole_months(df, ts, None, min_last_day).withColumnRenamed("n", "total_crimes")
 
 
 def monthly_trend_by_type(
     df: DataFrame, ts: str = "date", kind: str = "primary_type", min_last_day: int = 28
 ) -> DataFrame:
     """Rows per year, month and type, without a partial last month and NULL types."""
-    kept = drop_partial_month(df, ts, min_last_day).filter(F.col(kind).isNotNull())
-    return kept.groupBy(F.year(ts).alias("year"), F.month(ts).alias("month"), kind).agg(
-        F.count("*").alias("total")
-    )
+    counts = _whole_months(df, ts, kind, min_last_day)
+    return counts.filter(F.col(kind).isNotNull()).withColumnRenamed("n", "total")
 
 
 def monthly_series(df: DataFrame, ts: str = "date", kind: str = "primary_type") -> DataFrame:
@@ -52,8 +64,8 @@ def monthly_series(df: DataFrame, ts: str = "date", kind: str = "primary_type")
 
     Rows are counted per month and type first; the total is summed from those counts.
     """
-    index = cal.month_index(F.year(ts), F.month(ts)).alias("month_idx")
-    counts = drop_partial_month(df, ts).groupBy(index, kind).agg(F.count("*").alias("n"))
+    index = cal.month_index(F.col("year"), F.col("month")).alias("month_idx")
+    counts = _whole_months(df, ts, kind).select(index, kind, "n")
     named = F.filter(F.array(F.lit(TOTAL), F.col(kind)), lambda s: s.isNotNull())
     return counts.select(F.explode(named).alias("series"), "month_idx", "n").groupBy(
         "series", "month_idx"

@@ -79,6 +79,8 @@ def ets_forecast(
     NULL; ``refine`` halves the grid step round the best point that many times.
     """
     grid = np.array(parameter_grid())
+    # Made here: workers get the numbers and need no cache of their own.
+    draws = None if interval is None else _draws(seed, PATHS, horizon)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("month_idx")
@@ -91,7 +93,7 @@ def ets_forecast(
         months = int(pdf["month_idx"].iloc[-1]) + np.arange(1, horizon + 1)
         lower = upper = np.full(horizon, np.nan)
         if interval is not None:
-            shocks = sigma * _draws(seed, PATHS, horizon)
+            shocks = sigma * draws
             paths = _continue(state, params, seasonal, horizon, shocks)
             tail = (1 - interval) / 2
             lower, upper = np.quantile(paths, [tail, 1 - tail], axis=1)

@@ -10,78 +10,71 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RESULT = "query_id long, vec_id long, distance double"
+_BLOCK = "{side}_ids binary, {side}_width int, {side}_points binary"
 
 
 def nearest_rows(
     vectors: DataFrame, queries: DataFrame, k: int = 4, *,
     vec_id: str = "vec_id", query_id: str = "query_id", embedding: str = "embedding",
-    max_local_queries: int = 512, rows_per_block: int = 20_000,
+    rows_per_block: int = 20_000, queries_per_block: int = 512,
 ) -> DataFrame:
     """The k rows nearest to each query: query_id, rank, vec_id, distance (squared L2).
 
-    Up to ``max_local_queries`` query vectors travel to every task. More queries than that
-    are cut into blocks and joined to blocks of rows, so no task and no driver ever holds a
-    whole side. Both ways keep only k candidates per query and block before the shuffle.
+    Rows are packed into blocks where they are read, queries into blocks of their own, and
+    every block of rows meets every block of queries. Spark sends the query blocks to the
+    rows if they are small and pairs the two sides' partitions if not; the rows are
+    never shuffled and nothing passes through the driver. Only k candidates per query and block pair
+    go on to the ranking. NULL vectors, vectors with a NULL and NULL ids are left out; vectors of
+    unequal length have no distance.
     """
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"),
-                          F.col(embedding).cast("array<double>").alias("embedding"))
-    asked = queries.select(F.col(query_id).cast("long").alias("query_id"),
-                           F.col(embedding).cast("array<double>").alias("embedding"))
-    few = asked.limit(max_local_queries + 1).collect()
-    if len(few) <= max_local_queries:
-        found = _search_with_local_queries(rows, few, k)
-    else:
-        found = _search_block_by_block(rows, asked, k, rows_per_block, max_local_queries)
+    rows = _packed(_usable(vectors, vec_id, embedding), "row", rows_per_block)
+    asked = _packed(_usable(queries, query_id, embedding), "query", queries_per_block)
+    found = rows.crossJoin(asked).mapInPandas(_searcher(k), _RESULT)
     nearest = Window.partitionBy("query_id").orderBy("distance", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(nearest))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")
 
 
-def _search_with_local_queries(rows: DataFrame, queries: list, k: int) -> DataFrame:
-    ids = np.array([q.query_id for q in queries], dtype="int64")
-    points = np.array([q.embedding for q in queries], dtype="float64")
+def _usable(df: DataFrame, key: str, embedding: str) -> DataFrame:
+    whole: Column = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull())
+    return df.select(
+        F.col(key).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("embedding")
+    ).filter(F.col("id").isNotNull() & whole)
 
+
+def _packed(df: DataFrame, side: str, most: int) -> DataFrame:
+    """Blocks of at most ``most`` vectors of one length, from the rows of one task."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for width, same in batch.groupby(batch["embedding"].map(len)):
+                for at in range(0, len(same), most):
+                    part = same.iloc[at:at + most]
+                    points = np.stack(part["embedding"].to_numpy()).astype("float64")
+                    yield pd.DataFrame({
+                        f"{side}_ids": [part["id"].to_numpy("int64").tobytes()],
+                        f"{side}_width": [width], f"{side}_points": [points.tobytes()]})
+
+    return df.mapInPandas(pack, _BLOCK.format(side=side))
+
+
+def _searcher(k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch) and len(ids):
-                yield _k_best(ids, points, batch, k)
+            for pair in batch.itertuples(index=False):
+                if pair.row_width == pair.query_width:
+                    yield _k_best(
+                        np.frombuffer(pair.query_ids, "int64"),
+                        np.frombuffer(pair.query_points).reshape(-1, pair.query_width),
+                        np.frombuffer(pair.row_ids, "int64"),
+                        np.frombuffer(pair.row_points).reshape(-1, pair.row_width), k)
 
-    return rows.mapInPandas(search, _RESULT)
+    return search
 
 
-def _search_block_by_block(
-    rows: DataFrame, queries: DataFrame, k: int, rows_per_block: int, queries_per_block: int
-) -> DataFrame:
-    row_blocks = max(1, -(-rows.count() // rows_per_block))
-    query_blocks = max(1, -(-queries.count() // queries_per_block))
-    # Every row block meets every query block once.
-    left = rows.withColumns({
-        "rb": F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks)),
-        "qb": F.explode(_numbers(query_blocks)),
-    })
-    right = queries.withColumns({
-        "qb": F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)),
-        "rb": F.explode(_numbers(row_blocks)),
-    })
-
-    def search(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if block.empty or asked.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "distance": []})
-        points = np.stack(asked["embedding"].to_numpy())
-        return _k_best(asked["query_id"].to_numpy(), points, block, k)
-
-    return left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInPandas(
-        search, _RESULT
-    )
-
-
-def _numbers(count: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
-
-
-def _k_best(ids: np.ndarray, points: np.ndarray, block: pd.DataFrame, k: int) -> pd.DataFrame:
-    matrix = np.stack(block["embedding"].to_numpy())
-    keys = block["vec_id"].to_numpy()
+def _k_best(
+    ids: np.ndarray, points: np.ndarray, keys: np.ndarray, matrix: np.ndarray, k: int
+) -> pd.DataFrame:
     parts = []
     for query, point in zip(ids, points):
         gaps = ((matrix - point) ** 2).sum(axis=1)

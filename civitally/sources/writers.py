@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,11 @@ def write_clean(df: DataFrame, path: str) -> None:
 
 
 def write_mart(df: DataFrame, root: str, name: str, sort: tuple[str, ...] = ()) -> None:
-    """Overwrite one mart. Marts are small aggregates, so one sorted file each."""
-    single = df.coalesce(1)
+    """Overwrite one mart. Marts are small aggregates, so one sorted file each.
+
+    The rows are moved to one task after the aggregate has run in all of them.
+    """
+    single = df.repartition(1)
     rows = single.sortWithinPartitions(*sort) if sort else single
     rows.write.mode("overwrite").parquet(f"{root}/{name}")
 
@@ -33,36 +38,57 @@ def write_jdbc(df: DataFrame, table: str, options: Mapping[str, str]) -> None:
     df.write.format("jdbc").options(**options).option("dbtable", table).mode("overwrite").save()
 
 
+_MARKER = "version long, folder string"
+
+
 def publish(tables: Mapping[str, DataFrame], root: str) -> int:
     """Replace a set of tables together.
 
-    Every table is written to a new version folder; one appended row in ``published``
-    makes the version visible once all of them are complete. A failed run leaves the
-    former version in place, and readers never see a mix of two versions.
+    Every table is written to a new folder of this run's own; one appended row in
+    ``published`` makes it visible once all of them are complete. A failed run leaves the
+    former version in place, and readers never see a mix of two versions. Of two runs at once
+    both are kept and readers agree on one. Older folders stay for readers still on them:
+    ``retired`` lists those that may be removed.
     """
     spark = next(iter(tables.values())).sparkSession
     version = (latest_version(spark, root) or 0) + 1
+    folder = f"v{version}-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/v{version}/{name}")
-    row = spark.range(1).select(F.lit(version).cast("long").alias("version"))
+        df.write.parquet(f"{root}/{folder}/{name}")
+    row = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder"))
     row.coalesce(1).write.mode("append").parquet(f"{root}/published")
     return version
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest complete version under ``root``, or None."""
-    from pyspark.errors import AnalysisException
-
+def _published(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows of all complete versions, or None where nothing has been published."""
     try:
-        published = spark.read.schema("version long").parquet(f"{root}/published")
-    except AnalysisException:
+        return spark.read.schema(_MARKER).parquet(f"{root}/published")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return published.agg(F.max("version")).first()[0]
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """Number of the newest complete version under ``root``, or None."""
+    rows = _published(spark, root)
+    return rows.agg(F.max("version")).first()[0] if rows else None
+
+
+def retired(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Folders of versions older than the ``keep`` newest, for the owner to remove."""
+    rows = _published(spark, root)
+    if rows is None:
+        return []
+    last = rows.agg(F.max("version")).scalar()
+    return [f"{root}/{r.folder}" for r in rows.filter(F.col("version") <= last - keep).collect()]
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the newest complete version."""
-    version = latest_version(spark, root)
-    if version is None:
+    rows = _published(spark, root)
+    newest = rows.agg(F.max(F.struct("version", "folder")).alias("v")).first().v if rows else None
+    if newest is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(f"{root}/v{version}/{name}")
+    return spark.read.parquet(f"{root}/{newest.folder}/{name}")
