@@ -37,11 +37,6 @@ dense AS (SELECT s.series, CAST(m.month_idx AS INTEGER) AS month_idx, coalesce(v
 
 _TOP = ("top AS (SELECT series, sum(value) AS total FROM series WHERE series <> 'ALL'"
         f" AND month_idx // 12 = {fv.RANK_YEAR} GROUP BY 1 ORDER BY total DESC, series LIMIT {fv.TOP_TYPES})")
-_ANALYSED = f"""{_SERIES}, {_TOP},
-fit AS (SELECT series FROM dense WHERE (series = 'ALL' OR series IN (SELECT series FROM top))
-  AND month_idx <= {_idx(fv.TRAIN_END)} GROUP BY 1 HAVING min(value) > 0),
-analysed AS (SELECT * FROM dense WHERE series IN (SELECT series FROM fit))"""
-
 _NAIVE = ("naive AS (SELECT *, lag(value, 12) OVER (PARTITION BY series ORDER BY month_idx) AS predicted"
           " FROM analysed)")
 _GRID = "grid(alpha, beta, gamma, phi) AS (VALUES " + ", ".join(
@@ -52,7 +47,7 @@ _LABEL = "printf('%d-%02d', {0} // 12, {0} % 12 + 1)"
 
 def _fit(tag: str, source: str, where: str, setups: str, horizon: int) -> str:
     """Grid fit of every series and set-up, and its point forecast."""
-    first = "(SELECT min(month_idx) FROM analysed)"
+    first = "(SELECT min(month_idx) FROM dense)"
     starts = ", ".join(
         f"({first if s is None else _idx(s)}, '{k}')" for s in P.train_starts for k in P.seasonals)
     return f"""
@@ -60,7 +55,8 @@ def _fit(tag: str, source: str, where: str, setups: str, horizon: int) -> str:
   FROM (VALUES {starts}) AS v(a, b)),
 {tag}_train AS (SELECT a.series, u.train_start, u.seasonal, list(a.value ORDER BY month_idx) AS ys,
     CAST(count(*) AS INTEGER) AS n, max(month_idx) AS last_idx
-  FROM {source} a JOIN {tag}_setups u ON a.month_idx >= u.start WHERE {where} {setups} GROUP BY ALL),
+  FROM {source} a JOIN {tag}_setups u ON a.month_idx >= u.start WHERE {where} {setups} GROUP BY ALL
+  HAVING min(a.value) > 0 AND count(*) >= {smoothing.MIN_MONTHS}),
 {tag}_start AS (SELECT *, list_transform(ys, lambda v: {_state('v')}) AS steps,
     CASE seasonal WHEN 'mul' THEN list_transform(ys[1:12], lambda v: v / list_avg(ys[1:12]))
       ELSE list_transform(ys[1:12], lambda v: v - list_avg(ys[1:12])) END AS season
@@ -122,13 +118,23 @@ def _paths(tag: str, horizon: int) -> str:
 
 _BT_WHERE = f"a.month_idx <= {_idx(fv.BACKTEST_TRAIN_END)}"
 _SCORE = "avg(abs(v.value - f.predicted)) AS mae, avg(abs(v.value - f.predicted) / nullif(v.value, 0)) * 100 AS mape"
-_BACKTEST = f"""{_ANALYSED}, {_GRID}, {_fit('bt', 'analysed', _BT_WHERE, '', P.backtest_months)},
+# The set-up is chosen on the total; a series is left out for a zero from the chosen start on.
+_ANALYSED = f"""{_SERIES}, {_TOP}, {_GRID},
+{_fit('c', 'dense', _BT_WHERE, "AND a.series = 'ALL'", P.backtest_months)},
+tried AS (SELECT f.train_start, f.seasonal, {_SCORE} FROM c_fc f
+  JOIN dense v ON v.series = f.series AND v.month_idx = f.month_idx GROUP BY ALL),
+setup AS (SELECT train_start, seasonal FROM tried ORDER BY mape, train_start, seasonal LIMIT 1),
+chosen AS (SELECT CAST(substr(train_start, 1, 4) AS INTEGER) * 12 + CAST(substr(train_start, 6, 2) AS INTEGER) - 1
+  AS start_idx FROM setup),
+skipped AS (SELECT series, CASE WHEN min(value) <= 0 THEN 'zero' ELSE 'short' END AS reason FROM dense
+  WHERE (series = 'ALL' OR series IN (SELECT series FROM top)) AND month_idx <= {_idx(fv.TRAIN_END)}
+  AND month_idx >= (SELECT start_idx FROM chosen) GROUP BY 1 HAVING min(value) <= 0 OR count(*) < {smoothing.MIN_MONTHS}),
+analysed AS (SELECT * FROM dense WHERE (series = 'ALL' OR series IN (SELECT series FROM top))
+  AND series NOT IN (SELECT series FROM skipped))"""
+_BACKTEST = f"""{_ANALYSED}, {_fit('bt', 'analysed', _BT_WHERE, '', P.backtest_months)},
 scores AS (SELECT f.series, f.train_start, f.seasonal, {_SCORE} FROM bt_fc f
   JOIN analysed v ON v.series = f.series AND v.month_idx = f.month_idx GROUP BY ALL)"""
-_CHOSEN = f"""{_ANALYSED}, {_NAIVE}, {_GRID}, {_fit('bt', 'analysed', _BT_WHERE, "AND a.series = 'ALL'", P.backtest_months)},
-scores AS (SELECT f.series, f.train_start, f.seasonal, {_SCORE} FROM bt_fc f
-  JOIN analysed v ON v.series = f.series AND v.month_idx = f.month_idx GROUP BY ALL),
-setup AS (SELECT train_start, seasonal FROM scores ORDER BY mape, train_start, seasonal LIMIT 1)"""
+_CHOSEN = f"{_ANALYSED}, {_NAIVE}"
 _WANTED = "AND (u.train_start, u.seasonal) IN (SELECT (train_start, seasonal) FROM setup)"
 _FORECAST = (_CHOSEN + "," + _fit("f", "analysed", f"a.month_idx <= {_idx(fv.TRAIN_END)}", _WANTED, P.horizon)
              + "," + _paths("f", P.horizon) + """,
@@ -163,13 +169,20 @@ def _monthly(spark, sf_dir):
     return cut_lineage(ts.monthly_series(crimes(spark, sf_dir)))
 
 
-def _analysed(spark, sf_dir):
-    return cut_lineage(fc.analysed_series(_monthly(spark, sf_dir), P))
+def _prepared(spark, sf_dir):
+    """The analysed series and the set-up chosen on the total."""
+    candidates, setup = _chosen(spark, sf_dir)
+    return cut_lineage(fc.analysed_series(candidates, setup, P)), setup
+
 
+def _chosen(spark, sf_dir):
+    candidates = cut_lineage(fc.candidate_series(ts.monthly_series(crimes(spark, sf_dir)), P))
+    total = candidates.filter(F.col("series") == ts.TOTAL)
+    return candidates, cut_lineage(fc.choose_setup(fc.backtest_scores(total, P)))
 
-def _setup(series):
-    total = series.filter(F.col("series") == ts.TOTAL)
-    return cut_lineage(fc.choose_setup(fc.backtest_scores(total, P)))
+
+def _analysed(spark, sf_dir):
+    return _prepared(spark, sf_dir)[0]
 
 
 def _forecast(series, setup):
@@ -247,8 +260,8 @@ def model_choice(spark, sf_dir):
 @query(f"{_FORECAST} SELECT series, train_start, seasonal, month_idx, {_rounded('predicted', 'lower', 'upper')}"
        " FROM forecast")
 def ets_interval(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
-    found = fc.forecasts_with_setup(series, _setup(series), P.train_end, P.horizon, P)
+    series, setup = _prepared(spark, sf_dir)
+    found = fc.forecasts_with_setup(series, setup, P.train_end, P.horizon, P)
     return _round(found, "predicted", "lower", "upper").select(
         "series", "train_start", "seasonal", "month_idx", "predicted", "lower", "upper")
 
@@ -263,24 +276,24 @@ compared AS (SELECT n.series, n.month_idx, n.value AS actual, n.predicted AS bas
 @query(f"{_BT_TABLE} SELECT series, month_idx, round(actual, 0) AS actual, round(baseline, 0) AS baseline,"
        " round(model, 0) AS model, round(lower, 0) AS lower, round(upper, 0) AS upper FROM compared")
 def backtest_table(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
-    return fc.backtest_table(series, _setup(series), P)
+    series, setup = _prepared(spark, sf_dir)
+    return fc.backtest_table(series, setup, P)
 
 
 @query(f"{_BT_TABLE} SELECT series, count(*) FILTER (actual BETWEEN lower AND upper) AS months_inside,"
        " count(*) AS months FROM compared GROUP BY 1")
 def interval_coverage(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
+    series, setup = _prepared(spark, sf_dir)
     model = fc.forecasts_with_setup(
-        series, _setup(series), P.backtest_train_end, P.backtest_months, P)
+        series, setup, P.backtest_train_end, P.backtest_months, P)
     return ts.interval_coverage(model, series)
 
 
 @query(f"{_GAPS} SELECT series, month_idx, actual, {_rounded('predicted', 'lower', 'upper', 'gap', 'gap_pct')},"
        " below_interval FROM gaps")
 def shock_gap(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
-    forecast = _forecast(series, _setup(series))
+    series, setup = _prepared(spark, sf_dir)
+    forecast = _forecast(series, setup)
     gaps = ts.shock_gap(forecast, fc.shock_months(series, P))
     return _round(gaps, "predicted", "lower", "upper", "gap", "gap_pct").select(
         "series", "month_idx", "actual", "predicted", "lower", "upper", "gap", "gap_pct",
@@ -290,8 +303,8 @@ def shock_gap(spark, sf_dir):
 @query(f"{_GAPS} SELECT series, {_rounded('shock_gap_pct', 'worst_month_gap_pct')}, worst_month_idx,"
        " months_below_interval FROM shocks")
 def shock_summary(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
-    forecast = _forecast(series, _setup(series))
+    series, setup = _prepared(spark, sf_dir)
+    forecast = _forecast(series, setup)
     summary = ts.shock_summary(ts.shock_gap(forecast, fc.shock_months(series, P)))
     return _round(summary, "shock_gap_pct", "worst_month_gap_pct")
 
@@ -300,8 +313,7 @@ _ANALYSIS_MEASURES = ("mae", "mape", "baseline_mape", "shock_gap_pct", "worst_mo
 
 
 def _analysis(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
-    setup = _setup(series)
+    series, setup = _prepared(spark, sf_dir)
     return fc.series_analysis(series, setup, _forecast(series, setup), P), setup
 
 
@@ -329,8 +341,8 @@ _ROWS = f"""{_FORECAST}, result AS (SELECT f.series, CAST(f.month_idx // 12 AS I
 
 
 def _forecast_rows(spark, sf_dir):
-    series = _analysed(spark, sf_dir)
-    return fc.forecast_rows(_forecast(series, _setup(series)), series, P), series
+    series, setup = _prepared(spark, sf_dir)
+    return fc.forecast_rows(_forecast(series, setup), series, P), series
 
 
 @query(f"{_ROWS} SELECT series, year, month, {_rounded('predicted', 'lower_bound', 'upper_bound')}, actual FROM result")
@@ -351,6 +363,12 @@ def forecast_chart_rows(spark, sf_dir):
     return _round(fc.chart_rows(cut_lineage(rows), series, ts.TOTAL), "predicted", "lower", "upper")
 
 
+@query(f"{_ANALYSED} SELECT series, reason FROM skipped")
+def skipped_series(spark, sf_dir):
+    """Candidates that cannot be fitted from the chosen start, with the reason."""
+    return fc.skipped_series(*_chosen(spark, sf_dir), P)
+
+
 @query(f"{_ANALYSED} SELECT DISTINCT series FROM analysed")
 def series_list(spark, sf_dir):
     return fc.series_list(_analysed(spark, sf_dir))

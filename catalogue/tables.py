@@ -67,7 +67,9 @@ HOLIDAYS = {
 _COLUMNS = {
     "id": "CAST(l_orderkey * 10 + l_linenumber AS {text})",
     "date": "{date}",
-    "primary_type": "{types}",
+    # One of the large types is missing in the first months, before the chosen training start.
+    "primary_type": "CASE WHEN {types} = 'NARCOTICS' AND CAST({date} AS DATE) < DATE '2007-06-01'"
+                    " THEN 'OTHER OFFENSE' ELSE {types} END",
     "description": "CONCAT('D', CAST(l_partkey % 25 AS {text}))",
     "location_description": "{places}",
     "arrest": "l_returnflag = 'R'",

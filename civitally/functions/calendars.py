@@ -171,3 +171,8 @@ def month_of(index: Column) -> Column:
 def label_of(index: Column) -> Column:
     """``YYYY-MM`` of a month index."""
     return month_label(year_of(index), month_of(index))
+
+
+def index_from_label(label: Column) -> Column:
+    """Month index of a ``YYYY-MM`` label."""
+    return F.substring(label, 1, 4).cast("int") * 12 + F.substring(label, 6, 2).cast("int") - 1

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendars as cal
 from ..functions import fixed_values as fv
-from ..operators import quality, series as ts, smoothing
+from ..operators import series as ts, smoothing
 
 
 @dataclass(frozen=True)
@@ -33,14 +33,36 @@ class Periods:
         return cal.index_of(self.backtest_end) - cal.index_of(self.backtest_start) + 1
 
 
-def analysed_series(series: DataFrame, periods: Periods = Periods()) -> DataFrame:
-    """The total and the top series, dense, without series that reach 0 in training."""
+def candidate_series(series: DataFrame, periods: Periods = Periods()) -> DataFrame:
+    """The total and the top series, dense."""
     top = ts.top_series(series, periods.top_n, periods.rank_year).select("series")
     total = series.filter(F.col("series") == ts.TOTAL).select("series").distinct()
-    chosen = ts.densify(series).join(top.unionByName(total), "series", "left_semi")
-    in_training = ts.between_months(None, periods.train_end)
-    fit = quality.eligible_series(chosen, where=in_training).select("series")
-    return chosen.join(fit, "series", "left_semi")
+    return ts.densify(series).join(top.unionByName(total), "series", "left_semi")
+
+
+def skipped_series(
+    candidates: DataFrame, setup: DataFrame, periods: Periods = Periods()
+) -> DataFrame:
+    """series, reason: candidates that cannot be fitted from the chosen start to the end of training.
+
+    ``zero``: a value of 0 or below; ``short``: fewer months than two seasons.
+    """
+    start = setup.select(cal.index_from_label(F.col("train_start"))).scalar()
+    known = candidates.select("series").distinct()
+    used = candidates.filter(
+        (F.col("month_idx") >= start) & ts.between_months(None, periods.train_end))
+    stats = used.groupBy("series").agg(F.min("value").alias("least"), F.count("*").alias("n"))
+    reason = F.when(F.col("least") <= 0, "zero").when(
+        F.coalesce("n", F.lit(0)) < smoothing.MIN_MONTHS, "short")
+    judged = known.join(stats, "series", "left").select("series", reason.alias("reason"))
+    return judged.filter(F.col("reason").isNotNull())
+
+
+def analysed_series(
+    candidates: DataFrame, setup: DataFrame, periods: Periods = Periods()
+) -> DataFrame:
+    """Candidates without the skipped ones. ``setup`` is chosen on the total beforehand."""
+    return candidates.join(skipped_series(candidates, setup, periods), "series", "left_anti")
 
 
 def backtest_forecasts(
@@ -74,10 +96,11 @@ def forecasts_with_setup(
     periods: Periods = Periods(), interval: float | None = 0.8, refine: int = 0,
 ) -> DataFrame:
     """Forecast every series after ``train_end`` with the one set-up in ``setup``."""
-    train = series.filter(ts.between_months(None, train_end))
-    setups = smoothing.with_setups(train, periods.train_starts, periods.seasonals)
     one = setup.select(F.struct("train_start", "seasonal").alias("setup")).scalar()
-    wanted = setups.filter(F.struct("train_start", "seasonal") == one)
+    train = series.filter(ts.between_months(None, train_end)).filter(
+        F.col("month_idx") >= cal.index_from_label(one["train_start"]))
+    wanted = train.select("series", one["train_start"].alias("train_start"),
+                          one["seasonal"].alias("seasonal"), "month_idx", "value")
     return smoothing.ets_forecast(wanted, horizon, interval=interval, refine=refine)
 
 

@@ -52,18 +52,23 @@ def run_forecast(
     trend: DataFrame, by_type: DataFrame, out: str, periods: fc.Periods = fc.Periods(),
     refine: int = 4,
 ) -> int:
-    """Backtest, choose the set-up on the total, forecast every series, publish both tables."""
+    """Backtest, choose the set-up on the total, forecast every series that it fits, publish all tables."""
     monthly = ts.trend_series(trend, by_type)
     quality.fail_on_gaps(monthly.filter(monthly["series"] == ts.TOTAL))
-    series = cut_lineage(fc.analysed_series(monthly, periods))
-    total = series.filter(series["series"] == ts.TOTAL)
+    candidates = cut_lineage(fc.candidate_series(monthly, periods))
+    total = candidates.filter(candidates["series"] == ts.TOTAL)
     setup = cut_lineage(fc.choose_setup(fc.backtest_scores(total, periods, refine)))
+    if setup.isEmpty():
+        raise ValueError("the total series cannot be fitted from any training start")
+    series = cut_lineage(fc.analysed_series(candidates, setup, periods))
     forecast = cut_lineage(fc.forecasts_with_setup(
         series, setup, periods.train_end, periods.horizon, periods, refine=refine))
     analysis = fc.series_analysis(series, setup, forecast, periods, refine)
     return writers.publish({
         "crime_forecast": fc.forecast_rows(forecast, series, periods),
         "forecast_metrics": fc.forecast_metrics(analysis, setup, periods),
+        "skipped_series": fc.skipped_series(candidates, setup, periods),
+        "backtest": fc.backtest_table(series, setup, periods, refine),
     }, out)
 
 

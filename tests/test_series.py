@@ -36,7 +36,8 @@ def make(spark, name, level, months=MONTHS, drop=1.0, zero_at=None):
 @pytest.fixture(scope="module")
 def monthly(spark):
     parts = [make(spark, "ALL", 1000, drop=0.7), make(spark, "THEFT", 500, drop=0.5),
-             make(spark, "BATTERY", 300), make(spark, "RARE", 200, zero_at=20)]
+             make(spark, "BATTERY", 300), make(spark, "RARE", 200, zero_at=120),
+             make(spark, "EARLY", 150, zero_at=20)]
     df = parts[0]
     for part in parts[1:]:
         df = df.unionByName(part)
@@ -58,8 +59,15 @@ def test_mape_skips_zero_actuals(spark):
 
 
 def test_series_with_a_zero_month_is_not_analysed(monthly):
-    names = {r.series for r in fc.analysed_series(monthly).select("series").distinct().collect()}
-    assert names == {"ALL", "THEFT", "BATTERY"}
+    spark = monthly.sparkSession
+    candidates = fc.candidate_series(monthly)
+    for start, skipped in (("2012-01", {"RARE": "zero"}), ("2007-01", {"RARE": "zero", "EARLY": "zero"})):
+        setup = spark.createDataFrame([(start, "mul")], "train_start string, seasonal string")
+        names = {r.series for r in fc.analysed_series(candidates, setup).select("series").distinct().collect()}
+        assert names == {"ALL", "THEFT", "BATTERY", "RARE", "EARLY"} - set(skipped)
+        assert dict(rows(fc.skipped_series(candidates, setup))) == skipped
+    late = spark.createDataFrame([("2019-01", "mul")], "train_start string, seasonal string")
+    assert {r.reason for r in fc.skipped_series(candidates, late).collect()} == {"short"}
 
 
 def test_periods(monthly):
@@ -162,7 +170,10 @@ def test_forecast_job(spark, monthly, tmp_path):
     out = str(tmp_path / "forecast")
     assert run_forecast(trend, by_type, out, refine=1) == 1
     metrics = {r.series: r for r in readers_published(spark, out, "forecast_metrics").collect()}
-    assert set(metrics) == {"ALL", "THEFT", "BATTERY"}
+    skipped = {r.series for r in readers_published(spark, out, "skipped_series").collect()}
+    early = {"EARLY"} - skipped
+    assert set(metrics) == {"ALL", "THEFT", "BATTERY"} | early and "RARE" in skipped
+    assert readers_published(spark, out, "backtest").count() == 12 * len(metrics)
     assert metrics["ALL"].covid_gap_pct == pytest.approx(-30, abs=3)
     assert metrics["THEFT"].covid_gap_pct == pytest.approx(-50, abs=3)
     assert abs(metrics["BATTERY"].covid_gap_pct) < 3
@@ -170,7 +181,7 @@ def test_forecast_job(spark, monthly, tmp_path):
     assert metrics["ALL"].train_end == "2020-02"
     assert metrics["ALL"].mape < metrics["ALL"].baseline_mape
     table = readers_published(spark, out, "crime_forecast")
-    assert table.count() == 36
+    assert table.count() == 12 * len(metrics)
     assert table.filter("actual IS NOT NULL").count() == 12
     chart = fc.chart_rows(table, monthly, "ALL").toPandas().sort_values("date")
     assert chart["date"].iloc[0] == "2016-01" and len(chart) == 50 + 12
@@ -178,7 +189,7 @@ def test_forecast_job(spark, monthly, tmp_path):
     assert joint["actual"] == joint["predicted"]
     assert pd.isna(joint["lower"])
     assert [r.series for r in fc.series_list(
-        readers_published(spark, out, "forecast_metrics")).collect()] == ["ALL", "BATTERY", "THEFT"]
+        readers_published(spark, out, "forecast_metrics")).collect()] == ["ALL", "BATTERY", *sorted(early), "THEFT"]
 
 
 def readers_published(spark, root, name):
