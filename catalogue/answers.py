@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 from civitally.functions import fixed_values as fv
 from civitally.functions import text
 from civitally.operators import answers, cleaning as cl, vectors
-from civitally.operators.cubes import build_cubes
 from civitally.plans import built_in
 from civitally.plans.marts import derive_marts
-from civitally.session import cut_lineage
 
 from . import sql_parts as sp
-from .counts import monthly_counts, yearly_counts
+from .counts import monthly_counts, stored_cubes, yearly_counts
 from .places import area_counts, location_counts, share_by_label
-from .registry import query
+from .registry import SQL, query
 from .tables import crimes, holidays, read, stack
 
 M = sp.MARTS
@@ -188,35 +186,52 @@ def vector_topk_all(spark, sf_dir):
     return found.withColumn("distance", F.round("distance", 6))
 
 
+# Mart: label, measure, rows of its fixed answer, for answers that need no rate.
 _BUILT_IN = {
     "great_recession_by_type": ("primary_type", "total", "LIMIT 10"),
     "community_area_crimes": ("community_area", "total_crimes", "LIMIT 10"),
     "theft_by_location": ("location_description", "total_thefts", "LIMIT 10"),
+    "time_period_crimes": ("time_period", "total_crimes", ""),
     "crimes_by_location": ("location_category", "total_crimes", ""),
     "sport_location_crimes": ("crime_category", "total_crimes", ""),
     "airport_theft_count_comparison": ("location_type", "theft_rate", ""),
     "downtown_vs_residential_theft_robbery": ("area_type", "rate", ""),
     "transit_vs_commercial_robbery_count": ("location_type", "robbery_count", ""),
+    "hourly_crimes": ("CAST(hour AS VARCHAR)", "crime_count", ""),
+    "monthly_crimes": ("CAST(month AS VARCHAR)", "total_crimes", ""),
     "yearly_crimes": ("CAST(year AS VARCHAR)", "total_crimes", ""),
 }
-_BUILT_IN_SQL = " UNION ALL ".join(
-    f"(SELECT '{table}' AS answer_table, {label} AS label, round(CAST({measure} AS DOUBLE), 6) AS value"
-    f" FROM ({M[table]}) ORDER BY {measure} DESC, label {limit})"
-    for table, (label, measure, limit) in _BUILT_IN.items())
-
-
-@query(f"{_BUILT_IN_SQL} UNION ALL SELECT 'season_crimes', season, round(total_crimes / CASE season"
-       f" WHEN 'Summer' THEN 3.0::DOUBLE WHEN 'Late Winter' THEN 2 ELSE 7 END) FROM ({M['season_crimes']})")
+# Event comparisons, by the registered query whose SQL has the same rows.
+_EVENTS = {
+    "christmas_vs_nonchristmas_by_type": "per_day_rate",
+    "halloween_vs_nonhalloween_by_type": "per_day_rate_halloween",
+    "thanksgiving_vs_nonthanksgiving_by_type": "per_day_rate_thanksgiving",
+}
+_BUILT_IN_SQL = " UNION ALL ".join([
+    *(f"(SELECT '{table}' AS answer_table, {label} AS label, round(CAST({measure} AS DOUBLE), 6) AS value"
+      f" FROM ({M[table]}) ORDER BY {measure} DESC, label {limit})"
+      for table, (label, measure, limit) in _BUILT_IN.items()),
+    *(f"SELECT '{table}', concat_ws('|', day_type, primary_type), daily_avg FROM ({SQL[name]})"
+      for table, name in _EVENTS.items()),
+    f"SELECT 'holiday_vs_nonholiday', day_type, daily_avg FROM ({SQL['per_day_rate_holiday']})",
+    "SELECT 'season_crimes', season, round(total_crimes / CASE season WHEN 'Summer' THEN 3.0::DOUBLE"
+    f" WHEN 'Late Winter' THEN 2 ELSE 7 END) FROM ({M['season_crimes']})",
+])
+
+
+@query(_BUILT_IN_SQL)
 def built_in_answers(spark, sf_dir):
-    """The fixed answers to routed questions, stacked as (answer_table, label, value)."""
-    cubes = cut_lineage(build_cubes(crimes(spark, sf_dir)))
-    built = derive_marts(cubes, holidays(spark))
-    measures = {t: (label.replace("CAST(year AS VARCHAR)", "year"), m)
-                for t, (label, m, _) in _BUILT_IN.items()}
-    measures["season_crimes"] = ("season", "per_month")
-    return stack([
-        built_in.answer(table, built.__getitem__).select(
-            F.lit(table).alias("answer_table"), F.col(label).cast("string").alias("label"),
-            F.round(F.col(measure).cast("double"), 6).alias("value"))
-        for table, (label, measure) in measures.items()
-    ])
+    """The fixed answers to all routed questions, stacked as (answer_table, label, value)."""
+    dates = holidays(spark)
+    built = derive_marts(stored_cubes(spark, sf_dir), dates)
+    columns = {table: ([label.removeprefix("CAST(").split(" ")[0]], measure)
+               for table, (label, measure, _) in _BUILT_IN.items()}
+    columns |= {table: (["day_type", "primary_type"], "daily_avg") for table in _EVENTS}
+    columns |= {"holiday_vs_nonholiday": (["day_type"], "daily_avg"), "season_crimes": (["season"], "per_month")}
+    frames = []
+    for table, (label, measure) in columns.items():
+        named = F.col(label[0]).cast("string") if len(label) == 1 else F.concat_ws("|", *label)
+        frames.append(built_in.answer(table, built.__getitem__, holidays=dates).select(
+            F.lit(table).alias("answer_table"), named.alias("label"),
+            F.round(F.col(measure).cast("double"), 6).alias("value")))
+    return stack(frames)

@@ -94,14 +94,12 @@ def key_violations(spark, sf_dir):
     return quality.key_violations(crimes(spark, sf_dir), ["id"])
 
 
-@query("SELECT month_idx FROM (SELECT unnest(range(min(m), max(m) + 1))::INTEGER AS month_idx FROM"
-       " (SELECT year(l_shipdate) * 12 + month(l_shipdate) - 1 AS m FROM lineitem WHERE l_quantity = 1"
-       " AND l_returnflag = 'R' AND l_discount = 0))"
-       " WHERE month_idx NOT IN (SELECT year(l_shipdate) * 12 + month(l_shipdate) - 1 FROM lineitem"
-       " WHERE l_quantity = 1 AND l_returnflag = 'R' AND l_discount = 0)")
+@query("WITH m AS (SELECT DISTINCT l_suppkey, year(l_shipdate) * 12 + month(l_shipdate) - 1 AS m FROM lineitem),"
+       " spans AS (SELECT l_suppkey, unnest(range(min(m), max(m) + 1))::INTEGER AS month_idx FROM m GROUP BY 1)"
+       " SELECT l_suppkey, month_idx FROM spans WHERE NOT EXISTS (SELECT 1 FROM m"
+       " WHERE m.l_suppkey = spans.l_suppkey AND m.m = month_idx)")
 def missing_months(spark, sf_dir):
-    """Months without a returned, undiscounted single item."""
-    rows = read(spark, sf_dir, "lineitem").filter(
-        "l_quantity = 1 AND l_returnflag = 'R' AND l_discount = 0")
+    """Months without a shipment of a supplier, between its first and its last one."""
+    rows = read(spark, sf_dir, "lineitem")
     index = cal.month_index(F.year("l_shipdate"), F.month("l_shipdate"))
-    return quality.missing_months(rows.select(index.alias("month_idx")))
+    return quality.missing_months(rows.select("l_suppkey", index.alias("month_idx")), by=["l_suppkey"])

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from civitally.functions import calendars as cal
 from civitally.functions import fixed_values as fv
-from civitally.functions import rates
+from civitally.functions import rates, text
 from civitally.operators import answers, counting as ct, series as ts
 from civitally.operators.cubes import build_cubes
 from civitally.plans.marts import derive_marts, holiday_split as split_by_holiday, marts
-from civitally.session import cut_lineage
+from civitally.session import shared_dir
 
 from . import sql_parts as sp
 from .registry import query
-from .tables import crimes, holidays, read, stack
+from .tables import RAW_CRIMES, crimes, holidays, raw_crimes, read, stack
 
 M = sp.MARTS
 
@@ -177,11 +179,11 @@ def row_and_distinct(spark, sf_dir):
         F.count("*").alias("n_rows"), F.count_distinct("primary_type").alias("n_types"))
 
 
-@query(f"{sp.WITH}, flags AS (SELECT CASE WHEN arrest THEN true WHEN domestic THEN false END AS arrest"
-       " FROM crimes) SELECT arrest, count(*) AS total FROM flags GROUP BY 1")
+@query(f"WITH {RAW_CRIMES} SELECT CASE lower(trim(\"Arrest\")) WHEN 'true' THEN true WHEN 'false' THEN false END"
+       " AS arrest, count(*) AS total FROM raw_crimes GROUP BY 1")
 def bool_counts(spark, sf_dir):
-    flag = F.when(F.col("arrest"), True).when(F.col("domestic"), False)
-    return ct.count_by(crimes(spark, sf_dir), {"arrest": flag})
+    """Rows by the parsed arrest flag; unreadable ones are NULL."""
+    return ct.count_by(raw_crimes(spark, sf_dir), {"arrest": text.parse_bool("Arrest")})
 
 
 def _describe_sql(column):
@@ -358,34 +360,43 @@ def mart_cube(spark, sf_dir):
     return build_cubes(crimes(spark, sf_dir))
 
 
+def _measures(name):
+    """All measure columns of a mart."""
+    several = {
+        "hourly_crimes": ("crime_count",),
+        "crimes_by_location_and_type": ("total", "location_total"),
+        "airport_theft_count_comparison": ("theft_count", "total_crimes", "theft_rate"),
+        "downtown_vs_residential_theft_robbery": ("tr_crimes", "total_crimes", "rate"),
+        "transit_vs_commercial_robbery_count": ("robbery_count", "total_crimes", "robbery_rate"),
+        "theft_by_location": ("total_thefts", "total_crimes"),
+    }
+    by_type = name.endswith(("_by_type", "_and_type")) and name != "sport_location_crimes_by_type"
+    return several.get(name, ("total",) if by_type else ("total_crimes",))
+
+
 def _all_marts_sql():
     parts = []
     for name, mart in marts().items():
-        measure = _measures(name)[0]
         key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in mart.keys)
-        parts.append(f"SELECT '{name}' AS mart, {key} AS key, CAST({measure} AS BIGINT) AS value FROM ({M[name]})")
+        parts += [f"SELECT '{name}' AS mart, {key} AS key, '{m}' AS measure, round(CAST({m} AS DOUBLE), 6) AS value"
+                  f" FROM ({M[name]})" for m in _measures(name)]
     return " UNION ALL ".join(parts)
 
 
-def _measures(name):
-    first = {
-        "hourly_crimes": "crime_count", "airport_theft_count_comparison": "theft_count",
-        "downtown_vs_residential_theft_robbery": "tr_crimes",
-        "transit_vs_commercial_robbery_count": "robbery_count", "theft_by_location": "total_thefts",
-    }
-    by_type = ("_by_type", "_and_type")
-    counted = "total" if name.endswith(by_type) and name != "sport_location_crimes_by_type" else "total_crimes"
-    return (first.get(name, counted),)
+def stored_cubes(spark, sf_dir):
+    """The cubes as the job keeps them: parquet parted by cube, so a mart reads its own cube only."""
+    folder = f"{shared_dir(spark).rstrip('/')}/cubes-{uuid.uuid4().hex}"
+    build_cubes(crimes(spark, sf_dir)).write.partitionBy("cube").parquet(folder)
+    return spark.read.parquet(folder)
 
 
 @query(_all_marts_sql())
 def all_marts(spark, sf_dir):
-    """Every mart from one scan, stacked as (mart, key, value)."""
-    cubes = cut_lineage(build_cubes(crimes(spark, sf_dir)))
+    """Every measure of every mart from one scan, stacked as (mart, key, measure, value)."""
     frames = []
-    for name, df in derive_marts(cubes, holidays(spark)).items():
+    for name, df in derive_marts(stored_cubes(spark, sf_dir), holidays(spark)).items():
         key = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in marts()[name].keys]
-        frames.append(df.select(
-            F.lit(name).alias("mart"), F.concat_ws("|", *key).alias("key"),
-            F.col(_measures(name)[0]).cast("bigint").alias("value")))
+        values = F.array(*[F.struct(F.lit(m).alias("measure"), F.round(F.col(m).cast("double"), 6).alias("value"))
+                           for m in _measures(name)])
+        frames.append(df.select(F.lit(name).alias("mart"), F.concat_ws("|", *key).alias("key"), F.inline(values)))
     return stack(frames)

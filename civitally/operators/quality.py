@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,13 +18,18 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def missing_months(months: DataFrame, index: str = "month_idx") -> DataFrame:
-    """Months between the first and the last one that have no row."""
-    present = months.select(F.col(index).alias("month_idx")).distinct()
-    span = present.agg(F.min("month_idx").alias("lo"), F.max("month_idx").alias("hi"))
-    # No rows: no span, and explode of NULL gives no months.
-    expected = span.select(F.explode(F.sequence("lo", "hi")).alias("month_idx"))
-    return expected.join(present, "month_idx", "left_anti")
+def missing_months(
+    months: DataFrame, index: str = "month_idx", by: Sequence[str] = ()
+) -> DataFrame:
+    """Months between the first and the last one of each series that have no row.
+
+    The input is read once: every present month looks at the next one and gives the hole between.
+    """
+    present = months.select(*by, F.col(index).alias("month_idx")).distinct()
+    following = F.lead("month_idx").over(Window.partitionBy(*by).orderBy("month_idx"))
+    holes = present.withColumn("_next", following).filter(F.col("_next") > F.col("month_idx") + 1)
+    return holes.select(
+        *by, F.explode(F.sequence(F.col("month_idx") + 1, F.col("_next") - 1)).alias("month_idx"))
 
 
 def fail_on_gaps(months: DataFrame, index: str = "month_idx") -> None:
