@@ -66,7 +66,7 @@ def dedup_by_key(spark, sf_dir):
         "arrest": text.parse_bool("arrest"),
         "domestic": text.parse_bool("domestic"),
     })
-    return cl.dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()])
+    return cl.dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()], ["date"])
 
 
 @query(f"WITH {_CLEAN} SELECT * FROM clean")

@@ -216,8 +216,7 @@ def top_labels(spark, sf_dir):
 
 def _centroid_values():
     return ", ".join(
-        "('{}', {}::DOUBLE, {}::DOUBLE)".format(*line.split())
-        for line in fv.AREA_CENTROIDS.strip().splitlines())
+        "('{}', {}::DOUBLE, {}::DOUBLE)".format(*area) for area in fv.AREA_CENTROIDS)
 
 
 @query(f"SELECT community_area, total_crimes, lat, lng FROM (SELECT * FROM ({M['community_area_crimes']})"

@@ -18,11 +18,11 @@ HOURS_PER_PERIOD = {"Overnight": 8, "Daytime": 8, "Evening": 8}
 MONTHS_PER_SEASON = {"Summer": 3, "Late Winter": 2, "Other": 7}
 
 # Thanksgiving dates, one per year.
-THANKSGIVING_DATES = """
-2020-11-26 2019-11-28 2018-11-22 2017-11-23 2016-11-24 2015-11-26 2014-11-27
-2013-11-28 2012-11-22 2011-11-24 2010-11-25 2009-11-26 2008-11-27 2007-11-22
-2006-11-23 2005-11-24 2004-11-25 2003-11-27 2002-11-28 2001-11-22 2000-11-23
-""".split()
+THANKSGIVING_DATES = (
+    "2020-11-26", "2019-11-28", "2018-11-22", "2017-11-23", "2016-11-24", "2015-11-26", "2014-11-27",
+    "2013-11-28", "2012-11-22", "2011-11-24", "2010-11-25", "2009-11-26", "2008-11-27", "2007-11-22",
+    "2006-11-23", "2005-11-24", "2004-11-25", "2003-11-27", "2002-11-28", "2001-11-22", "2000-11-23",
+)
 
 # New Year, Independence Day, Christmas Day, Veterans Day as month-day.
 FEDERAL_HOLIDAYS = ("01-01", "07-04", "12-25", "11-11")
@@ -212,82 +212,82 @@ RANK_YEAR = 2019
 HISTORY_START_YEAR = 2016
 
 # Community area, latitude, longitude of its centre.
-AREA_CENTROIDS = """
-1 42.011938 -87.665677
-2 41.999314 -87.697159
-3 41.965619 -87.64468
-4 41.974304 -87.694233
-5 41.946454 -87.687485
-6 41.944128 -87.646658
-7 41.921052 -87.636036
-8 41.897827 -87.620397
-9 42.008609 -87.815908
-10 41.982997 -87.809832
-11 41.984603 -87.771602
-12 41.996374 -87.765848
-13 41.981007 -87.718585
-14 41.969366 -87.718181
-15 41.956645 -87.768717
-16 41.954341 -87.716141
-17 41.947155 -87.810773
-18 41.930726 -87.799321
-19 41.927644 -87.766501
-20 41.922683 -87.73309
-21 41.938783 -87.704935
-22 41.923028 -87.696575
-23 41.901336 -87.717703
-24 41.901089 -87.672629
-25 41.896502 -87.771193
-26 41.876321 -87.730884
-27 41.878479 -87.705328
-28 41.877321 -87.662717
-29 41.86247 -87.716361
-30 41.837964 -87.71368
-31 41.850317 -87.663988
-32 41.881527 -87.618742
-33 41.858979 -87.612394
-34 41.841888 -87.634165
-35 41.83621 -87.616148
-36 41.822268 -87.600263
-37 41.809542 -87.632251
-38 41.812351 -87.619113
-39 41.809096 -87.590145
-40 41.7912 -87.61774
-41 41.794078 -87.584535
-42 41.777957 -87.58439
-43 41.762984 -87.559268
-44 41.739082 -87.614244
-45 41.744228 -87.587686
-46 41.744865 -87.540178
-47 41.727748 -87.596537
-48 41.729288 -87.571142
-49 41.710397 -87.62315
-50 41.704803 -87.598353
-51 41.694095 -87.571651
-52 41.711233 -87.529208
-53 41.668524 -87.636998
-54 41.661318 -87.606831
-55 41.661291 -87.550494
-56 41.800105 -87.767986
-57 41.808978 -87.726041
-58 41.818217 -87.697228
-59 41.828801 -87.674176
-60 41.835945 -87.645461
-61 41.808242 -87.660237
-62 41.792994 -87.723871
-63 41.795256 -87.697738
-64 41.779074 -87.773615
-65 41.770826 -87.72488
-66 41.772727 -87.699959
-67 41.778957 -87.663608
-68 41.775437 -87.641752
-69 41.765128 -87.616895
-70 41.744704 -87.707922
-71 41.742969 -87.654969
-72 41.712612 -87.679788
-73 41.719489 -87.649732
-74 41.695989 -87.713143
-75 41.688221 -87.66844
-76 41.978405 -87.883987
-77 41.98779 -87.657549
-"""
+AREA_CENTROIDS = (
+    ("1", 42.011938, -87.665677),
+    ("2", 41.999314, -87.697159),
+    ("3", 41.965619, -87.64468),
+    ("4", 41.974304, -87.694233),
+    ("5", 41.946454, -87.687485),
+    ("6", 41.944128, -87.646658),
+    ("7", 41.921052, -87.636036),
+    ("8", 41.897827, -87.620397),
+    ("9", 42.008609, -87.815908),
+    ("10", 41.982997, -87.809832),
+    ("11", 41.984603, -87.771602),
+    ("12", 41.996374, -87.765848),
+    ("13", 41.981007, -87.718585),
+    ("14", 41.969366, -87.718181),
+    ("15", 41.956645, -87.768717),
+    ("16", 41.954341, -87.716141),
+    ("17", 41.947155, -87.810773),
+    ("18", 41.930726, -87.799321),
+    ("19", 41.927644, -87.766501),
+    ("20", 41.922683, -87.73309),
+    ("21", 41.938783, -87.704935),
+    ("22", 41.923028, -87.696575),
+    ("23", 41.901336, -87.717703),
+    ("24", 41.901089, -87.672629),
+    ("25", 41.896502, -87.771193),
+    ("26", 41.876321, -87.730884),
+    ("27", 41.878479, -87.705328),
+    ("28", 41.877321, -87.662717),
+    ("29", 41.86247, -87.716361),
+    ("30", 41.837964, -87.71368),
+    ("31", 41.850317, -87.663988),
+    ("32", 41.881527, -87.618742),
+    ("33", 41.858979, -87.612394),
+    ("34", 41.841888, -87.634165),
+    ("35", 41.83621, -87.616148),
+    ("36", 41.822268, -87.600263),
+    ("37", 41.809542, -87.632251),
+    ("38", 41.812351, -87.619113),
+    ("39", 41.809096, -87.590145),
+    ("40", 41.7912, -87.61774),
+    ("41", 41.794078, -87.584535),
+    ("42", 41.777957, -87.58439),
+    ("43", 41.762984, -87.559268),
+    ("44", 41.739082, -87.614244),
+    ("45", 41.744228, -87.587686),
+    ("46", 41.744865, -87.540178),
+    ("47", 41.727748, -87.596537),
+    ("48", 41.729288, -87.571142),
+    ("49", 41.710397, -87.62315),
+    ("50", 41.704803, -87.598353),
+    ("51", 41.694095, -87.571651),
+    ("52", 41.711233, -87.529208),
+    ("53", 41.668524, -87.636998),
+    ("54", 41.661318, -87.606831),
+    ("55", 41.661291, -87.550494),
+    ("56", 41.800105, -87.767986),
+    ("57", 41.808978, -87.726041),
+    ("58", 41.818217, -87.697228),
+    ("59", 41.828801, -87.674176),
+    ("60", 41.835945, -87.645461),
+    ("61", 41.808242, -87.660237),
+    ("62", 41.792994, -87.723871),
+    ("63", 41.795256, -87.697738),
+    ("64", 41.779074, -87.773615),
+    ("65", 41.770826, -87.72488),
+    ("66", 41.772727, -87.699959),
+    ("67", 41.778957, -87.663608),
+    ("68", 41.775437, -87.641752),
+    ("69", 41.765128, -87.616895),
+    ("70", 41.744704, -87.707922),
+    ("71", 41.742969, -87.654969),
+    ("72", 41.712612, -87.679788),
+    ("73", 41.719489, -87.649732),
+    ("74", 41.695989, -87.713143),
+    ("75", 41.688221, -87.66844),
+    ("76", 41.978405, -87.883987),
+    ("77", 41.98779, -87.657549),
+)

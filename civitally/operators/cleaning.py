@@ -23,14 +23,17 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def dedup_by_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None,
+    ordered: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key, always the same one: first in ``order``, then by every column.
+    """One row per key, always the same one: first in ``order``, then by every other column.
 
-    NULL keys count as one key. Spark limits each key to one row per map task before the
-    shuffle (WindowGroupLimit), so a hot key reaches its reducer as one row per task.
+    ``ordered`` names the columns that ``order`` already decides. NULL keys count as one
+    key. Spark limits each key to one row per map task before the shuffle
+    (WindowGroupLimit), so a hot key reaches its reducer as one row per task.
     """
-    ties = [F.col(f"`{name}`").asc_nulls_last() for name in df.columns if name not in keys]
+    ties = [F.col(f"`{name}`").asc_nulls_last() for name in df.columns
+            if name not in keys and name not in ordered]
     window = Window.partitionBy(*keys).orderBy(*(order or ()), *ties)
     return df.withColumn("_pick", F.row_number().over(window)).filter("_pick = 1").drop("_pick")
 
@@ -54,7 +57,7 @@ def clean_incidents(
         "arrest": text.parse_bool("arrest"),
         "domestic": text.parse_bool("domestic"),
     })
-    unique = dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()])
+    unique = dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()], ["date"])
     return unique.filter(text.not_containing("location_description", exclusions))
 
 
@@ -78,6 +81,18 @@ def typed_view(df: DataFrame, name: str | None = None) -> DataFrame:
     return typed
 
 
+def quality_report(clean: DataFrame) -> DataFrame:
+    """measure, item, value: description of x and y, counts of the flags, distinct types, in one scan."""
+    flags = [F.count_if(F.col(c).eqNullSafe(F.lit(v))).cast("double").alias(f"{c}|{v}")
+             for c in ("arrest", "domestic") for v in (True, False, None)]
+    numbers = [f(F.col(c).try_cast("double")).cast("double").alias(f"{c}|{name}") for c in ("x", "y") for name, f in (
+        ("count", F.count), ("mean", F.avg), ("stddev", F.stddev_samp), ("min", F.min), ("max", F.max))]
+    stats = clean.agg(*flags, *numbers, F.count_distinct("primary_type").cast("double").alias("primary_type|distinct"))
+    rows = F.array(*[F.struct(F.lit(n.split("|")[0]).alias("item"), F.lit(n.split("|")[1].lower()).alias("measure"),
+                              F.col(f"`{n}`").alias("value")) for n in stats.columns])
+    return stats.select(F.inline(rows))
+
+
 def clean_report(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """Rows and columns before and after; pass the written tables to avoid a second clean."""
     sides = [

@@ -13,7 +13,8 @@ import json
 from collections.abc import Mapping
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import answers, cleaning, quality, series as ts
 from ..operators.cubes import build_cubes
@@ -24,11 +25,15 @@ from .marts import derive_marts, marts
 
 
 def run_clean(spark: SparkSession, raw_path: str, out: str, partitions: int | None = None):
-    """Clean the raw file, then report from the files (the clean plan runs once)."""
+    """Clean the raw file; rows before and after are counted while it is written (one read)."""
     raw = readers.read_raw(spark, raw_path, partitions=partitions)
-    writers.write_clean(cleaning.clean_incidents(raw), out)
-    clean = readers.read_clean(spark, out).drop("incident_year")
-    return cleaning.clean_report(raw, clean)
+    before, after = Observation("before"), Observation("after")
+    rows = F.count(F.lit(1)).alias("n_rows")
+    clean = cleaning.clean_incidents(raw.observe(before, rows)).observe(after, rows)
+    writers.write_clean(clean, out)
+    return spark.createDataFrame(
+        [("before", before.get["n_rows"], len(raw.columns)), ("after", after.get["n_rows"], len(clean.columns))],
+        "stage string, n_rows long, n_columns int")
 
 
 def run_marts(
@@ -96,6 +101,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark(f"civitally-{args.command}", args.time_zone)
     if args.command == "clean":
         run_clean(spark, args.raw, args.out, args.partitions).show()
+        cleaning.quality_report(readers.read_clean(spark, args.out)).show(50, truncate=False)
     elif args.command == "marts":
         jdbc = json.loads(Path(args.jdbc).read_text()) if args.jdbc else None
         run_marts(readers.read_clean(spark, args.clean),

@@ -36,6 +36,7 @@ class Mart:
 
 _MARTS: dict[str, Mart] = {}
 
+# Categories of the catalogue, and the names and descriptions of marts below.
 _TIME = "Time-of-Day"
 _SEASONAL = "Seasonal / Monthly / Holiday"
 _PLACES = "Location-Based / Spatial"

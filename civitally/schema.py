@@ -19,6 +19,7 @@ DROPPED_COLUMNS = (
     "fbi_code", "x_coordinate", "y_coordinate", "updated_on", "location",
 )
 
+# Fixed value: how dates stand in the raw file.
 TIMESTAMP_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
 CLEAN_SCHEMA = T.StructType([

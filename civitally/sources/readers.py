@@ -18,13 +18,16 @@ def read_raw(
     """CSV files with a header, every column as text.
 
     ``header`` names the columns without looking at the file. A gzip file is read by one
-    task, so give ``partitions`` to spread its rows before anything else happens.
+    task, so its rows are spread before anything else happens: over ``partitions``, or as
+    many tasks as a shuffle has. Other files are spread only if ``partitions`` is given.
     """
     reader = spark.read.option("header", True)
     if header is not None:
         reader = reader.schema(schema.text_schema(header))
     rows = reader.csv(path)
-    return rows.repartition(partitions) if partitions else rows
+    if partitions:
+        return rows.repartition(partitions)
+    return rows.repartition() if path.endswith(".gz") else rows
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -53,11 +56,7 @@ def holidays_from_dates(spark: SparkSession, dates: Mapping[str, str]) -> DataFr
 
 def area_centroids(spark: SparkSession) -> DataFrame:
     """community_area, lat, lng of the 77 community areas."""
-    rows = [
-        (area, float(lat), float(lng))
-        for area, lat, lng in (line.split() for line in fv.AREA_CENTROIDS.strip().splitlines())
-    ]
-    return spark.createDataFrame(rows, "community_area string, lat double, lng double")
+    return spark.createDataFrame(list(fv.AREA_CENTROIDS), "community_area string, lat double, lng double")
 
 
 def read_mart(spark: SparkSession, root: str, name: str, listed_only: bool = False) -> DataFrame:
