@@ -17,7 +17,7 @@ WINDOW, STRIDE = 32, 24
 UNITS, WIDTH = 8, 8
 TRIGRAMS = 2048
 _CHUNK = 2048
-_KNOWN_MOST = 100_000
+_KNOWN_MOST, _BYTES = 100_000, 4 << 20
 # ASCII that is neither letter nor digit parts tokens; digits count as one sign.
 _SIGNS = bytes(c if c >= 128 or chr(c).isalpha() else 48 if chr(c).isdigit() else 32 for c in range(256))
 
@@ -199,7 +199,17 @@ class Network:
         return g, dinputs
 
     def scores(self, texts: list) -> np.ndarray:
-        """Score of every text: the largest of all its windows."""
+        """Score of every text: the largest of all its windows. Few texts at a time are held as tokens."""
+        out, group, size = [np.zeros(0)], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text or b"")
+            if size >= _BYTES:
+                out.append(self._scores(group))
+                group, size = [], 0
+        return np.concatenate([*out, self._scores(group)] if group else out)
+
+    def _scores(self, texts: list) -> np.ndarray:
         if len(self.known) > _KNOWN_MOST:
             self._forget()
         numbers = [self.numbers(tokens(t)) for t in texts]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,8 +27,8 @@ def train(docs: DataFrame, labels: DataFrame) -> gru.Network:
     """Network fitted to a bounded sample of the labelled documents outside the held-out quarter.
 
     Labels other than 0 and 1, null ids and ids without a document are passed over. The level
-    comes from the share of label 1 among all training rows. Only the sample's texts reach
-    the driver.
+    comes from the share of label 1 among all training rows. The sample's ids pass the driver;
+    its texts go to the one task that fits the network, which is retried like any other.
     """
     used = labels.where("toxic IN (0, 1)").where(~held_out()).select("doc_id", "toxic").join(
         docs.select("doc_id").where("doc_id IS NOT NULL").distinct(), "doc_id")
@@ -41,8 +42,16 @@ def train(docs: DataFrame, labels: DataFrame) -> gru.Network:
     sample = [(r.doc_id, r.toxic) for r in picked[0].unionByName(picked[1]).collect()]
     ids = docs.sparkSession.createDataFrame(sample, "doc_id long, toxic long")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text")).join(
-        F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(len(sample)).collect()
-    return gru.fit([(bytes(r.text), r.toxic) for r in texts], counts.get(1, 0) / rows)
+        F.broadcast(ids), "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(len(sample))
+    share = counts.get(1, 0) / rows
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given = [(bytes(text), int(toxic)) for b in batches for text, toxic in zip(b["text"], b["toxic"])]
+        yield pd.DataFrame({"state": [pickle.dumps(gru.fit(given, share).__getstate__())]})
+
+    network = gru.Network.__new__(gru.Network)
+    network.__setstate__(pickle.loads(texts.select("text", "toxic").mapInPandas(fit, "state binary").first().state))
+    return network
 
 
 def with_score(docs: DataFrame, network: gru.Network, text: str = "text", out: str = "score") -> DataFrame:

@@ -5,7 +5,8 @@ import re
 from collections import Counter
 
 from civitally.llm import decontaminate
-from civitally.llm.registry import QUERIES, table
+from civitally.llm.queries import QUERIES
+from civitally.llm.registry import table
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -3,7 +3,8 @@ from __future__ import annotations
 import re
 
 from civitally.llm import licenses
-from civitally.llm.registry import QUERIES, table
+from civitally.llm.queries import QUERIES
+from civitally.llm.registry import table
 
 SF_DIR = "/root/testdata/sf0.01"
 LOWER = {c: c + 32 for c in range(65, 91)}

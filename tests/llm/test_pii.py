@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from civitally.llm import pii
-from civitally.llm.registry import QUERIES, table
+from civitally.llm.queries import QUERIES
+from civitally.llm.registry import table
 
 SF_DIR = "/root/testdata/sf0.001"
 

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from civitally.llm import simhash
-from civitally.llm.registry import QUERIES
+from civitally.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"

@@ -3,7 +3,8 @@ from __future__ import annotations
 import numpy as np
 
 from civitally.llm import gru
-from civitally.llm.registry import QUERIES, table
+from civitally.llm.queries import QUERIES
+from civitally.llm.registry import table
 
 SF_DIR = "/root/testdata/sf0.01"
 
