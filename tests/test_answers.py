@@ -118,8 +118,8 @@ def test_nearest_rows_both_ways(spark):
     rows_ = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(4)
     queries = spark.createDataFrame(asked, "query_id long, embedding array<double>")
     expected = sorted(brute_force(points, asked, 4))
-    for limit in (512, 4):
-        found = vectors.nearest_rows(rows_, queries, 4, max_local_queries=limit, rows_per_block=20)
+    for limit in (512, 4):  # queries in one block and in several
+        found = vectors.nearest_rows(rows_, queries, 4, queries_per_block=limit, rows_per_block=20)
         got = sorted(tuple(r) for r in found.collect())
         assert [g[:3] for g in got] == [e[:3] for e in expected]
         assert np.allclose([g[3] for g in got], [e[3] for e in expected])
