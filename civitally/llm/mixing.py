@@ -24,6 +24,8 @@ LEVELS = ("domain", "lang", "source")
 EPOCHS, SEED, SHARE = 4, 7, 0.6
 #: First signs of the order's hash by which a leaf is cut into parts, so that no leaf is sorted whole.
 PART_SIGNS = 3
+#: Tasks over which a leaf is spread when its documents get their places.
+SALTS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -80,7 +82,10 @@ def plan(measured: DataFrame, levels: Sequence[str], weight: Column, share: floa
     planned = cut_lineage(planned.select(
         *levels, "budget", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0).alias("whole"),
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(0).alias("rest")))
-    placed = measured.join(planned, list(levels)).select(
+    # Salted, so that the rows of a large leaf go to many tasks and are summed there first.
+    salted = planned.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = measured.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    placed = dealt.join(salted, [*levels, "salt"]).select(
         *levels, "tokens", "rest", order_hash(F.col("whole")).alias("hash")).withColumn(
         "part", F.substring("hash", 1, PART_SIGNS))
     parts = placed.groupBy(*levels, "rest", "part").agg(F.sum("tokens").alias("tokens"))
