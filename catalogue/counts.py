@@ -300,13 +300,40 @@ def flag_pivot(spark, sf_dir):
                           ["Halloween", "Non-Halloween"])
 
 
+def _per_day_chart(wide, event):
+    """Rows per day on and off an event, by the chart's own numbers of days."""
+    on_days, off_days = fv.CHART_DAYS[event]
+    kept = [c for c in wide.columns if not c.endswith(event)]
+    return wide.select(*kept, F.round(F.col(event) / on_days, 6).alias(event),
+                       F.round(F.col(f"Non-{event}") / off_days, 6).alias(f"Non-{event}"))
+
+
+def _typed_chart(counts, event):
+    return _per_day_chart(ct.pivot_flags(counts, "primary_type", "day_type", [event, f"Non-{event}"]), event)
+
+
 @query(_pivot_sql("thanksgiving_vs_nonthanksgiving_by_type", "Thanksgiving", rate=True))
 def flag_pivot_per_day(spark, sf_dir):
-    on, off = "Thanksgiving", "Non-Thanksgiving"
-    on_days, off_days = fv.CHART_DAYS[on]
-    wide = ct.pivot_flags(flag_dates(spark, sf_dir), "primary_type", "day_type", [on, off])
-    return wide.select("primary_type", F.round(F.col(on) / on_days, 6).alias(on),
-                       F.round(F.col(off) / off_days, 6).alias(off))
+    return _typed_chart(flag_dates(spark, sf_dir), "Thanksgiving")
+
+
+@query(_pivot_sql("christmas_vs_nonchristmas_by_type", "Christmas", rate=True))
+def flag_pivot_per_day_christmas(spark, sf_dir):
+    return _typed_chart(flag_month(spark, sf_dir), "Christmas")
+
+
+@query(_pivot_sql("halloween_vs_nonhalloween_by_type", "Halloween", rate=True))
+def flag_pivot_per_day_halloween(spark, sf_dir):
+    return _typed_chart(flag_day(spark, sf_dir), "Halloween")
+
+
+@query("SELECT round(CAST(coalesce(sum(total_crimes) FILTER (day_type = 'Holiday'), 0) AS DOUBLE) / {}, 6) AS \"Holiday\","
+       " round(CAST(coalesce(sum(total_crimes) FILTER (day_type = 'Non-Holiday'), 0) AS DOUBLE) / {}, 6) AS \"Non-Holiday\""
+       " FROM ({})".format(*fv.CHART_DAYS["Holiday"], M["holiday_vs_nonholiday"]))
+def flag_pivot_per_day_holiday(spark, sf_dir):
+    both = ["Holiday", "Non-Holiday"]
+    counts = holiday_split(spark, sf_dir)
+    return _per_day_chart(counts.groupBy().pivot("day_type", both).agg(F.sum("total_crimes")).na.fill(0, subset=both), "Holiday")
 
 
 _PCT = _pivot_sql("christmas_vs_nonchristmas_by_type", "Christmas", rate=False)

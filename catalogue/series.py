@@ -351,16 +351,29 @@ def forecast_rows(spark, sf_dir):
     return _round(rows, "predicted", "lower_bound", "upper_bound")
 
 
-@query(f"""{_ROWS}, past AS (SELECT month_idx, value FROM analysed WHERE series = 'ALL'
+def _chart_sql(name):
+    return f"""{_ROWS}, past AS (SELECT month_idx, value FROM analysed WHERE series = '{name}'
     AND month_idx // 12 >= {fv.HISTORY_START_YEAR} AND month_idx < {_idx(fv.SHOCK_START)})
 SELECT {_LABEL.format('month_idx')} AS date, value AS actual,
   CASE WHEN month_idx = (SELECT max(month_idx) FROM past) THEN value END AS predicted,
   NULL::DOUBLE AS lower, NULL::DOUBLE AS upper FROM past
 UNION ALL SELECT printf('%d-%02d', year, month), actual, round(predicted, 6), round(lower_bound, 6),
-  round(upper_bound, 6) FROM result WHERE series = 'ALL'""")
-def forecast_chart_rows(spark, sf_dir):
+  round(upper_bound, 6) FROM result WHERE series = '{name}'"""
+
+
+def _chart(spark, sf_dir, name):
     rows, series = _forecast_rows(spark, sf_dir)
-    return _round(fc.chart_rows(cut_lineage(rows), series, ts.TOTAL), "predicted", "lower", "upper")
+    return _round(fc.chart_rows(cut_lineage(rows), series, name), "predicted", "lower", "upper")
+
+
+@query(_chart_sql(ts.TOTAL))
+def forecast_chart_rows(spark, sf_dir):
+    return _chart(spark, sf_dir, ts.TOTAL)
+
+
+@query(_chart_sql("THEFT"))
+def forecast_chart_rows_type(spark, sf_dir):
+    return _chart(spark, sf_dir, "THEFT")
 
 
 @query(f"{_ANALYSED} SELECT series, reason FROM skipped")

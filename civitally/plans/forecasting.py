@@ -183,8 +183,14 @@ def chart_rows(
     forecast_table: DataFrame, series: DataFrame, name: str,
     history_start: int = fv.HISTORY_START_YEAR,
 ) -> DataFrame:
-    """History and forecast of one series; the last history month also starts the prediction."""
+    """History and forecast of one series; the last history month also starts the prediction.
+
+    A name that was not forecast raises KeyError with the names that were (a handful).
+    """
     forecast = forecast_table.filter(F.col("series") == name)
+    if forecast.isEmpty():
+        known = sorted(r.series for r in forecast_table.select("series").distinct().collect())
+        raise KeyError(f"no forecast of {name!r}; there are {', '.join(known)}")
     key = cal.month_key(F.col("year"), F.col("month"))
     first = forecast.agg(F.min(key).alias("first")).scalar()
     index = F.col("month_idx")

@@ -87,7 +87,9 @@ def main(argv: list[str] | None = None) -> None:
     clean.add_argument("--partitions", type=int)
     mart = commands.add_parser("marts")
     mart.add_argument("--clean", required=True)
-    mart.add_argument("--holidays", required=True)
+    dates = mart.add_mutually_exclusive_group(required=True)
+    dates.add_argument("--holidays", help="parquet folder")
+    dates.add_argument("--holidays-jdbc", help="JSON file with url, user, password, driver and dbtable")
     mart.add_argument("--out", required=True)
     mart.add_argument("--jdbc", help="JSON file with url, user, password and driver")
     forecast = commands.add_parser("forecast")
@@ -104,8 +106,12 @@ def main(argv: list[str] | None = None) -> None:
         cleaning.quality_report(readers.read_clean(spark, args.out)).show(50, truncate=False)
     elif args.command == "marts":
         jdbc = json.loads(Path(args.jdbc).read_text()) if args.jdbc else None
-        run_marts(readers.read_clean(spark, args.clean),
-                  readers.read_holidays(spark, args.holidays), args.out, jdbc)
+        if args.holidays:
+            holidays = readers.read_holidays(spark, args.holidays)
+        else:
+            options = json.loads(Path(args.holidays_jdbc).read_text())
+            holidays = readers.read_jdbc(spark, options.pop("dbtable"), options)
+        run_marts(readers.read_clean(spark, args.clean), holidays, args.out, jdbc)
     elif args.command == "forecast":
         version = run_forecast(
             readers.read_mart(spark, args.marts, "monthly_trend"),

@@ -185,6 +185,8 @@ def test_forecast_job(spark, monthly, tmp_path):
     assert table.filter("actual IS NOT NULL").count() == 12
     chart = fc.chart_rows(table, monthly, "ALL").toPandas().sort_values("date")
     assert chart["date"].iloc[0] == "2016-01" and len(chart) == 50 + 12
+    with pytest.raises(KeyError, match="there are ALL, BATTERY"):
+        fc.chart_rows(table, monthly, "NONE")
     joint = chart[chart["date"] == "2020-02"].iloc[0]
     assert joint["actual"] == joint["predicted"]
     assert pd.isna(joint["lower"])
