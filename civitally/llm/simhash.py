@@ -12,6 +12,7 @@ however many documents there are.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -30,8 +31,10 @@ from .rows import ROW_KEY, with_row_key
 
 RADIUS = 2
 SEED = 42
-#: Of near_dedup: fingerprints a text, hashes in its sketch, words in a shingle, and the least similarity.
-PRINTS, SKETCH, SHINGLE, SIMILARITY = 4, 96, 5, 0.8
+#: Of near_dedup: fingerprints a text, words in a shingle, and the least similarity.
+PRINTS, SHINGLE, SIMILARITY = 4, 5, 0.8
+#: Texts of a block, and buckets in which shingles are counted to tell common ones (no bearing on the result).
+TEXTS, BUCKETS = 1024, 1 << 20
 _BLOCK = 1 << 16
 _WORD = re.compile(r"[^\W_]+")
 _LOW63 = (1 << 63) - 1
@@ -134,15 +137,29 @@ def _hashes(pieces: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(SEED)), np.uint64, len(pieces))
 
 
-def profile(text: str | None) -> tuple[int, list[int], bytes]:
-    """Identity, fingerprints and sketch of a text without regard to case and punctuation.
+def _words(text: str | None) -> list[bytes]:
+    return [w.encode() for w in _WORD.findall((text or "").lower())]
 
-    Each fingerprint is the SimHash of the set of words by a hash of its own. The sketch holds the
-    smallest hashes of the five-word shingles; up to SKETCH shingles it is all of them.
-    """
-    words = [w.encode() for w in _WORD.findall((text or "").lower())]
+
+def _shingles(words: list[bytes]) -> np.ndarray:
+    """Sorted hashes of all different five-word shingles."""
     if not words:
-        return 0, [0] * PRINTS, b""
+        return np.empty(0, np.uint64)
+    joined = b" ".join(words)
+    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], stops[:-1] + 1))
+    m = max(1, len(words) - SHINGLE + 1)
+    return np.unique(_hashes([joined[s:e] for s, e in zip(starts[:m].tolist(), stops[-m:].tolist())]))
+
+
+def _identity(words: list[bytes]) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), SEED)).view(np.int64)) if words else 0
+
+
+def _prints(words: list[bytes]) -> list[int]:
+    """SimHashes of the set of words, each by a hash of its own."""
+    if not words:
+        return [0] * PRINTS
     votes = np.zeros((PRINTS, 64), np.int64)
     h = _hashes(sorted(set(words)))
     n = len(h)
@@ -154,29 +171,99 @@ def profile(text: str | None) -> tuple[int, list[int], bytes]:
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB) + np.uint64(k + 1)
         h ^= h >> np.uint64(31)
-    prints = np.packbits(votes * 2 > n, axis=1, bitorder="little").view(np.int64).reshape(-1).tolist()
-    joined = b" ".join(words)
-    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], stops[:-1] + 1))
-    m = max(1, len(words) - SHINGLE + 1)
-    shingles = _hashes([joined[s:e] for s, e in zip(starts[:m].tolist(), stops[-m:].tolist())])
-    sketch = np.unique((shingles >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
-    return int(np.uint64(xxhash.xxh64_intdigest(joined, SEED)).view(np.int64)), prints, sketch
+    return np.packbits(votes * 2 > n, axis=1, bitorder="little").view(np.int64).reshape(-1).tolist()
+
+
+def profile(text: str | None) -> tuple[int, list[int], bytes]:
+    """Identity, fingerprints and all shingles of a text without regard to case and punctuation."""
+    words = _words(text)
+    return _identity(words), _prints(words), _shingles(words).tobytes()
 
 
 def similarity(a: bytes, b: bytes) -> float:
-    """Share of common five-word shingles, estimated from two sketches; exact for short texts."""
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    least = np.union1d(x, y)[:SKETCH]
-    if not len(least):
-        return 1.0
-    return float((np.isin(least, x) & np.isin(least, y)).sum() / len(least))
+    """Share of common five-word shingles of two texts, from all of them."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
+
+
+def _common(texts: DataFrame) -> np.ndarray:
+    """Which buckets of shingles are crowded in some task: a fixed number of bits, whatever the corpus."""
+    def crowded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                # Twice in one text is once: shingles of a text are distinct, buckets nearly so.
+                n[(_shingles(_words(text)) % np.uint64(BUCKETS)).astype(np.int64)] += 1
+        yield pd.DataFrame({"bucket": np.flatnonzero(n >= 8 + 2 * n.mean())})
 
+    bits = np.zeros(BUCKETS, bool)
+    bits[[r.bucket for r in texts.mapInPandas(crowded, "bucket long").distinct().collect()]] = True
+    return bits
 
-def similar_links(texts: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) between texts (id, prints, sketch) of at least the similarity ``least``.
 
-    Candidates share a fingerprint, or have fingerprints of one kind within the radius; of
+def prefix(shingles: np.ndarray, least: float, common: np.ndarray) -> np.ndarray:
+    """The first shingles in one order for all texts, common ones last: two texts of at least the similarity share one.
+
+    At such a similarity both have ``least`` of each one's m shingles in common, so the last
+    ceil(least * m) - 1 of a text cannot hold all common ones.
+    """
+    m = len(shingles)
+    late = common[(shingles % np.uint64(BUCKETS)).astype(np.int64)]
+    return np.concatenate((shingles[~late], shingles[late]))[:m - math.ceil(least * m - 1e-9) + 1]
+
+
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each key of rows sorted by ``keys``, groups of one row left out."""
+    rest = []
+    for batch in chain(batches, [None]):
+        if batch is None:
+            whole, tail = pd.concat(rest) if rest else None, None
+        else:
+            k = batch[keys].to_numpy()
+            if not len(k):
+                continue
+            if rest and (rest[-1][keys].to_numpy()[-1] == k[0]).all() and (k[0] == k[-1]).all():
+                rest.append(batch)
+                continue
+            cut = int(np.flatnonzero((k != k[-1]).any(axis=1))[-1]) + 1 if (k != k[-1]).any() else 0
+            whole, tail = pd.concat([*rest, batch[:cut]]), batch[cut:]
+        if whole is not None and len(whole):
+            k = whole[keys].to_numpy()
+            edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+            starts, stops = np.concatenate(([0], edges)), np.concatenate((edges, [len(k)]))
+            for s, e in zip(starts.tolist(), stops.tolist()):
+                if e - s > 1:
+                    yield whole[s:e]
+        rest = [tail] if tail is not None else []
+
+
+def tree_links(ids: list[int], sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
+    """Links of at least the similarity that connect the texts as all such pairs would; each is verified."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, places = np.unique(np.concatenate(sets), return_inverse=True)
+    offsets, has = np.cumsum(sizes) - sizes, np.zeros(len(places), bool)
+    left = np.arange(len(ids))
+    while len(left) > 1:
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            at = queue.pop()
+            own = places[offsets[at]:offsets[at] + sizes[at]]
+            has[own] = True
+            # The texts left are looked at by their own shingles only.
+            near = left[(np.minimum(sizes[left], sizes[at]) >= least * np.maximum(sizes[left], sizes[at]) - 1e-6)]
+            both = np.fromiter((np.count_nonzero(has[places[offsets[i]:offsets[i] + sizes[i]]]) for i in near), np.int64, len(near))
+            has[own] = False
+            found = near[both / (sizes[near] + sizes[at] - both) >= least]
+            left = left[~np.isin(left, found)]
+            queue.extend(found.tolist())
+            yield from ((ids[i], ids[at]) for i in found.tolist())
+
+
+def fingerprint_pairs(texts: DataFrame) -> DataFrame:
+    """Some candidate pairs (a, b) of texts (id, prints): those that meet by a fingerprint, cheap but not all.
+
+    They share a fingerprint, or have fingerprints of one kind within the radius; of
     texts with equal fingerprints each meets the smallest id.
     """
     every = texts.select("id", F.posexplode("prints").alias("kind", "fp"))
@@ -190,40 +277,95 @@ def similar_links(texts: DataFrame, least: float) -> DataFrame:
     near = met.join(ids.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(
         ids.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b").select(
         F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = same.unionByName(near).where("a <> b").select(
+    return same.unionByName(near).where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    @F.pandas_udf("double")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
 
-    drawn = texts.select("id", "sketch")
-    both = pairs.join(drawn.withColumnsRenamed({"id": "a", "sketch": "of_a"}), "a").join(
-        drawn.withColumnsRenamed({"id": "b", "sketch": "of_b"}), "b")
-    return both.where(alike("of_a", "of_b") >= least).select("a", "b")
+def shared_shingles(docs: DataFrame, least: float) -> DataFrame:
+    """(token, id) of every shingle that the prefixes of several texts share: every similar pair shares one."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
+    common = _common(texts)
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = [_words(t) for t in batch["text"]]
+            tokens = [prefix(_shingles(w), least, common).view(np.int64) if w else np.empty(0, np.int64) for w in words]
+            ids = np.repeat(np.array([_identity(w) for w in words], np.int64), [len(t) for t in tokens])
+            yield pd.DataFrame({"token": np.concatenate([np.empty(0, np.int64), *tokens]), "id": ids})
+
+    def several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches, ["token"]):
+            one = group.drop_duplicates()
+            if len(one) > 1:
+                yield one
+
+    dealt = texts.mapInPandas(deal, "token long, id long").repartition("token").sortWithinPartitions("token")
+    return dealt.mapInPandas(several, "token long, id long")
+
+
+def blocks(shared: DataFrame) -> DataFrame:
+    """(token, x, y, id): the texts of each token in blocks that meet pairwise, so that no task holds more than two."""
+    sums = shared.groupBy("token").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("texts"),
+        F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    # Tokens of the same texts ask the same question.
+    asked = sums.groupBy("n", "texts").agg(F.min("token").alias("token")).select(
+        "token", F.ceil(F.col("n") / TEXTS).cast("int").alias("many"))
+    own = F.pmod(F.xxhash64("id"), F.col("many")).cast("int")
+    met = shared.join(asked, "token").select("token", "id", own.alias("own"), F.explode(
+        F.sequence(F.lit(0), F.col("many") - 1)).alias("other"))
+    return met.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id")
 
 
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One document of each group of copies: that with the smallest doc_id (nulls last).
 
     Texts that differ in case and punctuation only are copies, and so are texts linked by
-    a similarity of at least ``least`` on five-word shingles. A text at a similarity of 0.8 has
-    its word set's SimHash within two bits about every other time, so four of them are
-    compared, each at its anchors. Null and wordless texts are one group. Of wholly equal rows one
-    stays. The columns of ``docs`` come back, whatever their names.
+    a similarity of at least ``least`` on all their five-word shingles. Fingerprints of the word sets
+    that meet at anchors link most of them at small cost; where texts that share a shingle of
+    their prefixes are not yet all linked, they are compared in full, so no link is missed. Null and
+    wordless texts are one group. Of wholly equal rows one stays. The columns of ``docs`` come back,
+    whatever their names.
     """
 
-    @F.pandas_udf("struct<id: long, prints: array<long>, sketch: binary>")
+    @F.pandas_udf("struct<id: long, prints: array<long>>")
     def profiles(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([profile(t) for t in texts], columns=["id", "prints", "sketch"])
+        words = [_words(t) for t in texts]
+        return pd.DataFrame({"id": [_identity(w) for w in words], "prints": [_prints(w) for w in words]})
+
+    @F.pandas_udf("binary")
+    def all_shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([_shingles(_words(t)).tobytes() for t in texts], dtype=object)
+
+    @F.pandas_udf("double")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(batches, ["token", "x", "y"]):
+            sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+            yield pd.DataFrame(list(tree_links(group["id"].tolist(), sets, least)), columns=["a", "b"], dtype="int64")
 
     keyed = with_row_key(docs)
     rows = cut_lineage(keyed.select("doc_id", *ROW_KEY, profiles("text").alias("p")).select(
-        "doc_id", *ROW_KEY, "p.id", "p.prints", "p.sketch"))
-    texts = cut_lineage(rows.groupBy("id").agg(F.first("prints").alias("prints"), F.first("sketch").alias("sketch")))
-    found = roots(similar_links(texts, least)).withColumnRenamed("node", "id")
-    rooted = rows.select("doc_id", *ROW_KEY, "id").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    first = rooted.groupBy("root").agg(
+        "doc_id", *ROW_KEY, "p.id", "p.prints"))
+    texts = rows.groupBy("id").agg(F.first("prints").alias("prints"), F.min(F.struct(*ROW_KEY)).alias("row"))
+    texts = cut_lineage(texts.select("id", "prints", *(F.col(f"row.{c}") for c in ROW_KEY)))
+    pairs = cut_lineage(fingerprint_pairs(texts))
+    shared = cut_lineage(shared_shingles(docs, least))
+    asked = shared.select("id").unionByName(pairs.select(F.col("a").alias("id"))).unionByName(
+        pairs.select(F.col("b").alias("id"))).distinct().join(texts.drop("prints"), "id")
+    sets = cut_lineage(keyed.select(*ROW_KEY, "text").join(asked, ROW_KEY).dropDuplicates(ROW_KEY).select(
+        "id", all_shingles("text").alias("shingles")))
+    both = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "of_a"}), "a").join(
+        sets.withColumnsRenamed({"id": "b", "shingles": "of_b"}), "b")
+    known = roots(both.where(alike("of_a", "of_b") >= least).select("a", "b")).withColumnRenamed("node", "id")
+    rooted = shared.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    dealt = blocks(rooted).join(sets, "id").repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
+    more = dealt.select("token", "x", "y", "id", "shingles").mapInPandas(verify, "a long, b long")
+    found = roots(known.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("node", "id")
+    grouped = rows.select("doc_id", *ROW_KEY, "id").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    first = grouped.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *ROW_KEY)).alias("kept"))
     kept = first.select(*(F.col(f"kept.{c}") for c in ROW_KEY))
     return keyed.join(kept, ROW_KEY).dropDuplicates(ROW_KEY).select(*docs.columns)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -122,3 +123,75 @@ def test_near_copies_go_and_others_stay(spark):
 def test_sketch_is_exact_for_short_texts():
     a, b = (simhash.profile(t)[2] for t in ("a b c d e f g h", "A, b c d e f g x"))
     assert simhash.similarity(a, b) == 3 / 5 and simhash.similarity(a, a) == 1.0
+
+
+def brute_roots(texts, least=0.8):
+    """Component of each text by the exact similarity of all pairs."""
+    sets = []
+    for t in texts:
+        words = "".join(c if c.isalnum() else " " for c in t.lower()).split()
+        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))})
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if (both := len(x & sets[j])) and both / (len(x) + len(sets[j]) - both) >= least:
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(len(texts))]
+
+
+def near_variants(rnd, count, words, edits, vocabulary=30000):
+    base = [f"v{rnd.randrange(vocabulary)}" for _ in range(words)]
+    out = [" ".join(base)]
+    for _ in range(count):
+        copy = list(base)
+        for place in rnd.sample(range(words), edits):
+            copy[place] = f"x{rnd.randrange(vocabulary)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def kept_ids(spark, texts):
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    return sorted(r.doc_id for r in simhash.near_dedup(spark.createDataFrame(rows, DOCS)).collect())
+
+
+def test_a_group_of_variants_of_one_original(spark):
+    # Each variant is near the original; few variants are near one another.
+    texts = near_variants(random.Random(3), 1000, 120, 2)
+    texts = texts[1:] + texts[:1]
+    assert kept_ids(spark, texts) == sorted(set(brute_roots(texts)))
+
+
+def test_long_pairs_on_both_sides_of_the_threshold(spark):
+    rnd = random.Random(8)
+    texts = [t for k in range(240) for t in near_variants(rnd, 1, 400, 6 + k % 8)]
+    assert kept_ids(spark, texts) == sorted(set(brute_roots(texts)))
+
+
+def test_blocks_of_a_large_group_meet(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TEXTS", 16)
+    texts = near_variants(random.Random(5), 150, 120, 2)
+    assert kept_ids(spark, texts) == sorted(set(brute_roots(texts)))
+
+
+def test_similarity_is_exact_for_long_texts():
+    a = [f"w{i}" for i in range(2004)]
+    b = a[:1800] + [f"z{i}" for i in range(204)]
+    x, y = (simhash.profile(" ".join(t))[2] for t in (a, b))
+    assert simhash.similarity(x, y) == 1796 / (2 * 2000 - 1796)
+
+
+def test_prefixes_of_similar_texts_meet():
+    rnd, crowded = np.random.default_rng(1), np.zeros(simhash.BUCKETS, bool)
+    crowded[::3] = True
+    for n in range(1, 200):
+        drawn = np.unique(rnd.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
+        both = -(-8 * n // 10)  # the fewest common ones of n at 0.8 where the other text has no more
+        x, y = np.sort(drawn[:n]), np.sort(drawn[:both])
+        assert np.isin(simhash.prefix(x, 0.8, crowded), simhash.prefix(y, 0.8, crowded)).any()
