@@ -1,8 +1,8 @@
 """License detection by ordered signature rules, with DataFrame functions only.
 
 A text is reduced to its lower-case words. Rules are regular expressions over the words joined by
-spaces; a rule is tried only where its keyword occurs, and rules are tried only on texts that
-speak of licenses at all. A rule's priority says how explicit it is: identifier tags come
+spaces; a rule is tried only where its keyword and a cue of its form occur, and rules are tried
+only on texts that hold the first word of a cue. Every match holds both. A rule's priority says how explicit it is: identifier tags come
 before grants, grants before titles, titles before mere mentions. A detection that lies inside
 another one of the same or a better priority is suppressed.
 """
@@ -18,8 +18,6 @@ from pyspark.sql import Window
 from .registry import query, table
 from .rows import ROW_KEY, once, with_row_key
 
-#: Substrings of which a lower-cased text must hold one before any rule is tried.
-GATE = ("licen", "spdx", "copyright", "public domain", "copyleft")
 #: Words of a phrase, and its label, looked for in every text.
 PHRASES = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("general", "public", "license"), "gpl"))
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -108,6 +106,22 @@ OTHERS = (
 )
 
 
+#: Of each form, in order: strings of which every match holds one.
+CUES = (("spdx",), ("spdx",), ("licen",), ("licen",),
+        ("released under", "distributed under", "published under", "available under", "provided under"),
+        ("governed by", "subject to"), ("licen",), ("licen",))
+#: The same of each of the other rules.
+OTHER_CUES = (("domain",), ("domain",), ("reserved",), ("copyright",), ("licen",), ("licen",), ("licen",))
+#: Of which a lower-cased text must hold one before any rule is tried: the cues' first words, so that
+#: what stands between words does not matter.
+GATE = tuple(sorted({cue.split()[0] for cues in CUES + OTHER_CUES for cue in cues}))
+
+
+def rule_cues() -> list[tuple[str, ...]]:
+    """The cues of every rule, in the order of the rules."""
+    return [cues for cues in CUES for _ in NAMES] + list(OTHER_CUES)
+
+
 def rules() -> list[tuple[int, str, str, str]]:
     """(priority, label, keyword, expression) of all rules."""
     made = []
@@ -133,10 +147,11 @@ def _detections() -> Column:
     """
     table_ = ", ".join(
         f"named_struct('p', {p}, 'label', {_literal(label)}, 'key', {_literal(key)}, "
-        f"'rule', {_literal(f'(?<= )(?:{rule})(?= )')})" for p, label, key, rule in rules())
+        f"'cues', array({', '.join(map(_literal, cues))}), 'rule', {_literal(f'(?<= )(?:{rule})(?= )')})"
+        for (p, label, key, rule), cues in zip(rules(), rule_cues(), strict=True))
     marked = "split(trim(regexp_replace(spaced, r.rule, '\\u0001$0\\u0002')), ' ')"
     places = ("filter(transform({}, (w, i) -> CASE WHEN {} THEN i END), i -> i IS NOT NULL)").format
-    return once(f"""flatten(transform(filter(array({table_}), r -> contains(spaced, r.key)), r ->
+    return once(f"""flatten(transform(filter(array({table_}), r -> contains(spaced, r.key) AND exists(r.cues, c -> contains(spaced, c))), r ->
         transform(arrays_zip({places(marked, "startswith(w, '\\u0001')")}, {places(marked, "endswith(w, '\\u0002')")}),
             x -> named_struct('start', x['0'], 'end', x['1'] + 1, 'p', r.p, 'label', r.label))))""")
 

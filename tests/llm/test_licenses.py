@@ -54,3 +54,28 @@ def test_written_texts(spark):
 
 def test_hundreds_of_rules_compile():
     assert len(licenses.rules()) > 300 and all(re.compile(r[3]) for r in licenses.rules())
+
+
+def test_no_gate_stands_before_the_rules(spark, monkeypatch):
+    texts = [
+        "Distributed under the MIT.", "Released under CC BY-SA 4.0", "Published under the BSD 3-clause", "subject to ISC",
+        "Governed by the terms of the WTFPL", "(c) 2020 ACME. All rights reserved.", "dedicated to the public-domain",
+        "public\ndomain dedication", "available\tunder (Zlib)", "provided under zero-clause BSD", "SPDX short identifier: MIT"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: fields(r) for r in licenses.with_licenses(docs).collect()}
+    held = {r.doc_id: fields(r) for r in QUERIES["op6_license_labels"](spark, "/root/testdata/sf0.001").collect()}
+    monkeypatch.setattr(licenses, "GATE", ("",))
+    assert found == {i: plain(t) for i, t in enumerate(texts)} and all(f[5] and f[6] for f in found.values())
+    assert held == {r.doc_id: plain(r.text or "") for r in table(spark, "/root/testdata/sf0.001", "documents").collect()}
+
+
+def test_every_match_of_a_form_holds_a_cue():
+    leads = ("spdx license identifier mit", "spdx short identifier mit", "license expression mit", "licenced under mit",
+             "published under mit", "governed by mit", "mit licence", "license mit")
+    for k, lead in enumerate(leads):
+        rule = licenses.rules()[k * len(licenses.NAMES)][3]
+        assert re.fullmatch(rule, lead) and any(c in lead for c in licenses.CUES[k])
+    assert len(licenses.rule_cues()) == len(licenses.rules())
+    # A title holds license by its name or by the word after it.
+    titles = licenses.rules()[6 * len(licenses.NAMES):7 * len(licenses.NAMES)]
+    assert all("licen" in re.sub(r"\(\?:[^()]*\)\?", "", t[3]) for t in titles)
