@@ -4,7 +4,7 @@ Patterns find the protected entities. Around them, corpus co-occurrence tells ho
 gives them away: with IC(kind) = -log p(kind) and PMI(term; kind) estimated from the words
 in the contexts of the kind and in the whole corpus, the disclosure of a term is PMI / IC. It is
 1 for a term met only beside such entities and 0 for one that is independent of them. Terms above
-a threshold are generalised, above a higher one removed, wherever they stand in a context.
+a threshold are generalised, above a higher one removed, wherever they stand in a text that holds an entity.
 """
 
 from __future__ import annotations
@@ -145,13 +145,38 @@ def disclosing_terms(docs: DataFrame, marks: DataFrame) -> DataFrame:
         F.col("disclosure") >= GENERALISE)
 
 
+def occurrences(keyed: DataFrame, terms: DataFrame) -> DataFrame:
+    """(row key, start, end, term) of every word that may be one of ``terms``, in texts that hold an entity."""
+    bits = _bits(terms)
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: dict[str, bool] = {}
+            rows = []
+            for *key, text in batch.itertuples(index=False):
+                words = {w.lower() for w in _WORD.findall(text)}
+                new = [w for w in words if w not in known]
+                hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in new), np.uint64, len(new))
+                places = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
+                known.update(zip(new, (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).tolist()))
+                if not any(map(known.get, words)) or not (taken := base_spans(text)):
+                    continue
+                rows += [(*key, m.start(), m.end(), w) for m in _WORD.finditer(text) if known[w := m[0].lower()]
+                         and not any(s < m.end() and m.start() < e for s, _, e in taken)]
+            yield pd.DataFrame(rows, columns=[*ROW_KEY, "start", "end", "term"])
+
+    return keyed.select(*ROW_KEY, "text").mapInPandas(
+        find, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, start int, end int, term string")
+
+
 def with_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with ``pii_spans``: entities and terms of the whole text, in order.
 
     A span has start and end (code points, end exclusive), kind (email, ip, card, phone or
     term) and ``action``: mask, generalise or remove. Null and empty texts have none. Equal
     rows have equal spans; null ids do not matter, as rows are told apart by their content.
-    Only texts that may hold an entity are read by Python and joined; others pass through.
+    Disclosing terms are spans wherever they stand in a text with an entity, beside it or not. Only texts
+    that may hold an entity are read by Python and joined; others pass through.
     """
     @F.pandas_udf("array<struct<kind: int, start: int, end: int, value: long, term: string>>")
     def detect(texts: pd.Series) -> pd.Series:
@@ -162,8 +187,11 @@ def with_spans(docs: DataFrame) -> DataFrame:
     may = F.coalesce(F.col("text").rlike(MAY_HOLD), F.lit(False))
     marks = keyed.where(may).select(*ROW_KEY, detect("text").alias("marks")).where(F.size("marks") > 0)
     marks = cut_lineage(marks.dropDuplicates(ROW_KEY).select(*ROW_KEY, F.inline("marks")))
-    terms = marks.where("term IS NOT NULL").join(disclosing_terms(docs, marks), ["term", "kind"]).groupBy(
-        *ROW_KEY, "start", "end").agg(F.max("disclosure").alias("d"))
+    telling = cut_lineage(disclosing_terms(docs, marks).groupBy("term").agg(F.max("disclosure").alias("d")))
+    # A word cut short by the entity it touches is a term beside it, but no word of the text.
+    beside = marks.where("term IS NOT NULL").select(*ROW_KEY, "start", "end", "term")
+    terms = beside.unionByName(occurrences(keyed.where(may), telling)).join(telling, "term").groupBy(
+        *ROW_KEY, "start", "end").agg(F.max("d").alias("d"))
     names = F.array(*map(F.lit, KINDS))
     spans = marks.where("term IS NULL").select(
         *ROW_KEY, F.struct("start", F.col("kind").alias("order"), "end", names[F.col("kind")].alias("kind"),

@@ -69,3 +69,17 @@ def test_terms_that_give_entities_away(spark):
     assert all(found[i] == t for i, t in rows if i >= 100)
     spans = {r.doc_id: r.pii_spans for r in pii.with_spans(docs).collect()}
     assert {s.kind for s in spans[0]} == {"email", "term"} and spans[200] == []
+
+
+def test_disclosing_terms_go_far_from_the_entity_too(spark):
+    rnd = random.Random(6)
+    filler = "the of and is to in that was for with".split()
+    some = lambda n: " ".join(rnd.choices(filler, k=n))
+    rows = [(i, f"{some(30)} Mailbox x{i}@a.org {some(40)}{' Mailbox, mailbox ' + some(9) if i < 3 else ''}") for i in range(12)]
+    rows += [(100 + i, some(200)) for i in range(30)]
+    rows += [(50, f"Mailbox {some(40)} call +1 212 555 0100")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert all("mailbox" not in found[i].lower() for i, _ in rows)
+    spans = {r.doc_id: r.pii_spans for r in pii.with_spans(docs).collect()}
+    assert [s.kind for s in spans[0]] == ["term", "email", "term", "term"]
