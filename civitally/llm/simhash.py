@@ -193,7 +193,6 @@ def _common(texts: DataFrame) -> np.ndarray:
         n = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for text in batch["text"]:
-                # Twice in one text is once: shingles of a text are distinct, buckets nearly so.
                 n[(_shingles(_words(text)) % np.uint64(BUCKETS)).astype(np.int64)] += 1
         yield pd.DataFrame({"bucket": np.flatnonzero(n >= 8 + 2 * n.mean())})
 
@@ -213,29 +212,51 @@ def prefix(shingles: np.ndarray, least: float, common: np.ndarray) -> np.ndarray
     return np.concatenate((shingles[~late], shingles[late]))[:m - math.ceil(least * m - 1e-9) + 1]
 
 
+def _wholes(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by ``keys`` in pieces that hold all rows of their keys."""
+    rest = []
+    for batch in batches:
+        k = batch[keys].to_numpy()
+        if not len(k):
+            continue
+        if rest and (rest[-1][keys].to_numpy()[-1] == k[-1]).all():
+            rest.append(batch)
+            continue
+        last = (k != k[-1]).any(axis=1)
+        cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+        if rest or cut:
+            yield pd.concat([*rest, batch[:cut]])
+        rest = [batch[cut:]]
+    if rest:
+        yield pd.concat(rest)
+
+
 def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The rows of each key of rows sorted by ``keys``, groups of one row left out."""
-    rest = []
-    for batch in chain(batches, [None]):
-        if batch is None:
-            whole, tail = pd.concat(rest) if rest else None, None
-        else:
-            k = batch[keys].to_numpy()
-            if not len(k):
-                continue
-            if rest and (rest[-1][keys].to_numpy()[-1] == k[0]).all() and (k[0] == k[-1]).all():
-                rest.append(batch)
-                continue
-            cut = int(np.flatnonzero((k != k[-1]).any(axis=1))[-1]) + 1 if (k != k[-1]).any() else 0
-            whole, tail = pd.concat([*rest, batch[:cut]]), batch[cut:]
-        if whole is not None and len(whole):
-            k = whole[keys].to_numpy()
-            edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-            starts, stops = np.concatenate(([0], edges)), np.concatenate((edges, [len(k)]))
-            for s, e in zip(starts.tolist(), stops.tolist()):
-                if e - s > 1:
-                    yield whole[s:e]
-        rest = [tail] if tail is not None else []
+    for whole in _wholes(batches, keys):
+        k = whole[keys].to_numpy()
+        edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        starts, stops = np.concatenate(([0], edges)), np.concatenate((edges, [len(k)]))
+        several = stops - starts > 1
+        yield from (whole[s:e] for s, e in zip(starts[several].tolist(), stops[several].tolist()))
+
+
+def with_partner(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """(token, id) of the rows (token, size, id, pos), sorted, beside which another text of the token may be similar.
+
+    Sizes of similar texts differ by the factor ``least`` at most, and of all sizes the nearest one fits
+    best. Of two texts alone no more shingles can be common than follow their first common one.
+    """
+    again = (rows["token"].to_numpy()[1:] == rows["token"].to_numpy()[:-1]) & (
+        rows["id"].to_numpy()[1:] == rows["id"].to_numpy()[:-1])
+    rows = rows[np.concatenate(([True], ~again))]
+    token, size, pos = (rows[c].to_numpy(np.int64) for c in ("token", "size", "pos"))
+    same = token[1:] == token[:-1]
+    alone = same & ~np.concatenate(([False], same[:-1])) & ~np.concatenate((same[1:], [False]))
+    x, y = size[:-1], size[1:]
+    most = np.minimum(x - pos[:-1], y - pos[1:])
+    close = same & (x >= least * y - 1e-6) & (~alone | (most >= least / (1 + least) * (x + y) - 1e-6))
+    return rows.loc[np.concatenate((close, [False])) | np.concatenate(([False], close)), ["token", "id"]]
 
 
 def tree_links(ids: list[int], sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
@@ -282,25 +303,27 @@ def fingerprint_pairs(texts: DataFrame) -> DataFrame:
 
 
 def shared_shingles(docs: DataFrame, least: float) -> DataFrame:
-    """(token, id) of every shingle that the prefixes of several texts share: every similar pair shares one."""
+    """(token, id) of shingles that prefixes of several texts of like sizes share: every similar pair shares one."""
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     common = _common(texts)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            words = [_words(t) for t in batch["text"]]
-            tokens = [prefix(_shingles(w), least, common).view(np.int64) if w else np.empty(0, np.int64) for w in words]
-            ids = np.repeat(np.array([_identity(w) for w in words], np.int64), [len(t) for t in tokens])
-            yield pd.DataFrame({"token": np.concatenate([np.empty(0, np.int64), *tokens]), "id": ids})
-
-    def several(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(batches, ["token"]):
-            one = group.drop_duplicates()
-            if len(one) > 1:
-                yield one
-
-    dealt = texts.mapInPandas(deal, "token long, id long").repartition("token").sortWithinPartitions("token")
-    return dealt.mapInPandas(several, "token long, id long")
+            out = [np.empty((0, 4), np.int64)]
+            for words in map(_words, batch["text"]):
+                if words:
+                    held = _shingles(words)
+                    first = prefix(held, least, common).view(np.int64)
+                    n = len(first)
+                    out.append(np.column_stack((first, np.full(n, len(held)), np.full(n, _identity(words)), np.arange(n))))
+            yield pd.DataFrame(np.concatenate(out), columns=["token", "size", "id", "pos"])
+
+    def partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in _wholes(batches, ["token"]):
+            yield with_partner(whole, least)
+
+    dealt = texts.mapInPandas(deal, "token long, size int, id long, pos int").repartition("token")
+    return dealt.sortWithinPartitions("token", "size", "id").mapInPandas(partners, "token long, id long")
 
 
 def blocks(shared: DataFrame) -> DataFrame:
