@@ -121,7 +121,9 @@ def with_shards(df: DataFrame, size: Column, group: Column, order: Sequence[str]
     """
     kept = [c for c in df.columns if c not in ("size", "shard", "slot")]
     sized = df.withColumns({"__size": F.greatest(F.coalesce(size, F.lit(1)), F.lit(1)).cast("long"), "__group": group})
-    placed = _with_places(sized.select(*kept, "__size", "__group", *(
+    # By place, because functions over Arrow batches refuse names with dots.
+    held = [f"__{k}" for k in range(len(kept))]
+    placed = _with_places(sized.select(*(F.col(f"`{c}`").alias(h) for c, h in zip(kept, held)), "__size", "__group", *(
         F.col(f"`{c}`").alias(f"__by_{k}") for k, c in enumerate(order))), [
             "__group", *(f"__by_{k}" for k in range(len(order)))])
     parts = _Parts(placed)
@@ -132,7 +134,7 @@ def with_shards(df: DataFrame, size: Column, group: Column, order: Sequence[str]
     # A shard is a range of the order, so what stands before it is the number of rows in smaller shards.
     counts = {r["__shard"]: r.n for r in dealt.groupBy("__shard").agg(F.count("*").alias("n")).collect()}
     firsts = list(accumulate((counts.get(k, 0) for k in range(shards)), initial=0))
-    return dealt.select(*(F.col(f"`{c}`") for c in kept), F.col("__size").alias("size"), F.col("__shard").alias("shard"),
+    return dealt.select(*(F.col(h).alias(c) for c, h in zip(kept, held)), F.col("__size").alias("size"), F.col("__shard").alias("shard"),
                         (F.col("__row") - F.get(F.lit(firsts), F.col("__shard"))).cast("long").alias("slot"))
 
 
