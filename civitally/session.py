@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,10 +44,28 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+def delete_at_end(spark: SparkSession, folder: str) -> str:
+    """``folder``, which the session's JVM removes when it ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write row-level ``df`` once, compressed, to the shared folder and go on from the written rows.
+
+    The folder is removed when the session ends, because a result not yet read may need it until then.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    return spark.read.parquet(delete_at_end(spark, folder))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows.
 
-    Use on small aggregates that several branches read, never on row-level data.
+    For aggregates and narrow rows; wide rows are smaller by ``shared_table``.
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
