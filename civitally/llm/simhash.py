@@ -20,10 +20,10 @@ from itertools import chain, repeat
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civitally.session import cut_lineage
+from civitally.session import cut_lineage, shared_table
 
 from .components import roots
 from .registry import query, table
@@ -33,8 +33,11 @@ RADIUS = 2
 SEED = 42
 #: Of near_dedup: fingerprints a text, words in a shingle, and the least similarity.
 PRINTS, SHINGLE, SIMILARITY = 4, 5, 0.8
-#: Texts of a block, and buckets in which shingles are counted to tell common ones (no bearing on the result).
-TEXTS, BUCKETS = 1024, 1 << 20
+#: Entries of a sketch at most, and the probability that the sketches of two similar texts share too few.
+SKETCH, MISS = 64, 1e-13
+#: Of no bearing on the result: texts that share an entry are paired up to FEW and compared in blocks beyond, with
+#: at most TEXTS texts and about BLOCK_SHINGLES shingles; narrow tables up to SMALL rows are broadcast.
+FEW, TEXTS, BLOCK_SHINGLES, SMALL = 64, 1024, 2_000_000, 500_000
 _BLOCK = 1 << 16
 _WORD = re.compile(r"[^\W_]+")
 _LOW63 = (1 << 63) - 1
@@ -187,76 +190,33 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def _common(texts: DataFrame) -> np.ndarray:
-    """Which buckets of shingles are crowded in some task: a fixed number of bits, whatever the corpus."""
-    def crowded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                n[(_shingles(_words(text)) % np.uint64(BUCKETS)).astype(np.int64)] += 1
-        yield pd.DataFrame({"bucket": np.flatnonzero(n >= 8 + 2 * n.mean())})
+def sketch_size(m: int, least: float) -> int:
+    """How many of m shingles, the smallest hashes, are a text's sketch.
 
-    bits = np.zeros(BUCKETS, bool)
-    bits[[r.bucket for r in texts.mapInPandas(crowded, "bucket long").distinct().collect()]] = True
-    return bits
-
-
-def prefix(shingles: np.ndarray, least: float, common: np.ndarray) -> np.ndarray:
-    """The first shingles in one order for all texts, common ones last: two texts of at least the similarity share one.
-
-    At such a similarity both have ``least`` of each one's m shingles in common, so the last
-    ceil(least * m) - 1 of a text cannot hold all common ones.
+    Of two texts at ``least`` both have ceil(least * m) shingles in common, so the first m - ceil(least * m) + 1
+    of each cannot all be foreign to the other. More than SKETCH are not needed, see ``shared_at_least``.
     """
-    m = len(shingles)
-    late = common[(shingles % np.uint64(BUCKETS)).astype(np.int64)]
-    return np.concatenate((shingles[~late], shingles[late]))[:m - math.ceil(least * m - 1e-9) + 1]
+    return min(m - math.ceil(least * m - 1e-9) + 1, SKETCH) if m else 0
 
 
-def _wholes(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by ``keys`` in pieces that hold all rows of their keys."""
-    rest = []
-    for batch in batches:
-        k = batch[keys].to_numpy()
-        if not len(k):
-            continue
-        if rest and (rest[-1][keys].to_numpy()[-1] == k[-1]).all():
-            rest.append(batch)
-            continue
-        last = (k != k[-1]).any(axis=1)
-        cut = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
-        if rest or cut:
-            yield pd.concat([*rest, batch[:cut]])
-        rest = [batch[cut:]]
-    if rest:
-        yield pd.concat(rest)
-
+def shared_at_least(k: int, least: float) -> int:
+    """How many entries the sketches of two similar texts share, where the smaller one has k.
 
-def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The rows of each key of rows sorted by ``keys``, groups of one row left out."""
-    for whole in _wholes(batches, keys):
-        k = whole[keys].to_numpy()
-        edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-        starts, stops = np.concatenate(([0], edges)), np.concatenate((edges, [len(k)]))
-        several = stops - starts > 1
-        yield from (whole[s:e] for s, e in zip(starts[several].tolist(), stops[several].tolist()))
+    The first k hashes of both texts' union are a random draw from it, and each common shingle among them is in
+    both sketches. So the number shared is hypergeometric with a mean of ``least * k`` at least, and by Chernoff's
+    bound it is below the returned one with a probability of at most MISS; one is shared for certain up to SKETCH.
+    """
+    def divergence(x: float) -> float:
+        return sum(p * math.log(p / q) for p, q in ((x, least), (1 - x, 1 - least)) if p > 0)
 
+    shared = 1
+    while shared < least * k and k * divergence(shared / k) >= -math.log(MISS):
+        shared += 1
+    return shared
 
-def with_partner(rows: pd.DataFrame, least: float) -> pd.DataFrame:
-    """(token, id) of the rows (token, size, id, pos), sorted, beside which another text of the token may be similar.
 
-    Sizes of similar texts differ by the factor ``least`` at most, and of all sizes the nearest one fits
-    best. Of two texts alone no more shingles can be common than follow their first common one.
-    """
-    again = (rows["token"].to_numpy()[1:] == rows["token"].to_numpy()[:-1]) & (
-        rows["id"].to_numpy()[1:] == rows["id"].to_numpy()[:-1])
-    rows = rows[np.concatenate(([True], ~again))]
-    token, size, pos = (rows[c].to_numpy(np.int64) for c in ("token", "size", "pos"))
-    same = token[1:] == token[:-1]
-    alone = same & ~np.concatenate(([False], same[:-1])) & ~np.concatenate((same[1:], [False]))
-    x, y = size[:-1], size[1:]
-    most = np.minimum(x - pos[:-1], y - pos[1:])
-    close = same & (x >= least * y - 1e-6) & (~alone | (most >= least / (1 + least) * (x + y) - 1e-6))
-    return rows.loc[np.concatenate((close, [False])) | np.concatenate(([False], close)), ["token", "id"]]
+def _limits(least: float) -> list[int]:
+    return [shared_at_least(k, least) for k in range(SKETCH + 1)]
 
 
 def tree_links(ids: list[int], sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
@@ -288,8 +248,9 @@ def fingerprint_pairs(texts: DataFrame) -> DataFrame:
     texts with equal fingerprints each meets the smallest id.
     """
     every = texts.select("id", F.posexplode("prints").alias("kind", "fp"))
-    held = cut_lineage(every.groupBy("kind", "fp").agg(F.min("id").alias("first")))
-    same = every.join(held, ["kind", "fp"]).where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    held = cut_lineage(every.groupBy("kind", "fp").agg(F.min("id").alias("first"), F.max("id").alias("last")))
+    several = held.where("first <> last").drop("last")
+    same = every.join(several, ["kind", "fp"]).where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     # One comparison for all kinds: the kind takes part in the dealing.
     dealt = held.select("kind", "fp", F.explode(anchors("fp")).alias("anchor")).withColumn(
         "anchor", F.xxhash64("kind", "anchor")).repartition("anchor").sortWithinPartitions("anchor", "kind")
@@ -302,96 +263,201 @@ def fingerprint_pairs(texts: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def shared_shingles(docs: DataFrame, least: float) -> DataFrame:
-    """(token, id) of shingles that prefixes of several texts of like sizes share: every similar pair shares one."""
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    common = _common(texts)
+def join_small(rows: DataFrame, other: DataFrame, on: str | list[str], most: int = SMALL) -> DataFrame:
+    """``rows`` joined to a stored narrow table, which is broadcast up to ``most`` rows and shuffled beyond."""
+    return rows.join(F.broadcast(other) if other.limit(most + 1).count() <= most else other, on)
+
+
+def _fit(x: str, y: str, least: float) -> Column:
+    """Whether texts of these sizes can be similar."""
+    return F.least(x, y) >= least * F.greatest(x, y) - 1e-6
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = [np.empty((0, 4), np.int64)]
-            for words in map(_words, batch["text"]):
-                if words:
-                    held = _shingles(words)
-                    first = prefix(held, least, common).view(np.int64)
-                    n = len(first)
-                    out.append(np.column_stack((first, np.full(n, len(held)), np.full(n, _identity(words)), np.arange(n))))
-            yield pd.DataFrame(np.concatenate(out), columns=["token", "size", "id", "pos"])
 
-    def partners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for whole in _wholes(batches, ["token"]):
-            yield with_partner(whole, least)
+def shared_entries(texts: DataFrame, least: float) -> DataFrame:
+    """(token, id, size, rare): sketch entries by which texts (id, size, sketch) meet; all similar pairs share one.
+
+    Entries of one text only can be shared with none. Of the others, rarest first, the last ones may be
+    left out: as similar texts share ``shared_at_least`` entries, they also share one of the first. So a text with a
+    passage that many others have, but with enough of its own, meets none of them. ``rare`` is the share
+    of entries that no other text has.
+    """
+    tokens = texts.select("id", F.explode("sketch").alias("token"))
+    often = cut_lineage(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
+    seen = join_small(tokens, often, "token").groupBy("id").agg(F.collect_list(F.struct("n", "token")).alias("seen"))
+    # The smallest text that can be similar to one of m shingles has this many of its own.
+    smallest = F.greatest(F.ceil(F.lit(least) * F.col("size") - 1e-9), F.lit(1))
+    k = F.least(smallest - F.ceil(F.lit(least) * smallest - 1e-9) + 1, F.lit(SKETCH)).cast("int")
+    kept = F.size("seen") - F.get(F.lit(_limits(least)), k) + 1
+    joined = texts.select("id", "size", F.size("sketch").alias("k")).join(seen, "id").where(kept > 0)
+    return joined.select("id", "size", ((F.col("k") - F.size("seen")) / F.col("k")).alias("rare"), F.explode(
+        F.slice(F.array_sort("seen"), F.lit(1), kept)).alias("e")).select("e.token", "id", "size", "rare")
+
+
+def hub_pairs(shared: DataFrame, least: float) -> DataFrame:
+    """Candidate pairs (a, b): each text with that text of its entries which has fewest entries of its own.
+
+    The original of a group of edited copies has none, so its copies meet it, and n copies make n pairs.
+    """
+    hubs = cut_lineage(shared.groupBy("token").agg(F.min(F.struct("rare", "id", "size")).alias("h"), F.max("id").alias("last"),
+                                                   F.min("id").alias("first")).where("first <> last").select(
+        "token", F.col("h.id").alias("hub"), F.col("h.size").alias("of")))
+    met = join_small(shared, hubs, "token").where(F.col("id") != F.col("hub")).where(_fit("size", "of", least))
+    return met.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
 
-    dealt = texts.mapInPandas(deal, "token long, size int, id long, pos int").repartition("token")
-    return dealt.sortWithinPartitions("token", "size", "id").mapInPandas(partners, "token long, id long")
 
+def likely(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sizes fit and whose sketches share what similar texts share."""
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("id").alias(name), F.col("size").alias(f"n_{name}"), F.col("sketch").alias(f"of_{name}"))
 
-def blocks(shared: DataFrame) -> DataFrame:
-    """(token, x, y, id): the texts of each token in blocks that meet pairwise, so that no task holds more than two."""
-    sums = shared.groupBy("token").agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("texts"),
-        F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_fit("n_a", "n_b", least))
+    k = F.least(F.size("of_a"), F.size("of_b"))
+    return both.where(F.size(F.array_intersect("of_a", "of_b")) >= F.get(F.lit(_limits(least)), k)).select("a", "b")
+
+
+def blocks(open_rows: DataFrame) -> DataFrame:
+    """(token, x, y, id): the texts of each token in blocks that meet pairwise, bounded in texts and in shingles."""
+    sums = open_rows.groupBy("token").agg(
+        F.count("*").alias("n"), F.sum("size").alias("shingles"), F.max("size").alias("most"),
+        F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("texts"))
     # Tokens of the same texts ask the same question.
-    asked = sums.groupBy("n", "texts").agg(F.min("token").alias("token")).select(
-        "token", F.ceil(F.col("n") / TEXTS).cast("int").alias("many"))
+    asked = sums.groupBy("n", "shingles", "most", "texts").agg(F.min("token").alias("token")).select("token", F.greatest(
+        F.ceil(F.col("n") / TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("many"))
     own = F.pmod(F.xxhash64("id"), F.col("many")).cast("int")
-    met = shared.join(asked, "token").select("token", "id", own.alias("own"), F.explode(
+    met = open_rows.join(asked, "token").select("token", "id", own.alias("own"), F.explode(
         F.sequence(F.lit(0), F.col("many") - 1)).alias("other"))
     return met.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id")
 
 
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of each key of rows sorted by ``keys``, groups of one row left out."""
+    rest = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        k = batch[keys].to_numpy()
+        edges = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(k)]
+        for start, stop in zip(edges, edges[1:]):
+            if rest and (rest[-1][keys].to_numpy()[-1] != k[start]).any():
+                if sum(map(len, rest)) > 1:
+                    yield pd.concat(rest)
+                rest = []
+            rest.append(batch[start:stop])
+    if sum(map(len, rest)) > 1:
+        yield pd.concat(rest)
+
+
+class _Stored:
+    """The texts of a corpus: their shingles on demand, and verified links."""
+
+    def __init__(self, keyed: DataFrame, texts: DataFrame, least: float):
+        self.keyed, self.texts, self.least = keyed, texts, least
+
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(id, shingles) of the texts named; the table is read, and the texts themselves are not moved for a small list."""
+        @F.pandas_udf("binary")
+        def all_shingles(texts: pd.Series) -> pd.Series:
+            return pd.Series([_shingles(_words(t)).tobytes() for t in texts], dtype=object)
+
+        asked = cut_lineage(self.texts.select("id", *ROW_KEY).join(ids.distinct(), "id"))
+        found = join_small(self.keyed.select(*ROW_KEY, "text"), asked, ROW_KEY)
+        # Wholly equal rows have equal keys, so a text may be found more than once.
+        return shared_table(found.select("id", all_shingles("text").alias("shingles")).dropDuplicates(["id"]), "shingles")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar, by all shingles of both."""
+        least = self.least
+
+        @F.pandas_udf("double")
+        def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+            return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+
+        pairs = cut_lineage(pairs)
+        sets = self.sets(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
+        both = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "of_a"}), "a").join(
+            sets.withColumnsRenamed({"id": "b", "shingles": "of_b"}), "b")
+        return cut_lineage(both.where(alike("of_a", "of_b") >= least).select("a", "b"))
+
+    def linked_in_blocks(self, rows: DataFrame) -> DataFrame:
+        """Links that connect the texts of each token as all similar pairs of it would."""
+        least = self.least
+
+        def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for group in _groups(batches, ["token", "x", "y"]):
+                sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
+                yield pd.DataFrame(list(tree_links(group["id"].tolist(), sets, least)), columns=["a", "b"], dtype="int64")
+
+        dealt = blocks(rows).join(self.sets(rows.select("id")), "id").repartition("token", "x", "y")
+        sorted_ = dealt.sortWithinPartitions("token", "x", "y").select("token", "x", "y", "id", "shingles")
+        return cut_lineage(sorted_.mapInPandas(verify, "a long, b long"))
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    return roots(links).withColumnRenamed("node", "id")
+
+
+def text_roots(stored: _Stored) -> DataFrame:
+    """(id, root) of all texts that have a link.
+
+    Texts that meet by fingerprints at anchors and by hubs are linked first. Only where an entry is
+    shared by texts of several components do the pairs across them come into question, and all of them do.
+    """
+    texts, least = stored.texts, stored.least
+    shared = cut_lineage(shared_entries(texts, least))
+    met = fingerprint_pairs(texts).unionByName(hub_pairs(shared, least)).distinct()
+    first = stored.linked(likely(met, texts, least))
+    known = _roots(first)
+    rooted = cut_lineage(shared.join(known, "id", "left").withColumn("root", F.coalesce("root", "id")).drop("rare"))
+    across = cut_lineage(rooted.groupBy("token").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low <> high").select("token", "n"))
+    rows = cut_lineage(join_small(rooted, across, "token"))
+    few, many = rows.where(F.col("n") <= FEW).drop("n"), rows.where(F.col("n") > FEW).drop("n")
+    other = few.select("token", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("n_b"))
+    cross = few.join(other, "token").where("id > b AND root <> root_b").where(_fit("size", "n_b", least)).select(
+        F.col("id").alias("a"), "b").distinct()
+    more = stored.linked(likely(cross, texts, least))
+    if not many.isEmpty():
+        more = more.unionByName(stored.linked_in_blocks(many))
+    if more.isEmpty():
+        return known
+    return _roots(known.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more))
+
+
 def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One document of each group of copies: that with the smallest doc_id (nulls last).
 
     Texts that differ in case and punctuation only are copies, and so are texts linked by
-    a similarity of at least ``least`` on all their five-word shingles. Fingerprints of the word sets
-    that meet at anchors link most of them at small cost; where texts that share a shingle of
-    their prefixes are not yet all linked, they are compared in full, so no link is missed. Null and
-    wordless texts are one group. Of wholly equal rows one stays. The columns of ``docs`` come back,
-    whatever their names.
+    a similarity of at least ``least`` on all their five-word shingles. Fingerprints of the word sets that
+    meet at anchors, and sketches of the shingles, tell which pairs are verified; none at the similarity is
+    passed over but with a probability of MISS. Null and wordless texts are one group. Of wholly
+    equal rows one stays. The columns of ``docs`` come back, whatever their names.
     """
 
-    @F.pandas_udf("struct<id: long, prints: array<long>>")
+    @F.pandas_udf("struct<id: long, size: int, prints: array<long>, sketch: array<long>>")
     def profiles(texts: pd.Series) -> pd.DataFrame:
-        words = [_words(t) for t in texts]
-        return pd.DataFrame({"id": [_identity(w) for w in words], "prints": [_prints(w) for w in words]})
-
-    @F.pandas_udf("binary")
-    def all_shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([_shingles(_words(t)).tobytes() for t in texts], dtype=object)
-
-    @F.pandas_udf("double")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(batches, ["token", "x", "y"]):
-            sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-            yield pd.DataFrame(list(tree_links(group["id"].tolist(), sets, least)), columns=["a", "b"], dtype="int64")
+        out = []
+        for words in map(_words, texts):
+            held = _shingles(words)
+            sketch = held[:sketch_size(len(held), least)].view(np.int64)
+            out.append((_identity(words), len(held), _prints(words), sketch))
+        return pd.DataFrame(out, columns=["id", "size", "prints", "sketch"])
 
     keyed = with_row_key(docs)
-    rows = cut_lineage(keyed.select("doc_id", *ROW_KEY, profiles("text").alias("p")).select(
-        "doc_id", *ROW_KEY, "p.id", "p.prints"))
-    texts = rows.groupBy("id").agg(F.first("prints").alias("prints"), F.min(F.struct(*ROW_KEY)).alias("row"))
-    texts = cut_lineage(texts.select("id", "prints", *(F.col(f"row.{c}") for c in ROW_KEY)))
-    pairs = cut_lineage(fingerprint_pairs(texts))
-    shared = cut_lineage(shared_shingles(docs, least))
-    asked = shared.select("id").unionByName(pairs.select(F.col("a").alias("id"))).unionByName(
-        pairs.select(F.col("b").alias("id"))).distinct().join(texts.drop("prints"), "id")
-    sets = cut_lineage(keyed.select(*ROW_KEY, "text").join(asked, ROW_KEY).dropDuplicates(ROW_KEY).select(
-        "id", all_shingles("text").alias("shingles")))
-    both = pairs.join(sets.withColumnsRenamed({"id": "a", "shingles": "of_a"}), "a").join(
-        sets.withColumnsRenamed({"id": "b", "shingles": "of_b"}), "b")
-    known = roots(both.where(alike("of_a", "of_b") >= least).select("a", "b")).withColumnRenamed("node", "id")
-    rooted = shared.join(known, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    dealt = blocks(rooted).join(sets, "id").repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-    more = dealt.select("token", "x", "y", "id", "shingles").mapInPandas(verify, "a long, b long")
-    found = roots(known.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more)).withColumnRenamed("node", "id")
+    rows = shared_table(keyed.select("doc_id", *ROW_KEY, profiles("text").alias("p")).select(
+        "doc_id", *ROW_KEY, "p.*"), "profiles")
+    texts = rows.groupBy("id").agg(F.first("size").alias("size"), F.first("prints").alias("prints"),
+                                   F.first("sketch").alias("sketch"), F.min(F.struct(*ROW_KEY)).alias("row"))
+    texts = shared_table(texts.select("id", "size", "prints", "sketch", *(F.col(f"row.{c}") for c in ROW_KEY)), "texts")
+    found = text_roots(_Stored(keyed, texts, least))
     grouped = rows.select("doc_id", *ROW_KEY, "id").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
     first = grouped.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *ROW_KEY)).alias("kept"))
     kept = first.select(*(F.col(f"kept.{c}") for c in ROW_KEY))
-    return keyed.join(kept, ROW_KEY).dropDuplicates(ROW_KEY).select(*docs.columns)
+    # Only rows that occur more than once need to be moved to leave one.
+    kept = cut_lineage(kept.join(rows.groupBy(*ROW_KEY).agg(F.count("*").alias("__n")), ROW_KEY))
+    once = join_small(keyed, kept.where("__n = 1"), ROW_KEY).select(*docs.columns)
+    again = join_small(keyed, kept.where("__n > 1"), ROW_KEY).dropDuplicates(ROW_KEY).select(*docs.columns)
+    return once.unionByName(again)
 
 
 @query()

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -187,11 +188,65 @@ def test_similarity_is_exact_for_long_texts():
     assert simhash.similarity(x, y) == 1796 / (2 * 2000 - 1796)
 
 
-def test_prefixes_of_similar_texts_meet():
-    rnd, crowded = np.random.default_rng(1), np.zeros(simhash.BUCKETS, bool)
-    crowded[::3] = True
-    for n in range(1, 200):
-        drawn = np.unique(rnd.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
-        both = -(-8 * n // 10)  # the fewest common ones of n at 0.8 where the other text has no more
-        x, y = np.sort(drawn[:n]), np.sort(drawn[:both])
-        assert np.isin(simhash.prefix(x, 0.8, crowded), simhash.prefix(y, 0.8, crowded)).any()
+def test_sketches_of_similar_texts_share_enough():
+    rnd = np.random.default_rng(1)
+    for n in [*range(1, 60), 100, 300, 320, 400, 1000, 4000]:
+        for _ in range(20):
+            drawn = np.unique(rnd.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
+            rnd.shuffle(drawn)
+            both = -(-8 * n // 10)  # the fewest common ones of n at 0.8 where the other text has no more
+            x, y = (np.sort(drawn[:k])[:simhash.sketch_size(k, 0.8)] for k in (n, both))
+            assert np.isin(x, y).sum() >= simhash.shared_at_least(min(len(x), len(y)), 0.8)
+
+
+def test_bound_on_missed_pairs():
+    for k in range(1, simhash.SKETCH + 1):
+        t = simhash.shared_at_least(k, 0.8)
+        below = sum(math.comb(k, i) * 0.8 ** i * 0.2 ** (k - i) for i in range(t))
+        assert t == 1 or below <= simhash.MISS
+    assert simhash.shared_at_least(simhash.SKETCH, 0.8) > 15
+
+
+def test_texts_with_a_common_passage_do_not_meet(spark):
+    rnd = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(300)) + f" {passage}" for _ in range(400)]
+    rows = [(i, len(s), s[:simhash.sketch_size(len(s), 0.8)].view(np.int64).tolist())
+            for i, s in ((i, simhash._shingles(simhash._words(t))) for i, t in enumerate(texts))]
+    made = spark.createDataFrame(rows, "id long, size int, sketch array<long>")
+    assert simhash.shared_entries(made, 0.8).count() == 0
+
+
+def test_copies_of_one_original_make_few_pairs(spark):
+    texts = near_variants(random.Random(9), 3000, 150, 2)
+    rows = [(i, len(s), s[:simhash.sketch_size(len(s), 0.8)].view(np.int64).tolist())
+            for i, s in ((i, simhash._shingles(simhash._words(t))) for i, t in enumerate(texts))]
+    made = spark.createDataFrame(rows, "id long, size int, sketch array<long>")
+    assert simhash.hub_pairs(simhash.shared_entries(made, 0.8), 0.8).count() < 4 * len(texts)
+
+
+def test_pairs_across_components_are_all_tried(spark, monkeypatch):
+    # Chains, in which no text is near all others, by pairs and by blocks.
+    rnd = random.Random(10)
+    texts = []
+    for _ in range(20):
+        words = [f"v{rnd.randrange(30000)}" for _ in range(150)]
+        for _ in range(12):
+            texts.append(" ".join(words))
+            for _ in range(3):
+                words[rnd.randrange(150)] = f"y{rnd.randrange(30000)}"
+    rnd.shuffle(texts)
+    wanted = sorted(set(brute_roots(texts)))
+    assert kept_ids(spark, texts) == wanted
+    monkeypatch.setattr(simhash, "FEW", 1)
+    monkeypatch.setattr(simhash, "TEXTS", 5)
+    assert kept_ids(spark, texts) == wanted
+
+
+def test_given_table_as_brute_force(spark):
+    docs = pq.read_table("/root/testdata/sf0.01/documents.parquet").to_pylist()
+    texts = {d["doc_id"]: d["text"] or "" for d in docs}
+    ids = sorted(texts)
+    root = dict(zip(ids, (ids[r] for r in brute_roots([texts[i] for i in ids]))))
+    kept = simhash.near_dedup(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(set(root.values()))
