@@ -90,7 +90,7 @@ def in_dates(ts: str | Column, dates: Iterable[str | dt.date], prune: bool = Fal
     timestamp, in a form that reaches the file statistics, which ``to_date`` cannot.
     """
     column = F.col(ts) if isinstance(ts, str) else ts
-    days = sorted({_as_date(d) for d in dates})
+    days = sorted({as_date(d) for d in dates})
     listed = F.to_date(column).isin(days)
     if not prune:
         return listed
@@ -117,7 +117,7 @@ def in_years(ts: str | Column, years: Iterable[int]) -> Column:
     return _any_range(column, ranges)
 
 
-def _as_date(value: str | dt.date) -> dt.date:
+def as_date(value: str | dt.date) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import fixed_values as fv
 from ..functions import text
+from ..session import shared_table
+from ..sources.writers import YEAR_FOLDER
+from . import quality
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
@@ -24,13 +27,30 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def dedup_by_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None,
-    ordered: Sequence[str] = (),
+    ordered: Sequence[str] = (), most: int = quality.REPEATED_KEYS,
 ) -> DataFrame:
     """One row per key, always the same one: first in ``order``, then by every other column.
 
     ``ordered`` names the columns that ``order`` already decides. NULL keys count as one
-    key. Spark limits each key to one row per map task before the shuffle
-    (WindowGroupLimit), so a hot key reaches its reducer as one row per task.
+    key. A first pass over the keys alone finds those that several rows have; rows of
+    all others stay where they are, and only the few in question are shuffled and sorted whole. With
+    more than ``most`` repeated keys all rows are. ``df`` is read three times: give a stored one
+    if it is dear to make.
+    """
+    hashes = quality.repeated_hashes(df, keys, most)
+    if hashes is None:
+        return first_by_key(df, keys, order, ordered)
+    alone = quality.with_hash_in(df, keys, hashes, "left_anti")
+    return alone.unionByName(first_by_key(quality.with_hash_in(df, keys, hashes), keys, order, ordered))
+
+
+def first_by_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None, ordered: Sequence[str] = (),
+) -> DataFrame:
+    """``dedup_by_key`` by one window over all rows.
+
+    Spark limits each key to one row per map task before the shuffle (WindowGroupLimit), so a
+    hot key reaches its reducer as one row per task.
     """
     ties = [F.col(f"`{name}`").asc_nulls_last() for name in df.columns
             if name not in keys and name not in ordered]
@@ -43,12 +63,14 @@ def clean_incidents(
     exclusions: Sequence[str] = fv.CLEANING_EXCLUSIONS,
     required: Sequence[str] = schema.REQUIRED_COLUMNS,
     dropped: Sequence[str] = schema.DROPPED_COLUMNS,
+    staged: bool = False,
 ) -> DataFrame:
     """Clean incident rows from the raw text table.
 
     Required columns are tested before dates are parsed, so an unreadable date stays as
     NULL. Duplicates are removed before labels are excluded, and a NULL label is excluded
-    with them. Columns that go away are dropped first, to keep them out of the shuffle.
+    with them. Columns that go away are dropped first. ``staged`` writes the parsed
+    rows to the shared folder before duplicates are looked for, so that a text source is parsed once.
     """
     table = snake_case_columns(raw)
     kept = require(table, required).drop(*dropped)
@@ -57,12 +79,18 @@ def clean_incidents(
         "arrest": text.parse_bool("arrest"),
         "domestic": text.parse_bool("domestic"),
     })
+    if staged:
+        parsed = shared_table(parsed, "parsed")
     unique = dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()], ["date"])
     return unique.filter(text.not_containing("location_description", exclusions))
 
 
 def typed_view(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Clean table with numbers cast and x, y renamed; registered as a view if named."""
+    """Clean table with numbers cast and x, y renamed; registered as a view if named.
+
+    The folder column of a written table comes along: ``year`` is the text year of the source, which
+    may be missing or wrong, so only the folder column can skip folders.
+    """
     typed = df.select(
         "id",
         "date",
@@ -75,6 +103,7 @@ def typed_view(df: DataFrame, name: str | None = None) -> DataFrame:
         text.parse_int("community_area").alias("community_area"),
         F.col("x").try_cast("double").alias("longitude"),
         F.col("y").try_cast("double").alias("latitude"),
+        *(c for c in df.columns if c == YEAR_FOLDER),
     )
     if name:
         typed.createOrReplaceTempView(name)

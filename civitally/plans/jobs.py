@@ -23,16 +23,27 @@ from ..sources import readers, writers
 from . import forecasting as fc
 from .marts import derive_marts, marts
 
+#: Column that holds the line of a row that does not fit the header.
+MALFORMED = "_malformed"
 
-def run_clean(spark: SparkSession, raw_path: str, out: str, partitions: int | None = None):
-    """Clean the raw file; rows before and after are counted while it is written (one read)."""
-    raw = readers.read_raw(spark, raw_path, partitions=partitions)
-    before, after = Observation("before"), Observation("after")
-    rows = F.count(F.lit(1)).alias("n_rows")
-    clean = cleaning.clean_incidents(raw.observe(before, rows)).observe(after, rows)
+
+def run_clean(spark: SparkSession, raw_path: str, out: str, partitions: int | None = None, multi_line: bool = False):
+    """Clean the raw file; its rows are counted while it is staged (one read).
+
+    Malformed lines are left out and counted: a padded or shifted row would be taken for a sound one.
+    """
+    raw = readers.read_raw(spark, raw_path, partitions=partitions, malformed=MALFORMED, multi_line=multi_line)
+    before = Observation("before")
+    counted = raw.observe(before, F.count(F.lit(1)).alias("n_rows"), F.count(MALFORMED).alias("malformed"))
+    sound = counted.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+    clean = cleaning.clean_incidents(sound, staged=True)
     writers.write_clean(clean, out)
+    # From the file footers; an empty table has no file to take the columns from.
+    after = spark.read.schema(clean.schema).parquet(out).count()
+    width = len(sound.columns)
     return spark.createDataFrame(
-        [("before", before.get["n_rows"], len(raw.columns)), ("after", after.get["n_rows"], len(clean.columns))],
+        [("before", before.get["n_rows"], width), ("malformed", before.get["malformed"], width),
+         ("after", after, len(clean.columns))],
         "stage string, n_rows long, n_columns int")
 
 
@@ -85,6 +96,7 @@ def main(argv: list[str] | None = None) -> None:
     clean.add_argument("--raw", required=True)
     clean.add_argument("--out", required=True)
     clean.add_argument("--partitions", type=int)
+    clean.add_argument("--multi-line", action="store_true", help="quoted fields may hold line ends")
     mart = commands.add_parser("marts")
     mart.add_argument("--clean", required=True)
     dates = mart.add_mutually_exclusive_group(required=True)
@@ -102,7 +114,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_spark(f"civitally-{args.command}", args.time_zone)
     if args.command == "clean":
-        run_clean(spark, args.raw, args.out, args.partitions).show()
+        run_clean(spark, args.raw, args.out, args.partitions, args.multi_line).show()
         cleaning.quality_report(readers.read_clean(spark, args.out)).show(50, truncate=False)
     elif args.command == "marts":
         jdbc = json.loads(Path(args.jdbc).read_text()) if args.jdbc else None

@@ -13,16 +13,28 @@ from ..functions import fixed_values as fv
 
 def read_raw(
     spark: SparkSession, path: str, header: tuple[str, ...] | None = None,
-    partitions: int | None = None,
+    partitions: int | None = None, malformed: str | None = None, multi_line: bool = False,
 ) -> DataFrame:
     """CSV files with a header, every column as text.
 
     ``header`` names the columns without looking at the file. A gzip file is read by one
     task, so its rows are spread before anything else happens: over ``partitions``, or as
     many tasks as a shuffle has. Other files are spread only if ``partitions`` is given.
+
+    Rows with too few or too many fields, or a quote that is not closed, are padded or cut, unless
+    ``malformed`` names a column: it then holds such a row's whole line, and is NULL in all others. With
+    ``multi_line`` quoted fields may hold line ends; each file is then read by one task.
     """
-    reader = spark.read.option("header", True)
-    if header is not None:
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    if malformed is not None:
+        names = header or tuple(reader.csv(path).columns)
+        if malformed in names:
+            raise ValueError(f"the file has a column named {malformed}")
+        fields = schema.text_schema(names).add(malformed, "string")
+        # Fields are counted only while no column is pruned.
+        reader = reader.schema(fields).option("mode", "PERMISSIVE").option("columnPruning", False).option(
+            "columnNameOfCorruptRecord", malformed)
+    elif header is not None:
         reader = reader.schema(schema.text_schema(header))
     rows = reader.csv(path)
     if partitions:

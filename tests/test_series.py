@@ -228,3 +228,44 @@ def test_holiday_reader(spark, tmp_path):
     dates.write.parquet(str(tmp_path / "h"))
     assert readers.read_holidays(spark, str(tmp_path / "h")).count() == 1
     assert readers.mart_docs(spark).count() == 24
+
+
+def test_two_publishers_at_once_get_a_version_each(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "r")
+    assert writers.publish({"a": spark.range(1)}, root) == 1
+    seen, other = writers.latest_version, []
+
+    def interleaved(session, where):
+        # The other run publishes between this one's look at the versions and its claim.
+        found = seen(session, where)
+        if not other:
+            other.append(None)
+            other[0] = writers.publish({"a": spark.range(2)}, root)
+        return found
+
+    monkeypatch.setattr(writers, "latest_version", interleaved)
+    assert writers.publish({"a": spark.range(3)}, root) == 3 and other == [2]
+    monkeypatch.undo()
+    assert writers.read_published(spark, root, "a").count() == 3
+    assert spark.read.parquet(f"{root}/published").count() == 3
+
+
+def test_a_replaced_version_is_a_conflict(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "r")
+    assert writers.publish({"a": spark.range(1)}, root, replaces=0) == 1
+    with pytest.raises(writers.VersionConflict):
+        writers.publish({"a": spark.range(2)}, root, replaces=0)
+    monkeypatch.setattr(writers, "latest_version", lambda *_: 0)
+    with pytest.raises(writers.VersionConflict):
+        writers.publish({"a": spark.range(2)}, root, replaces=0)
+    monkeypatch.undo()
+    assert writers.read_published(spark, root, "a").count() == 1
+    assert writers.publish({"a": spark.range(4)}, root, replaces=1) == 2
+
+
+def test_one_of_many_claims_a_version(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        for version in range(5):
+            assert sum(pool.map(lambda _: writers.claim(spark, str(tmp_path), version), range(8))) == 1
