@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from civitally.functions import calendars as cal
 from civitally.functions import fixed_values as fv
 from civitally.functions import rates, text
-from civitally.operators import answers, counting as ct, series as ts
+from civitally.operators import answers, counting as ct, distinct, series as ts
 from civitally.operators.cubes import build_cubes
 from civitally.plans.marts import derive_marts, holiday_split as split_by_holiday, marts
 from civitally.session import shared_dir
@@ -427,3 +427,16 @@ def all_marts(spark, sf_dir):
                            for m in _measures(name)])
         frames.append(df.select(F.lit(name).alias("mart"), F.concat_ws("|", *key).alias("key"), F.inline(values)))
     return stack(frames)
+
+
+@query(f"{sp.WITH} SELECT primary_type, count(*) AS n, count(DISTINCT id) AS n_ids, true AS within"
+       " FROM crimes GROUP BY 1")
+def distinct_ids(spark, sf_dir):
+    """Different ids per type, exact, and whether the sketches merged from all months are within 4 standard errors."""
+    rows = crimes(spark, sf_dir)
+    monthly = distinct.sketch_by(rows.withColumn("month", F.month("date")), ["primary_type", "month"], "id")
+    guessed = distinct.estimate(distinct.merge_by(monthly, ["primary_type"]), "guess")
+    exact = rows.groupBy("primary_type").agg(F.count_distinct("id").alias("n_ids"))
+    bound = 4 * distinct.STANDARD_ERROR * F.col("n_ids") + 1
+    return exact.join(guessed, exact.primary_type.eqNullSafe(guessed.primary_type)).select(
+        exact.primary_type, "n", "n_ids", (F.abs(F.col("guess") - F.col("n_ids")) <= bound).alias("within"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.choice import first_of
+from .distinct import SKETCH_BITS
 
 # Grouping sets by name; the key columns are those of ``cube_input``.
 CUBES = {
@@ -22,9 +23,10 @@ CUBES = {
 _KEYS = ("hour", "date_only", "location_description", "community_area", "primary_type")
 
 
-def cube_input(df: DataFrame) -> DataFrame:
-    """The five keys and the timestamp; nothing else is read from the files."""
+def cube_input(df: DataFrame, *distinct: str) -> DataFrame:
+    """The five keys, the timestamp and a column to count values of; nothing else is read from the files."""
     return df.select(
+        *(F.col(c).alias("_distinct") for c in distinct),
         F.hour("date").alias("hour"),
         F.to_date("date").alias("date_only"),
         "location_description",
@@ -34,24 +36,40 @@ def cube_input(df: DataFrame) -> DataFrame:
     )
 
 
-def build_cubes(df: DataFrame) -> DataFrame:
+def build_cubes(df: DataFrame, distinct: str | None = None) -> DataFrame:
     """Counts and first/last timestamp for every grouping set, one row per key.
 
-    Columns: cube, the five keys (NULL where not grouped), n, first_at, last_at.
+    Columns: cube, the five keys (NULL where not grouped), n, first_at, last_at. ``distinct`` names a column
+    whose different values are counted too, in a ``sketch`` that merges (``operators.distinct``).
     """
     keys = [F.col(name) for name in _KEYS]
     sets = [[F.col(name) for name in columns] for columns in CUBES.values()]
-    grouped = cube_input(df).groupingSets(sets, *keys).agg(
+    read = cube_input(df) if distinct is None else cube_input(df, distinct)
+    more = [] if distinct is None else [F.hll_sketch_agg("_distinct", SKETCH_BITS).alias("sketch")]
+    grouped = read.groupingSets(sets, *keys).agg(
         F.count("*").alias("n"),
         F.min("date").alias("first_at"),
         F.max("date").alias("last_at"),
+        *more,
         F.grouping_id(*_KEYS).alias("_gid"),
     )
     return grouped.withColumn("cube", _cube_name(F.col("_gid"))).select(
-        "cube", *_KEYS, "n", "first_at", "last_at"
+        "cube", *_KEYS, "n", "first_at", "last_at", *(["sketch"] if more else [])
     )
 
 
+def merge_cubes(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Cubes of two parts of a table as those of the whole."""
+    more = [F.hll_union_agg("sketch").alias("sketch")] if "sketch" in one.columns else []
+    return one.unionByName(other).groupBy("cube", *_KEYS).agg(
+        F.sum("n").alias("n"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), *more)
+
+
+def data_range(cubes: DataFrame) -> DataFrame:
+    """First and last timestamp of the table, from its smallest cube."""
+    return cube(cubes, "by_hour").agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+
+
 def cube(cubes: DataFrame, name: str) -> DataFrame:
     """Rows of one grouping set with its own key columns."""
     return cubes.filter(F.col("cube") == name).select(*CUBES[name], "n", "first_at", "last_at")

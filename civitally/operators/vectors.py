@@ -1,16 +1,27 @@
-"""Exact nearest rows by Euclidean distance."""
+"""Exact nearest rows by Euclidean distance, passing over rows that cannot be among them."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_RESULT = "query_id long, vec_id long, distance double"
-_BLOCK = "{side}_ids binary, {side}_width int, {side}_points binary"
+from ..session import cut_lineage, shared_table
+
+#: Pivots at most; a cell holds the rows nearest to one of them.
+PIVOTS = 64
+#: Rows up to which the small sides of the joins are sent to every task.
+SMALL = 100_000
+_RESULT = "query_block long, query_id long, vec_id long, distance double, most double"
+#: Blocks of queries (at most 512 vectors each) that are sent to every task.
+FEW_BLOCKS = 64
+#: Bounds are widened by this share, for they are rounded.
+_SLACK = 1e-9
 
 
 def nearest_rows(
@@ -20,64 +31,186 @@ def nearest_rows(
 ) -> DataFrame:
     """The k rows nearest to each query: query_id, rank, vec_id, distance (squared L2).
 
-    Rows are packed into blocks where they are read, queries into blocks of their own, and
-    every block of rows meets every block of queries. Spark sends the query blocks to the
-    rows if they are small and pairs the two sides' partitions if not; the rows are
-    never shuffled and nothing passes through the driver. Only k candidates per query and block pair
-    go on to the ranking. NULL vectors, vectors with a NULL and NULL ids are left out; vectors of
-    unequal length have no distance.
+    See ``search``. NULL vectors, vectors with a NULL or an entry that is not finite, and NULL ids are left
+    out; vectors of unequal length have no distance.
+    """
+    return search(vectors, queries, k, vec_id=vec_id, query_id=query_id, embedding=embedding,
+                  rows_per_block=rows_per_block, queries_per_block=queries_per_block).nearest()
+
+
+def search(
+    vectors: DataFrame, queries: DataFrame, k: int = 4, *,
+    vec_id: str = "vec_id", query_id: str = "query_id", embedding: str = "embedding",
+    rows_per_block: int = 20_000, queries_per_block: int = 512,
+) -> Search:
+    """Rows in cells around pivots, queries in blocks, and the pairs of them that have to be compared.
+
+    The rows of a task are packed by cell, in rings of rising distance from the pivot; a block knows its
+    ring. A block of queries first meets one block of rows of its own cell, which gives each query a bound on
+    its k-th distance. By the triangle inequality a query at distance d from a pivot has nothing nearer than
+    the bound in a ring outside d - bound to d + bound, so only the other blocks of rows are read for it.
+    Where rows are spread evenly in many dimensions few rings are passed over and the search compares all.
     """
-    rows = _packed(_usable(vectors, vec_id, embedding), "row", rows_per_block)
-    asked = _packed(_usable(queries, query_id, embedding), "query", queries_per_block)
-    found = rows.crossJoin(asked).mapInPandas(_searcher(k), _RESULT)
-    nearest = Window.partitionBy("query_id").orderBy("distance", "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(nearest))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")
+    rows, asked = _usable(vectors, vec_id, embedding), _usable(queries, query_id, embedding)
+    pivots = _pivots(rows)
+    blocks = shared_table(_packed(rows, pivots, "row", rows_per_block).withColumn(
+        "row_block", F.monotonically_increasing_id()), "vectors")
+    asked_blocks = shared_table(_packed(asked, pivots, "query", queries_per_block).withColumn(
+        "query_block", F.monotonically_increasing_id()), "queries")
+    rings = cut_lineage(blocks.select("row_block", "cell", "row_low", "row_high", "row_n"))
+    own = asked_blocks.select("query_block", "cell", "query_low", "query_high").join(rings, "cell")
+    gap = F.abs(F.col("row_low") + F.col("row_high") - F.col("query_low") - F.col("query_high"))
+    first = own.groupBy("query_block").agg(
+        F.min(F.struct(F.col("row_n") < k, gap, "row_block")).alias("b")).select("query_block", "b.row_block")
+    first = cut_lineage(first)
+    tried = cut_lineage(_meet(blocks, first, asked_blocks).mapInPandas(_searcher(k), _RESULT))
+    bounds = tried.groupBy("query_block").agg(F.max("most").alias("most"))
+    reach = cut_lineage(_reach(asked_blocks, bounds, pivots))
+    wide = (F.col("row_low") <= F.col("high")) & (F.col("row_high") >= F.col("low"))
+    pairs = reach.join(rings, "cell").where(wide).select("query_block", "row_block").join(
+        first, ["query_block", "row_block"], "left_anti")
+    return Search(blocks, asked_blocks, rings, cut_lineage(pairs), tried, k)
+
+
+@dataclass(frozen=True)
+class Search:
+    """What is to be compared: ``pairs`` of blocks beside those already ``tried``."""
+
+    blocks: DataFrame
+    queries: DataFrame
+    rings: DataFrame
+    pairs: DataFrame
+    tried: DataFrame
+    k: int
+
+    def nearest(self) -> DataFrame:
+        met = _meet(self.blocks, self.pairs, self.queries).mapInPandas(_searcher(self.k), _RESULT)
+        order = Window.partitionBy("query_id").orderBy("distance", "vec_id")
+        ranked = self.tried.unionByName(met).withColumn("rank", F.row_number().over(order))
+        return ranked.filter(F.col("rank") <= self.k).select("query_id", "rank", "vec_id", "distance")
+
+    def share_read(self) -> float:
+        """Share of all pairs of query blocks and rows that is compared."""
+        sizes = self.rings.select("row_block", "row_n")
+        read = self.pairs.join(sizes, "row_block").agg(F.sum("row_n")).first()[0] or 0
+        every = (sizes.agg(F.sum("row_n")).first()[0] or 0) * self.queries.count()
+        return read / every if every else 0.0
 
 
 def _usable(df: DataFrame, key: str, embedding: str) -> DataFrame:
-    whole: Column = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull())
+    # NaN is above infinity for Spark.
+    finite: Column = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
     return df.select(
         F.col(key).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("embedding")
-    ).filter(F.col("id").isNotNull() & whole)
+    ).filter(F.col("id").isNotNull() & F.col("embedding").isNotNull() & finite)
+
+
+def _pivots(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Pivots by length of vector: the origin, and the vectors of the ids with the smallest hashes.
+
+    They decide what is passed over, not what is found.
+    """
+    picked = rows.select("embedding", F.xxhash64("id", "embedding").alias("h")).orderBy("h").limit(PIVOTS).collect()
+    found: dict[int, list] = {}
+    for row in picked:
+        found.setdefault(len(row.embedding), []).append(row.embedding)
+    return {width: np.unique(np.array([np.zeros(width), *points]), axis=0) for width, points in found.items()}
+
+
+def _distances(points: np.ndarray, pivots: dict[int, np.ndarray]) -> np.ndarray:
+    """Distance of every point to every pivot of its length."""
+    own = pivots.get(points.shape[1], np.zeros((1, points.shape[1])))
+    with np.errstate(all="ignore"):
+        return np.sqrt(np.stack([((points - p) ** 2).sum(axis=1) for p in own], axis=1))
+
+
+def _cell(width: int, pivot: int) -> int:
+    return width * (PIVOTS + 1) + pivot
 
 
-def _packed(df: DataFrame, side: str, most: int) -> DataFrame:
-    """Blocks of at most ``most`` vectors of one length, from the rows of one task."""
+def _packed(df: DataFrame, pivots: dict[int, np.ndarray], side: str, most: int) -> DataFrame:
+    """Blocks of at most ``most`` vectors of one cell, in rising distance from its pivot, from the rows of one task.
+
+    Vectors so long that their distance overflows go to the origin's cell, in a ring that no bound excludes.
+    """
+    schema = (f"cell long, {side}_ids binary, {side}_width int, {side}_points binary, {side}_n long, "
+              f"{side}_low double, {side}_high double")
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for width, same in batch.groupby(batch["embedding"].map(len)):
-                for at in range(0, len(same), most):
-                    part = same.iloc[at:at + most]
-                    points = np.stack(part["embedding"].to_numpy()).astype("float64")
-                    yield pd.DataFrame({
-                        f"{side}_ids": [part["id"].to_numpy("int64").tobytes()],
-                        f"{side}_width": [width], f"{side}_points": [points.tobytes()]})
+                points = np.stack(same["embedding"].to_numpy()).astype("float64").reshape(len(same), width)
+                ids, far = same["id"].to_numpy("int64"), _distances(points, pivots)
+                sound = np.isfinite(far).all(axis=1)
+                near = np.where(sound, np.argmin(np.where(np.isfinite(far), far, np.inf), axis=1), 0)
+                away = np.where(sound, far[np.arange(len(far)), near], np.inf)
+                order = np.lexsort((away, near, ~sound))
+                groups = np.flatnonzero(np.diff(near[order]) | np.diff(sound[order])) + 1
+                for start, stop in pairwise([0, *groups.tolist(), len(order)]):
+                    for at in range(start, stop, most):
+                        part = order[at:min(at + most, stop)]
+                        whole = sound[part[0]]
+                        yield pd.DataFrame({
+                            "cell": [_cell(width, near[part[0]])], f"{side}_ids": [ids[part].tobytes()],
+                            f"{side}_width": [width], f"{side}_points": [points[part].tobytes()], f"{side}_n": [len(part)],
+                            f"{side}_low": [away[part].min() if whole else -np.inf],
+                            f"{side}_high": [away[part].max() if whole else np.inf]})
+
+    return df.mapInPandas(pack, schema)
+
+
+def _points(block, side: str) -> tuple[np.ndarray, np.ndarray]:
+    width = getattr(block, f"{side}_width")
+    ids = np.frombuffer(getattr(block, f"{side}_ids"), "int64")
+    return ids, np.frombuffer(getattr(block, f"{side}_points")).reshape(len(ids), width)
+
+
+def _reach(asked: DataFrame, bounds: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """Per block of queries and cell of their length: the least and largest distance from the pivot to look at."""
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block in batch.itertuples(index=False):
+                far = _distances(_points(block, "query")[1], pivots)
+                reach = np.sqrt(block.most) * (1 + _SLACK)
+                low, high = far.min(axis=0) * (1 - _SLACK) - reach, far.max(axis=0) * (1 + _SLACK) + reach
+                yield pd.DataFrame({
+                    "query_block": block.query_block,
+                    "cell": [_cell(block.query_width, i) for i in range(far.shape[1])],
+                    "low": np.where(np.isnan(low), -np.inf, low), "high": np.where(np.isnan(high), np.inf, high)})
+
+    # A block that has not met k rows may find them anywhere.
+    joined = asked.join(bounds, "query_block", "left").select(
+        "query_block", "query_ids", "query_width", "query_points", F.coalesce("most", F.lit(float("inf"))).alias("most"))
+    return joined.mapInPandas(spread, "query_block long, cell long, low double, high double")
+
 
-    return df.mapInPandas(pack, _BLOCK.format(side=side))
+def _meet(blocks: DataFrame, pairs: DataFrame, asked: DataFrame) -> DataFrame:
+    """Blocks of rows beside the blocks of queries they are paired with; small sides go to the rows."""
+    pairs = F.broadcast(pairs) if pairs.limit(SMALL + 1).count() <= SMALL else pairs
+    asked = F.broadcast(asked) if asked.limit(FEW_BLOCKS + 1).count() <= FEW_BLOCKS else asked
+    return blocks.drop("cell").join(pairs, "row_block").join(asked.drop("cell"), "query_block")
 
 
 def _searcher(k: int):
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for pair in batch.itertuples(index=False):
                 if pair.row_width == pair.query_width:
-                    yield _k_best(
-                        np.frombuffer(pair.query_ids, "int64"),
-                        np.frombuffer(pair.query_points).reshape(-1, pair.query_width),
-                        np.frombuffer(pair.row_ids, "int64"),
-                        np.frombuffer(pair.row_points).reshape(-1, pair.row_width), k)
+                    yield _k_best(*_points(pair, "query"), *_points(pair, "row"), k).assign(query_block=pair.query_block)[
+                        ["query_block", "query_id", "vec_id", "distance", "most"]]
 
-    return search
+    return find
 
 
 def _k_best(
     ids: np.ndarray, points: np.ndarray, keys: np.ndarray, matrix: np.ndarray, k: int
 ) -> pd.DataFrame:
-    parts = []
+    """The k nearest rows of every query, and the largest of their distances where all queries have k."""
+    parts, most = [], 0.0
     for query, point in zip(ids, points):
         gaps = ((matrix - point) ** 2).sum(axis=1)
         best = np.lexsort((keys, gaps))[:k]
+        most = max(most, gaps[best[-1]] if len(best) == k and np.isfinite(gaps[best[-1]]) else np.inf)
         parts.append(pd.DataFrame({"query_id": query, "vec_id": keys[best], "distance": gaps[best]}))
-    return pd.concat(parts)
+    return pd.concat(parts).assign(most=most)

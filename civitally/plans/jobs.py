@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import answers, cleaning, quality, series as ts
-from ..operators.cubes import build_cubes
+from ..operators.cubes import build_cubes, data_range
 from ..session import DATA_TIME_ZONE, cut_lineage, get_spark
 from ..sources import readers, writers
-from . import forecasting as fc
+from . import forecasting as fc, increments
 from .marts import derive_marts, marts
 
 #: Column that holds the line of a row that does not fit the header.
@@ -56,7 +56,24 @@ def run_marts(
     """
     spark = df.sparkSession
     build_cubes(df).write.mode("overwrite").partitionBy("cube").parquet(f"{out}/cubes")
-    cubes = spark.read.parquet(f"{out}/cubes")
+    write_marts(spark.read.parquet(f"{out}/cubes"), holidays, out, jdbc)
+
+
+def refresh_marts(
+    spark: SparkSession, clean: str, holidays: DataFrame, out: str, jdbc: Mapping[str, str] | None = None
+) -> int:
+    """Read the files of the clean table not counted before, merge their cubes, derive the marts anew.
+
+    Returns how many files were read; with none new nothing is written.
+    """
+    read = increments.refresh_cubes(spark, clean, f"{out}/state")
+    if read:
+        write_marts(writers.read_published(spark, f"{out}/state", "cubes"), holidays, out, jdbc)
+    return read
+
+
+def write_marts(cubes: DataFrame, holidays: DataFrame, out: str, jdbc: Mapping[str, str] | None = None) -> None:
+    spark = cubes.sparkSession
     keys = {name: mart.keys for name, mart in marts().items()}
     for name, mart in derive_marts(cubes, holidays).items():
         writers.write_mart(mart, out, name, keys[name])
@@ -104,6 +121,7 @@ def main(argv: list[str] | None = None) -> None:
     dates.add_argument("--holidays-jdbc", help="JSON file with url, user, password, driver and dbtable")
     mart.add_argument("--out", required=True)
     mart.add_argument("--jdbc", help="JSON file with url, user, password and driver")
+    mart.add_argument("--refresh", action="store_true", help="read only files not counted before")
     forecast = commands.add_parser("forecast")
     forecast.add_argument("--marts", required=True)
     forecast.add_argument("--out", required=True)
@@ -123,7 +141,11 @@ def main(argv: list[str] | None = None) -> None:
         else:
             options = json.loads(Path(args.holidays_jdbc).read_text())
             holidays = readers.read_jdbc(spark, options.pop("dbtable"), options)
-        run_marts(readers.read_clean(spark, args.clean), holidays, args.out, jdbc)
+        if args.refresh:
+            print(f"{refresh_marts(spark, args.clean, holidays, args.out, jdbc)} new files")
+        else:
+            run_marts(readers.read_clean(spark, args.clean), holidays, args.out, jdbc)
+            data_range(spark.read.parquet(f"{args.out}/cubes")).show(truncate=False)
     elif args.command == "forecast":
         version = run_forecast(
             readers.read_mart(spark, args.marts, "monthly_trend"),

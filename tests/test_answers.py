@@ -10,7 +10,7 @@ from civitally.functions import text
 from civitally.operators import answers, counting as ct, vectors
 from civitally.sources.readers import area_centroids
 
-from .conftest import rows
+from .conftest import plan, rows
 
 
 def test_zero_is_never_the_lowest(spark):
@@ -123,3 +123,40 @@ def test_nearest_rows_both_ways(spark):
         got = sorted(tuple(r) for r in found.collect())
         assert [g[:3] for g in got] == [e[:3] for e in expected]
         assert np.allclose([g[3] for g in got], [e[3] for e in expected])
+
+
+def _clusters(rng, centres, each, dims):
+    return [[float(x) for x in centre + rng.normal(size=dims) * 0.01]
+            for centre in rng.normal(size=(centres, dims)) for _ in range(each)]
+
+
+def test_rings_out_of_reach_are_not_read(spark):
+    rng = np.random.default_rng(7)
+    points = list(enumerate(_clusters(rng, 40, 60, 8)))
+    asked = [(i, v) for i, v in points if i % 50 == 0]
+    rows_ = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(4)
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<double>")
+    found = vectors.search(rows_, queries, 4, rows_per_block=50, queries_per_block=8)
+    got = sorted(tuple(r) for r in found.nearest().collect())
+    assert [g[:3] for g in got] == [e[:3] for e in sorted(brute_force(points, asked, 4))]
+    assert found.share_read() < 0.5
+    text = plan(found.nearest())
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+@pytest.mark.parametrize("k", [1, 3, 500])
+def test_repeated_ids_and_too_few_rows(spark, k):
+    rng = np.random.default_rng(8)
+    points = [(i % 30, [float(x) for x in rng.normal(size=3)]) for i in range(70)] + [(5, [0.0, 0.0, 0.0])] * 10
+    asked = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(5)] + [(9, [0.0, 0.0, 0.0])]
+    rows_ = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(3)
+    queries = spark.createDataFrame(asked, "query_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vectors.nearest_rows(rows_, queries, k, rows_per_block=7, queries_per_block=2).collect())
+    assert [g[:3] for g in got] == [e[:3] for e in sorted(brute_force(points, asked, k))]
+
+
+def test_vectors_that_are_not_finite_hide_no_row(spark):
+    points = [(0, [float("nan"), 0.0]), (1, [float("inf"), 0.0]), *((i, [float(i), 1.0]) for i in range(2, 40))]
+    rows_ = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(2)
+    queries = spark.createDataFrame([(7, [20.2, 1.0])], "query_id long, embedding array<double>")
+    assert [r.vec_id for r in vectors.nearest_rows(rows_, queries, 3, rows_per_block=4).orderBy("rank").collect()] == [20, 21, 19]

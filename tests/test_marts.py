@@ -230,3 +230,54 @@ def test_every_route_has_an_answer(built, holidays):
         built_in.answer("nothing", built.__getitem__)
     with pytest.raises(ValueError):
         built_in.answer("holiday_vs_nonholiday", built.__getitem__)
+
+
+def test_marts_after_increments_are_those_of_all_rows(spark, incidents, holidays, tmp_path):
+    from civitally.plans.increments import table_files
+    from civitally.plans.jobs import refresh_marts
+
+    clean, out = str(tmp_path / "clean"), str(tmp_path / "out")
+    parts = incidents.withColumn("incident_year", F.year("date")).withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(3)))
+    read = []
+    for part in range(3):
+        parts.filter(F.col("_p") == part).drop("_p").coalesce(2).write.mode("append").partitionBy(
+            "incident_year").parquet(clean)
+        read.append(refresh_marts(spark, clean, holidays, out))
+    assert sum(read) == table_files(spark, clean).count() and all(read)
+    assert refresh_marts(spark, clean, holidays, out) == 0
+    for name, mart in derive_marts(build_cubes(incidents), holidays).items():
+        assert rows(readers.read_mart(spark, out, name).select(mart.columns)) == rows(mart), name
+
+
+def test_a_rewritten_file_starts_over(spark, incidents, tmp_path):
+    from civitally.plans.increments import refresh_cubes
+    from civitally.sources import writers
+
+    clean, out = str(tmp_path / "clean"), str(tmp_path / "out")
+    incidents.limit(9).coalesce(1).write.parquet(clean)
+    assert refresh_cubes(spark, clean, out) == 1
+    incidents.coalesce(1).write.mode("overwrite").parquet(clean)
+    assert refresh_cubes(spark, clean, out) == 1
+    total = writers.read_published(spark, out, "cubes").filter("cube = 'by_hour'").agg(F.sum("n")).first()[0]
+    assert total == incidents.count()
+
+
+def test_sketches_merge_like_rows(spark):
+    from civitally.operators import distinct
+    from civitally.operators.cubes import data_range, merge_cubes
+
+    df = spark.range(60_000).selectExpr("id % 7 AS k", "id % 5 AS part", "id % 20000 AS v")
+    whole = distinct.sketch_by(df, ["k"], "v")
+    merged = distinct.merge_by(distinct.sketch_by(df, ["k", "part"], "v"), ["k"])
+    one, two = (sorted(map(tuple, distinct.estimate(s).select("k", "n", "n_distinct").collect())) for s in (whole, merged))
+    exact = dict(df.groupBy("k").agg(F.count_distinct("v")).collect())
+    for found in (one, two):
+        assert all(abs(n - exact[k]) <= 4 * distinct.STANDARD_ERROR * exact[k] for k, _, n in found)
+    incidents = spark.range(5000).selectExpr(
+        "CAST(id AS string) AS id", "timestamp'2019-01-01' + make_interval(0, 0, 0, 0, CAST(id AS int)) AS date",
+        "'T' AS primary_type", "CAST(id % 3 AS string) AS location_description", "'1' AS community_area")
+    parts = [build_cubes(incidents.filter(f"CAST(id AS int) % 2 = {p}"), distinct="id") for p in (0, 1)]
+    cubes = merge_cubes(*parts)
+    by_area = cubes.filter("cube = 'by_area_type'").select(F.hll_sketch_estimate("sketch").alias("ids"), "n").first()
+    assert by_area.n == 5000 and abs(by_area.ids - 5000) <= 4 * distinct.STANDARD_ERROR * 5000
+    assert data_range(cubes).first() == incidents.agg(F.min("date"), F.max("date")).first()
