@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from functools import lru_cache
 from pathlib import Path
 
 import pytest
@@ -67,10 +68,30 @@ def test_any_text(aligner, text):
     a, b = aligner.tokens(text)
     groups, links = aligner.align(a, b)
     wanted = plain(text, aligner)
-    assert (a, b, groups) == wanted[:3]
+    assert (tuple(a), tuple(b), groups) == (tuple(wanted[0]), tuple(wanted[1]), wanted[2])
     assert Counter(divmod(p, alignment.SHIFT) for p in links) == Counter(wanted[3])
 
 
+@settings(max_examples=500, deadline=None)
+@given(text=st.text(max_size=60) | st.text("a '\u0085\u00a0\u180e\u200b\u3000\t\n\r1é²ⅷ་\u0301_s", max_size=40))
+def test_ids_are_those_of_the_vocabulary_file(aligner, text):
+    assert aligner.encode_a(text) == _own().encode(" " + text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 50_000 + "x", "a" * 100_000, "^" * 100_000, "<|endoftext|> x"])
+def test_ids_of_long_runs(aligner, text):
+    assert aligner.encode_a(text) == _own().encode(" " + text, add_special_tokens=False).ids
+
+
+@lru_cache
+def _own():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(Path(alignment.TOKENIZERS, alignment.BYTE_LEVEL)))
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 def test_whole_table(spark, aligner):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     found = [tuple(r) for r in alignment.op12_token_alignment(spark, SF_DIR).select("doc_id", *NEW).collect()]
