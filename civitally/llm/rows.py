@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROW_KEY = ["__row_key_a", "__row_key_b"]
+#: Rows of a narrow table that may be sent to every task.
+SMALL = 500_000
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
@@ -25,3 +27,8 @@ def with_row_key(df: DataFrame) -> DataFrame:
 def once(expression: str) -> Column:
     """The expression, marked so that no condition on it is moved below, where each use would work it out anew."""
     return F.expr(f"CASE WHEN spark_partition_id() >= 0 THEN {expression} END")
+
+
+def join_small(rows: DataFrame, other: DataFrame, on: str | list[str], most: int = SMALL) -> DataFrame:
+    """``rows`` joined to a stored narrow table, which is broadcast up to ``most`` rows and shuffled beyond."""
+    return rows.join(F.broadcast(other) if other.limit(most + 1).count() <= most else other, on)

@@ -27,7 +27,7 @@ from civitally.session import cut_lineage, shared_table
 
 from .components import roots
 from .registry import query, table
-from .rows import ROW_KEY, with_row_key
+from .rows import ROW_KEY, join_small, with_row_key
 
 RADIUS = 2
 SEED = 42
@@ -36,8 +36,8 @@ PRINTS, SHINGLE, SIMILARITY = 4, 5, 0.8
 #: Entries of a sketch at most, and the probability that the sketches of two similar texts share too few.
 SKETCH, MISS = 64, 1e-13
 #: Of no bearing on the result: texts that share an entry are paired up to FEW and compared in blocks beyond, with
-#: at most TEXTS texts and about BLOCK_SHINGLES shingles; narrow tables up to SMALL rows are broadcast.
-FEW, TEXTS, BLOCK_SHINGLES, SMALL = 64, 1024, 2_000_000, 500_000
+#: at most TEXTS texts and about BLOCK_SHINGLES shingles.
+FEW, TEXTS, BLOCK_SHINGLES = 64, 1024, 2_000_000
 _BLOCK = 1 << 16
 _WORD = re.compile(r"[^\W_]+")
 _LOW63 = (1 << 63) - 1
@@ -263,11 +263,6 @@ def fingerprint_pairs(texts: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def join_small(rows: DataFrame, other: DataFrame, on: str | list[str], most: int = SMALL) -> DataFrame:
-    """``rows`` joined to a stored narrow table, which is broadcast up to ``most`` rows and shuffled beyond."""
-    return rows.join(F.broadcast(other) if other.limit(most + 1).count() <= most else other, on)
-
-
 def _fit(x: str, y: str, least: float) -> Column:
     """Whether texts of these sizes can be similar."""
     return F.least(x, y) >= least * F.greatest(x, y) - 1e-6
