@@ -4,7 +4,7 @@ Patterns find the protected entities. Around them, corpus co-occurrence tells ho
 gives them away: with IC(kind) = -log p(kind) and PMI(term; kind) estimated from the words
 in the contexts of the kind and in the whole corpus, the disclosure of a term is PMI / IC. It is
 1 for a term met only beside such entities and 0 for one that is independent of them. Terms above
-a threshold are generalised, above a higher one removed, wherever they stand in a text that holds an entity.
+a threshold are generalised, above a higher one removed, wherever they stand in any text.
 """
 
 from __future__ import annotations
@@ -115,7 +115,7 @@ def word_totals(docs: DataFrame, terms: DataFrame) -> DataFrame:
         for batch in batches:
             counts: Counter = Counter()
             for text in batch["text"]:
-                counts.update(_WORD.findall(text.lower()))
+                counts.update(map(str.lower, _WORD.findall(text)))
             words = list(counts)
             hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in words), np.uint64, len(words))
             places = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
@@ -137,7 +137,8 @@ def disclosing_terms(docs: DataFrame, marks: DataFrame) -> DataFrame:
     totals = cut_lineage(word_totals(docs, pairs.select("term").distinct()))
     kinds = beside.groupBy("kind").agg(F.count("*").alias("near"))
     words = totals.where("term IS NULL").agg(F.sum("total")).scalar()
-    known = pairs.join(totals, "term").join(kinds, "kind")
+    # A word that is cut short by the entity it touches may be no word of any text.
+    known = pairs.join(totals, "term", "left").join(kinds, "kind").withColumn("total", F.coalesce("total", "together"))
     # A kind that is as common as words tells nothing: its IC is 0.
     ic = F.log(words / F.col("near"))
     disclosure = F.when(ic > 0, 1 - F.log(F.greatest("total", "together") / F.col("together")) / ic).otherwise(F.lit(0.0))
@@ -146,7 +147,7 @@ def disclosing_terms(docs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def occurrences(keyed: DataFrame, terms: DataFrame) -> DataFrame:
-    """(row key, start, end, term) of every word that may be one of ``terms``, in texts that hold an entity."""
+    """(row key, start, end, term) of every word that may be one of ``terms`` and is not part of an entity."""
     bits = _bits(terms)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,13 +160,14 @@ def occurrences(keyed: DataFrame, terms: DataFrame) -> DataFrame:
                 hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in new), np.uint64, len(new))
                 places = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)
                 known.update(zip(new, (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).tolist()))
-                if not any(map(known.get, words)) or not (taken := base_spans(text)):
+                if not any(map(known.get, words)):
                     continue
+                taken = base_spans(text)
                 rows += [(*key, m.start(), m.end(), w) for m in _WORD.finditer(text) if known[w := m[0].lower()]
                          and not any(s < m.end() and m.start() < e for s, _, e in taken)]
             yield pd.DataFrame(rows, columns=[*ROW_KEY, "start", "end", "term"])
 
-    return keyed.select(*ROW_KEY, "text").mapInPandas(
+    return keyed.where("text IS NOT NULL").select(*ROW_KEY, "text").mapInPandas(
         find, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, start int, end int, term string")
 
 
@@ -175,8 +177,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     A span has start and end (code points, end exclusive), kind (email, ip, card, phone or
     term) and ``action``: mask, generalise or remove. Null and empty texts have none. Equal
     rows have equal spans; null ids do not matter, as rows are told apart by their content.
-    Disclosing terms are spans wherever they stand in a text with an entity, beside it or not. Only texts
-    that may hold an entity are read by Python and joined; others pass through.
+    Disclosing terms are spans wherever they stand, in texts without an entity too. Where no term discloses
+    anything, only texts that may hold an entity are joined and others pass through.
     """
     @F.pandas_udf("array<struct<kind: int, start: int, end: int, value: long, term: string>>")
     def detect(texts: pd.Series) -> pd.Series:
@@ -188,10 +190,13 @@ def with_spans(docs: DataFrame) -> DataFrame:
     marks = keyed.where(may).select(*ROW_KEY, detect("text").alias("marks")).where(F.size("marks") > 0)
     marks = cut_lineage(marks.dropDuplicates(ROW_KEY).select(*ROW_KEY, F.inline("marks")))
     telling = cut_lineage(disclosing_terms(docs, marks).groupBy("term").agg(F.max("disclosure").alias("d")))
-    # A word cut short by the entity it touches is a term beside it, but no word of the text.
-    beside = marks.where("term IS NOT NULL").select(*ROW_KEY, "start", "end", "term")
-    terms = beside.unionByName(occurrences(keyed.where(may), telling)).join(telling, "term").groupBy(
-        *ROW_KEY, "start", "end").agg(F.max("d").alias("d"))
+    if telling.isEmpty():
+        asked, terms = may, marks.limit(0).select(*ROW_KEY, "start", "end", F.lit(0.0).alias("d"))
+    else:
+        # A word cut short by the entity it touches is a term beside it, but no word of the text.
+        beside = marks.where("term IS NOT NULL").select(*ROW_KEY, "start", "end", "term")
+        asked, terms = F.lit(True), beside.unionByName(occurrences(keyed, telling)).join(telling, "term").groupBy(
+            *ROW_KEY, "start", "end").agg(F.max("d").alias("d"))
     names = F.array(*map(F.lit, KINDS))
     spans = marks.where("term IS NULL").select(
         *ROW_KEY, F.struct("start", F.col("kind").alias("order"), "end", names[F.col("kind")].alias("kind"),
@@ -201,9 +206,9 @@ def with_spans(docs: DataFrame) -> DataFrame:
         F.when(F.col("d") >= REMOVE, "remove").otherwise("generalise").alias("action")).alias("span")))
     spans = spans.groupBy(*ROW_KEY).agg(F.sort_array(F.collect_list("span")).alias("pii_spans"))
     none = F.array().cast(spans.schema["pii_spans"].dataType)
-    held = keyed.where(may).join(spans, ROW_KEY, "left")
+    held = keyed.where(asked).join(spans, ROW_KEY, "left")
     return held.select(*kept, F.coalesce("pii_spans", none).alias("pii_spans")).unionByName(
-        keyed.where(~may).select(*kept, none.alias("pii_spans")))
+        keyed.where(~asked).select(*kept, none.alias("pii_spans")))
 
 
 def _treat(text: str, spans) -> str:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROW_KEY = ["__row_key_a", "__row_key_b"]
 #: Rows of a narrow table that may be sent to every task.
@@ -16,14 +17,22 @@ SMALL = 500_000
 def with_row_key(df: DataFrame) -> DataFrame:
     """``df`` with a 128-bit hash of the whole row; equal rows have equal keys.
 
-    Nulls are marked, because the hash passes over them.
+    Nulls are marked, because the hash passes over them. Maps have no hash: their entries are sorted by key,
+    and maps inside other columns are read as JSON, in the order they are written in.
     """
-    columns = [c for c in df.columns if c not in ROW_KEY]
-    parts = [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    fields = [f for f in df.schema.fields if f.name not in ROW_KEY]
+    parts = [part for f in fields for part in (F.col(f"`{f.name}`").isNull(), _hashable(f))]
     return df.withColumns({
         ROW_KEY[0]: F.xxhash64(*parts), ROW_KEY[1]: F.xxhash64(F.lit(1), *parts)})
 
 
+def _hashable(field: T.StructField) -> Column:
+    column, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+    if isinstance(field.dataType, T.MapType) and "map<" not in field.dataType.valueType.simpleString():
+        return F.array_sort(F.map_entries(column))
+    return F.to_json(F.struct(column)) if "map<" in kind else column
+
+
 def once(expression: str) -> Column:
     """The expression, marked so that no condition on it is moved below, where each use would work it out anew."""
     return F.expr(f"CASE WHEN spark_partition_id() >= 0 THEN {expression} END")
