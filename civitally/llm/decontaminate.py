@@ -6,6 +6,8 @@ differs in at most ``RADIUS // 6`` bits: of any two fingerprints within the radi
 so none within it is lost. Those within the radius are verified by the exact similarity
 of their shingle multisets: shared over all, every shingle weighted by how often it occurs.
 
+Items of under five words have no shingle: they are found where their words stand, as a whole sequence.
+
 Windows are laid wherever their first shingle is one of a benchmark item, as long as that item.
 No better window exists: one that begins with a foreign shingle gains or stays equal when it
 moves on by a word. A filter of fixed size finds these places inside the row of the document, so
@@ -19,15 +21,16 @@ from itertools import combinations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civitally.session import cut_lineage
+from civitally.session import cut_lineage, shared_table
 
 from .registry import query, table
-from .rows import ROW_KEY, once, with_row_key
+from .rows import ROW_KEY, join_small, once, with_row_key
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Texts with similarity 0.8 differ in 9.7 of 64 bits on average, with a deviation of 2.9.
-RADIUS = 17
+#: Texts with similarity 0.8 differ in 9.6 of 64 bits on average, with a deviation of 2.8: of simulated pairs
+#: at 0.80 to 0.84 about one in 100,000 is beyond this.
+RADIUS = 23
 #: First bit and number of bits of each block.
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 #: Longs of the filter of benchmark shingles: 2 ** 24 bits, whatever the benchmark.
@@ -46,20 +49,25 @@ def _grams(df: DataFrame, text: str, out: str) -> DataFrame:
         ELSE CAST(array() AS array<bigint>) END""")).drop("__words")
 
 
-def _simhash(df: DataFrame, grams: str, out: str) -> DataFrame:
-    """Adds the SimHash of an array of hashes: a bit is set if it is in over half of them.
+def _fingerprint(grams: str) -> str:
+    """SimHash of an array of hashes as SQL: a bit is set if it is in over half of them.
 
     Sixteen sums hold four counters each, of 16 bits; arrays of over 32,767 are summed by parts, so
-    that the highest counter keeps clear of the sign.
+    that the highest counter keeps clear of the sign. The array and the sums are worked out once.
     """
     part = ", ".join(
         f"aggregate(part, 0L, (a, h) -> a + (shiftrightunsigned(h, {k}) & {_LANES}))" for k in range(16))
-    parts = f"transform(sequence(0, (size({grams}) - 1) div 32767), i -> slice({grams}, i * 32767 + 1, 32767))"
+    parts = "transform(sequence(0, (size(gs) - 1) div 32767), i -> slice(gs, i * 32767 + 1, 32767))"
     bits = " | ".join(
-        f"CASE WHEN 2 * aggregate(__sums, 0L, (a, s) -> a + (shiftrightunsigned(s[{k}], {16 * lane}) & 65535)) "
-        f"> size({grams}) THEN {_one(16 * lane + k)} ELSE 0L END" for k in range(16) for lane in range(4))
-    df = df.withColumn("__sums", F.expr(f"transform({parts}, part -> array({part}))"))
-    return df.withColumn(out, F.expr(bits)).drop("__sums")
+        f"CASE WHEN 2 * aggregate(sums, 0L, (a, s) -> a + (shiftrightunsigned(s[{k}], {16 * lane}) & 65535)) "
+        f"> size(gs) THEN {_one(16 * lane + k)} ELSE 0L END" for k in range(16) for lane in range(4))
+    return (f"transform(array({grams}), gs -> transform(array(transform({parts}, part -> array({part}))),"
+            f" sums -> {bits})[0])[0]")
+
+
+def _simhash(df: DataFrame, grams: str, out: str) -> DataFrame:
+    """Adds the SimHash of an array of hashes that is not empty."""
+    return df.withColumn(out, F.expr(_fingerprint(grams)))
 
 
 def _one(bit: int) -> str:
@@ -82,7 +90,7 @@ def _probes(fingerprint: str) -> str:
 
 
 def items_index(benchmark: DataFrame) -> DataFrame:
-    """(item_id, grams, m, fp) of the items; those of under five words have no shingle and match nothing."""
+    """(item_id, grams, m, fp) of the items of five words and more."""
     items = _grams(benchmark.select("item_id", "text"), "text", "grams").where(F.size("grams") > 0)
     items = items.select("item_id", "grams", F.size("grams").alias("m"))
     return cut_lineage(_simhash(items, "grams", "fp").dropDuplicates(["item_id", "grams"]))
@@ -100,52 +108,92 @@ def _filter_bits(items: DataFrame) -> DataFrame:
         "transform(array_sort(collect_list(struct(at, bits))), x -> x.bits)").alias("filter")))
 
 
-def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """ROW_KEY, start (word, from 0), m and grams of every window that begins with a shingle of an item of m shingles."""
-    longest = items.agg(F.coalesce(F.max("m"), F.lit(1))).scalar()
+def touched(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """ROW_KEY, grams and places (words, from 0) of the documents in which a shingle of an item may stand, stored."""
     keyed = _grams(with_row_key(docs).select(*ROW_KEY, "text"), "text", "grams").drop("text")
     tested = keyed.select(*ROW_KEY, "grams", _filter_bits(items).scalar().alias("filter"))
     places = tested.select(*ROW_KEY, "grams", once("""filter(sequence(0, size(grams) - 1), p -> size(grams) > 0 AND
         shiftrightunsigned(filter[CAST(grams[p] & 262143 AS int)], CAST(shiftrightunsigned(grams[p], 18) & 63 AS int)) & 1 = 1)
         """).alias("places")).where(F.size("places") > 0)
-    found = places.select(*ROW_KEY, "grams", F.explode("places").alias("start")).select(
-        *ROW_KEY, "start", F.col("grams")[F.col("start")].alias("first"),
-        F.slice("grams", F.col("start") + 1, longest).alias("grams"))
+    return shared_table(places.dropDuplicates(ROW_KEY), "touched")
+
+
+def windows(held: DataFrame, items: DataFrame) -> DataFrame:
+    """ROW_KEY, start (word, from 0), m and fp of every window that begins with a shingle of an item of m shingles.
+
+    Only places leave the row of a document, and come back with the lengths to lay there; fingerprints are
+    worked out inside the row, so that no window is copied out of it.
+    """
+    firsts = held.select(*ROW_KEY, F.expr("inline(transform(places, p -> named_struct('start', p, 'first', grams[p])))"))
     sizes = items.select(F.explode("grams").alias("first"), "m").distinct()
-    return found.join(sizes, "first").select(*ROW_KEY, "start", "m", F.expr("slice(grams, 1, m)").alias("grams"))
+    laid = firsts.join(sizes, "first").groupBy(*ROW_KEY).agg(F.collect_list(F.struct("start", "m")).alias("laid"))
+    fp = _fingerprint("slice(grams, w.start + 1, w.m)")
+    return held.select(*ROW_KEY, "grams").join(laid, ROW_KEY).select(*ROW_KEY, F.expr(
+        f"inline(transform(laid, w -> named_struct('start', w.start, 'm', w.m, 'fp', {fp})))"))
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """ROW_KEY, item_id, start_word, n_words, similarity and distance: the best window of each document and item.
 
-    Documents are told apart by their whole row; null and short texts hold nothing. A window
+    Documents are told apart by their whole row; null texts hold nothing. A window
     cut off by the end of its document is compared with what it has.
     """
     items = items_index(benchmark)
-    laid = _simhash(windows(docs, items), "grams", "fp")
+    held = touched(docs, items)
     index = items.select("item_id", F.col("m"), F.col("fp").alias("item_fp"), F.expr(f"inline({_probes('fp')})"))
     blocks = F.expr("array(" + ", ".join(
         f"named_struct('block', {k}, 'value', {_block('fp', *b)})" for k, b in enumerate(BLOCKS)) + ")")
-    met = laid.select(*ROW_KEY, "start", "m", "grams", "fp", F.inline(blocks)).join(index, ["m", "block", "value"])
+    met = windows(held, items).select(*ROW_KEY, "start", "m", "fp", F.inline(blocks)).join(index, ["m", "block", "value"])
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     # A pair that meets in several blocks is taken at the first of them.
     earlier = [f"NOT (block > {k} AND bit_count({_block('fp', *b)} ^ {_block('item_fp', *b)}) <= {RADIUS // len(BLOCKS)})"
                for k, b in enumerate(BLOCKS[:-1])]
-    near = met.where(distance <= RADIUS).where(" AND ".join(earlier)).select(
-        *ROW_KEY, "start", "m", "grams", "item_id", distance.alias("distance"))
-    pairs = near.join(items.select("item_id", "m", F.col("grams").alias("other")), ["item_id", "m"])
-    shared = once("""CASE WHEN size(array_distinct(grams)) = size(grams) OR size(array_distinct(other)) = size(other)
-        THEN size(array_intersect(grams, other))
-        ELSE aggregate(array_intersect(grams, other), 0, (a, g) ->
-            a + least(size(filter(grams, x -> x = g)), size(filter(other, x -> x = g)))) END""")
-    similar = pairs.withColumn("shared", shared).withColumn(
-        "similarity", F.expr("round(shared / (size(grams) + size(other) - shared), 6)")).where(
-        F.col("similarity") >= SIMILARITY)
-    best = similar.groupBy(*ROW_KEY, "item_id").agg(F.max(F.struct(
-        "similarity", (-F.col("start")).alias("before"), (-F.col("distance")).alias("close"), "m")).alias("best"))
-    return best.select(*ROW_KEY, "item_id", (-F.col("best.before")).alias("start_word"),
-                       (F.col("best.m") + SHINGLE - 1).alias("n_words"), "best.similarity",
-                       (-F.col("best.close")).alias("distance"))
+    near = met.where(distance <= RADIUS).where(" AND ".join(earlier)).groupBy(*ROW_KEY, "item_id", "m").agg(
+        F.collect_list(F.struct("start", distance.alias("distance"))).alias("at"))
+    # Shingles are joined once for a document and an item, however many windows are to be verified.
+    pairs = held.select(*ROW_KEY, "grams").join(near, ROW_KEY).join(
+        items.select("item_id", "m", F.col("grams").alias("other")), ["item_id", "m"])
+    shared = """CASE WHEN size(array_distinct(gs)) = size(gs) OR size(array_distinct(other)) = size(other)
+        THEN size(array_intersect(gs, other))
+        ELSE aggregate(array_intersect(gs, other), 0, (a, g) ->
+            a + least(size(filter(gs, x -> x = g)), size(filter(other, x -> x = g)))) END"""
+    judged = f"""transform(array(slice(grams, w.start + 1, m)), gs -> transform(array({shared}), both ->
+        round(both / (size(gs) + size(other) - both), 6))[0])[0]"""
+    best = F.expr(f"""array_max(transform(at, w -> named_struct(
+        'similarity', {judged}, 'before', -w.start, 'close', -w.distance, 'm', m)))""")
+    found = pairs.select(*ROW_KEY, "item_id", best.alias("best")).groupBy(*ROW_KEY, "item_id").agg(
+        F.max("best").alias("best")).where(F.col("best.similarity") >= SIMILARITY)
+    long = found.select(*ROW_KEY, "item_id", (-F.col("best.before")).alias("start_word"),
+                        (F.col("best.m") + SHINGLE - 1).alias("n_words"), "best.similarity",
+                        (-F.col("best.close")).alias("distance"))
+    return long.unionByName(short_items(docs, benchmark))
+
+
+def short_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The same columns for items of one to four words: the first place where exactly these words stand.
+
+    Documents are only read for the lengths that occur, four at most.
+    """
+    def words(df: DataFrame) -> DataFrame:
+        return df.withColumn("__words", F.array_remove(F.split(F.lower(F.coalesce("text", F.lit(""))), _WORDS), ""))
+
+    items = words(benchmark.select("item_id", "text")).where(F.size("__words").between(1, SHINGLE - 1))
+    items = cut_lineage(items.select("item_id", F.size("__words").alias("n"), F.array_join("__words", " ").alias("gram")).distinct())
+    found = []
+    for n in sorted(r.n for r in items.select("n").distinct().collect()):
+        held = words(with_row_key(docs).select(*ROW_KEY, "text")).where(F.size("__words") >= n)
+        places = held.select(*ROW_KEY, F.expr(f"""inline(transform(sequence(0, size(__words) - {n}), i -> named_struct(
+            'start', i, 'gram', array_join(slice(__words, i + 1, {n}), ' '))))"""))
+        first = places.groupBy(*ROW_KEY, "gram").agg(F.min("start").alias("start_word"))
+        found.append(join_small(first, cut_lineage(items.where(F.col("n") == n)), "gram").select(
+            *ROW_KEY, "item_id", "start_word", F.col("n").alias("n_words")))
+    every = found[0] if found else with_row_key(docs).limit(0).select(
+        *ROW_KEY, F.lit(0).cast(benchmark.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"))
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every.groupBy(*ROW_KEY, "item_id").agg(F.max(F.struct("n_words", (-F.col("start_word")).alias("before"))).alias("b")).select(
+        *ROW_KEY, "item_id", (-F.col("b.before")).alias("start_word"), "b.n_words", F.lit(1.0).alias("similarity"),
+        F.lit(0).alias("distance"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
