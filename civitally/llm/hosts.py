@@ -75,17 +75,19 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
 def host_verdicts(measured: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """Per host: documents, failing ones, shrunk rate and ``host_ok``.
 
-    A document fails by any rule. The beta prior comes from the hosts' own rates by moments:
-    mean m and variance v of the rates give alpha + beta = m (1 - m) / v - 1. Where the
-    hosts do not differ, or their spread exceeds what a beta allows, a flat strength
-    is used. A null host is a host of its own.
+    A document fails by any rule. The beta prior comes from the hosts' own rates by moments: mean m and
+    variance v give alpha + beta = m (1 - m) / v - 1. Of the rates' variance the part that comes from counting
+    n documents, m (1 - m) / n on average, is taken off first, as it is no difference between hosts. Where
+    nothing is left, or the spread exceeds what a beta allows, a flat strength is used. A null host is a
+    host of its own.
     """
     failed = F.expr(" OR ".join(f"({r})" for r in RULES.values())).cast("long")
     hosts = measured.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n_docs"), F.sum(failed).alias("n_failed"))
-    rates = hosts.agg(
-        (F.sum("n_failed") / F.sum("n_docs")).alias("mean"),
-        F.var_samp(F.round(F.col("n_failed") / F.col("n_docs"), 9)).alias("spread")).select(
+    moments = hosts.agg(
+        (F.sum("n_failed") / F.sum("n_docs")).alias("mean"), F.avg(F.lit(1.0) / F.col("n_docs")).alias("per_doc"),
+        F.var_samp(F.round(F.col("n_failed") / F.col("n_docs"), 9)).alias("raw"))
+    rates = moments.select("mean", F.round(F.col("raw") - F.expr("mean * (1 - mean) * per_doc"), 12).alias("spread")).select(
         "mean", F.when((F.col("spread") > 0) & (F.expr("try_divide(mean * (1 - mean), spread)") > 1),
                        F.expr("try_divide(mean * (1 - mean), spread) - 1")).otherwise(FLAT_PRIOR).alias("strength"))
     mean, strength = rates.select("mean").scalar(), rates.select("strength").scalar()
@@ -125,7 +127,8 @@ m AS (SELECT doc_id, source AS host, CAST(len(ws) AS BIGINT) AS n_words,
 h AS (SELECT host, count(*) AS n_docs, sum(CASE WHEN n_words < 10 OR 100 * n_repeat_words > 20 * n_words
         OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR word_chars > 20 * n_words THEN 1 ELSE 0 END) AS n_failed
       FROM m GROUP BY host),
-p AS (SELECT sum(n_failed) / sum(n_docs) AS mean, var_samp(round(n_failed / n_docs, 9)) AS spread FROM h),
+o AS (SELECT sum(n_failed) / sum(n_docs) AS mean, avg(1.0::DOUBLE / n_docs) AS per_doc, var_samp(round(n_failed / n_docs, 9)) AS raw FROM h),
+p AS (SELECT mean, round(raw - mean * (1 - mean) * per_doc, 12) AS spread FROM o),
 s AS (SELECT mean, CASE WHEN spread > 0 AND mean * (1 - mean) / spread > 1
         THEN mean * (1 - mean) / spread - 1 ELSE 20.0 END AS strength FROM p),
 v AS (SELECT host, round((n_failed + strength * mean) / (n_docs + strength), 6) AS host_rate FROM h, s)

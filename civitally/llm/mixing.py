@@ -1,7 +1,7 @@
 """Mixing sources to target weights by hierarchical budgets, with DataFrame functions only.
 
-The corpus is a tree, here domain, language, source. Every node shares its budget among its children
-by weight. A child cannot take more than its texts give over the allowed epochs; what it cannot
+The corpus is a tree, here domain, language, source, and each of its levels has weights of its own. From the
+root down every node shares its budget among its children by their weights, however many children those have. A child cannot take more than its texts give over the allowed epochs; what it cannot
 take goes to its siblings by their weights, and only what all of them cannot take goes
 short further up. A leaf then takes whole epochs of its documents and a prefix of one more, in an
 order seeded by epoch.
@@ -9,7 +9,7 @@ order seeded by epoch.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,10 +56,21 @@ def share_budget(nodes: DataFrame, parents: Sequence[str], child: str) -> DataFr
 
 
 def budgets(leaves: DataFrame, levels: Sequence[str], total: Column) -> DataFrame:
-    """Leaves (levels, weight, capacity) with ``budget``, from the root down. Weights add up to their parents'."""
+    """Leaves (levels, capacity and weights) with ``budget``, from the root down.
+
+    ``__w0``, ``__w1`` and so on are the weights of the levels, alike where a column is missing; the last one may
+    be named ``weight``. A leaf below a weight of zero or less can take nothing, so it is no capacity of its ancestors.
+    """
+    named = {i: f"__w{i}" if f"__w{i}" in leaves.columns else "weight" if i == len(levels) - 1 and "weight" in leaves.columns
+             else None for i in range(len(levels))}
+    weights = {i: F.lit(1) if c is None else F.col(c) for i, c in named.items()}
+    usable = F.lit(True)
+    for weight in weights.values():
+        usable = usable & (F.coalesce(weight, F.lit(0)) > 0)
+    counted = leaves.withColumn("__usable", F.when(usable, F.col("capacity")).otherwise(0))
     given, known = None, []
-    for child in levels:
-        nodes = leaves.groupBy(*known, child).agg(F.sum("weight").alias("weight"), F.sum("capacity").alias("capacity"))
+    for i, child in enumerate(levels):
+        nodes = counted.groupBy(*known, child).agg(F.max(weights[i]).alias("weight"), F.sum("__usable").alias("capacity"))
         if given is None:
             nodes = nodes.withColumn("given", total)
         else:
@@ -69,13 +80,14 @@ def budgets(leaves: DataFrame, levels: Sequence[str], total: Column) -> DataFram
     return leaves.join(given.withColumnRenamed("given", "budget"), known)
 
 
-def plan(measured: DataFrame, levels: Sequence[str], weight: Column, share: float, epochs: int) -> DataFrame:
+def plan(measured: DataFrame, levels: Sequence[str], weights: Mapping[str, Column], share: float, epochs: int) -> DataFrame:
     """Per leaf: ``whole`` epochs taken and ``cut``: the order hash up to which the next one is taken (null: nothing).
 
     ``measured`` has the levels, doc_id and tokens. Only totals are gathered by leaf, and by
     part of a leaf; documents are sorted only inside the one part in which a prefix ends.
     """
-    leaves = measured.groupBy(*levels).agg(F.sum("tokens").alias("tokens")).withColumn("weight", weight)
+    leaves = measured.groupBy(*levels).agg(F.sum("tokens").alias("tokens")).withColumns(
+        {f"__w{i}": weights.get(level, F.lit(1)) for i, level in enumerate(levels)})
     leaves = cut_lineage(leaves.withColumn("capacity", F.col("tokens") * epochs))
     total = F.floor(F.lit(share) * leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).scalar()).cast("long")
     planned = budgets(leaves, levels, total)
@@ -102,11 +114,12 @@ def plan(measured: DataFrame, levels: Sequence[str], weight: Column, share: floa
         *levels, "budget", "whole", F.coalesce("last", F.col("part"), F.lit("g")).alias("cut"))
 
 
-def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, weight: Column | None = None, share: float = SHARE,
-        epochs: int = EPOCHS) -> DataFrame:
+def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, weight: Column | Mapping[str, Column] | None = None,
+        share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
     """Rows of ``docs`` once for every epoch they are taken in, with ``tokens`` and ``epoch`` (from 0).
 
-    ``weight`` is a column over the levels (default: every leaf alike); zero or less takes nothing.
+    ``weight`` gives levels a column of weights among siblings, over the level and those above; a single
+    column is that of the last level, and siblings without one are alike. Zero or less takes nothing.
     ``share`` of all tokens is the budget. Null levels are a value of their own. Null
     texts have no tokens; documents without tokens come with a prefix they lie in. Rows with
     equal ids go together. The table of leaves is joined, never the texts moved by leaf
@@ -118,8 +131,8 @@ def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, weight: Column | None =
     measured = docs.select(*kept).withColumns({**keys, "tokens": tokens})
     named, keys_of = list(keys), dict(zip(keys, levels))
     small = cut_lineage(measured.select("doc_id", *named, "tokens"))
-    leaf_weight = F.lit(1) if weight is None else weight
-    leaves = plan(small.withColumnsRenamed(keys_of), levels, leaf_weight, share, epochs)
+    weights = weight if isinstance(weight, Mapping) else {} if weight is None else {levels[-1]: weight}
+    leaves = plan(small.withColumnsRenamed(keys_of), levels, weights, share, epochs)
     leaves = cut_lineage(leaves.where("budget > 0").select(
         *(F.col(c).alias(k) for k, c in keys_of.items()), F.col("whole").alias("__whole"), F.col("cut").alias("__cut")))
     taken = measured.join(leaves, named)
@@ -128,8 +141,8 @@ def mix(docs: DataFrame, levels: Sequence[str] = LEVELS, weight: Column | None =
         *kept, "tokens", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)).alias("epoch"))
 
 
-#: Weights of the query's leaves: documents have no domain, so sources are dealt to three by number,
-#: and domains and languages are wanted in these shares.
+#: Weights of the query's levels: documents have no domain, so sources are dealt to three by number,
+#: and domains, and languages within each domain, are wanted in these shares. Sources are alike.
 DOMAIN_WEIGHTS = {"d0": 5, "d1": 3, "d2": 2}
 LANG_WEIGHTS = {"en": 4, "de": 2, "fr": 2}
 
@@ -139,31 +152,31 @@ def with_domain(docs: DataFrame) -> DataFrame:
     return docs.withColumn("domain", F.concat(F.lit("d"), F.pmod(number, F.lit(3)).cast("string")))
 
 
-def target_weight() -> Column:
+def target_weight() -> dict[str, Column]:
     def of(column: str, weights: dict[str, int]) -> Column:
         out = F.lit(1)
         for value, weight in weights.items():
             out = F.when(F.col(column) == value, weight).otherwise(out)
         return out
 
-    return of("domain", DOMAIN_WEIGHTS) * of("lang", LANG_WEIGHTS)
+    return {"domain": of("domain", DOMAIN_WEIGHTS), "lang": of("lang", LANG_WEIGHTS)}
 
 
 _SQL = r"""
 WITH m AS (SELECT doc_id, source, lang, 'd' || coalesce(TRY_CAST(regexp_extract(source, '[0-9]+', 0) AS INT), 0) % 3 AS domain,
    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '')) AS tokens FROM documents),
 l AS (SELECT domain, lang, source, sum(tokens) AS tokens, sum(tokens) * 4 AS capacity,
-   CASE domain WHEN 'd0' THEN 5 WHEN 'd1' THEN 3 ELSE 2 END * CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS weight
+   CASE domain WHEN 'd0' THEN 5 WHEN 'd1' THEN 3 ELSE 2 END AS wd, CASE lang WHEN 'en' THEN 4 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS wl
    FROM m GROUP BY ALL),
-n1 AS (SELECT domain, sum(weight) AS w, sum(capacity) AS c, (SELECT CAST(floor(0.6::DOUBLE * sum(tokens)) AS BIGINT) FROM l) AS given FROM l GROUP BY ALL),
+n1 AS (SELECT domain, max(wd) AS w, sum(capacity) AS c, (SELECT CAST(floor(0.6::DOUBLE * sum(tokens)) AS BIGINT) FROM l) AS given FROM l GROUP BY ALL),
 v1 AS (SELECT *, c / w AS r, (given - coalesce(sum(c) OVER (ORDER BY c / w, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
    / sum(w) OVER (ORDER BY c / w, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM n1),
 b1 AS (SELECT domain, CAST(least(c, coalesce(floor(w * arg_min(CASE WHEN level <= r THEN level END, CASE WHEN level <= r THEN (r, domain) END) OVER ()), c)) AS BIGINT) AS given FROM v1),
-n2 AS (SELECT domain, lang, sum(weight) AS w, sum(capacity) AS c, any_value(given) AS given FROM l JOIN b1 USING (domain) GROUP BY domain, lang),
+n2 AS (SELECT domain, lang, max(wl) AS w, sum(capacity) AS c, any_value(given) AS given FROM l JOIN b1 USING (domain) GROUP BY domain, lang),
 v2 AS (SELECT *, c / w AS r, (given - coalesce(sum(c) OVER (PARTITION BY domain ORDER BY c / w, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
    / sum(w) OVER (PARTITION BY domain ORDER BY c / w, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM n2),
 b2 AS (SELECT domain, lang, CAST(least(c, coalesce(floor(w * arg_min(CASE WHEN level <= r THEN level END, CASE WHEN level <= r THEN (r, lang) END) OVER (PARTITION BY domain)), c)) AS BIGINT) AS given FROM v2),
-n3 AS (SELECT domain, lang, source, weight AS w, capacity AS c, tokens, given FROM l JOIN b2 USING (domain, lang)),
+n3 AS (SELECT domain, lang, source, 1 AS w, capacity AS c, tokens, given FROM l JOIN b2 USING (domain, lang)),
 v3 AS (SELECT *, c / w AS r, (given - coalesce(sum(c) OVER (PARTITION BY domain, lang ORDER BY c / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
    / sum(w) OVER (PARTITION BY domain, lang ORDER BY c / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM n3),
 b3 AS (SELECT domain, lang, source, tokens, CAST(least(c, coalesce(floor(w * arg_min(CASE WHEN level <= r THEN level END, CASE WHEN level <= r THEN (r, source) END)

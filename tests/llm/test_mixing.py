@@ -41,6 +41,25 @@ def test_shortage_stays_below_its_ancestor(spark):
     assert found == {("a", "x"): 10, ("a", "y"): 190, ("b", "x"): 100, ("b", "y"): 100}
 
 
+def test_weights_hold_whatever_lies_below(spark):
+    # Domain a has ten sources, b one; a zero weight below takes nothing from its ancestors' siblings.
+    rows = [("a", f"s{i}", 10_000, 5, 1) for i in range(10)] + [("b", "t", 10_000, 3, 1), ("c", "u", 10_000, 2, 1), ("c", "v", 99_000, 2, 0)]
+    leaves = spark.createDataFrame(rows, "d string, s string, capacity long, __w0 int, __w1 int")
+    found = {(r.d, r.s): r.budget for r in mixing.budgets(leaves, ["d", "s"], F.lit(10_000).cast("long")).collect()}
+    assert {d: sum(b for (x, _), b in found.items() if x == d) for d in "abc"} == {"a": 5000, "b": 3000, "c": 2000}
+    assert found["c", "v"] == 0
+    found = {(r.d, r.s): r.budget for r in mixing.budgets(leaves, ["d", "s"], F.lit(100_000).cast("long")).collect()}
+    assert (found["b", "t"], found["c", "u"], sum(b for (x, _), b in found.items() if x == "a")) == (10_000, 10_000, 80_000)
+
+
+def test_shares_of_the_given_table(spark):
+    docs = mixing.with_domain(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    found = {r.domain: r.n for r in mixing.mix(docs, weight=mixing.target_weight(), share=0.3).groupBy("domain").agg(
+        F.sum("tokens").alias("n")).collect()}
+    total = sum(found.values())
+    assert all(abs(found[d] / total - w / 10) < 0.01 for d, w in mixing.DOMAIN_WEIGHTS.items())
+
+
 def test_prefix_of_the_next_epoch(spark):
     rnd = random.Random(8)
     rows = [(i, " ".join(["w"] * rnd.randint(0, 30)), "en", f"s{i % 2}") for i in range(400)]
