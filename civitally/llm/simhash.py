@@ -190,13 +190,9 @@ def similarity(a: bytes, b: bytes) -> float:
     return both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0
 
 
-def sketch_size(m: int, least: float) -> int:
-    """How many of m shingles, the smallest hashes, are a text's sketch.
-
-    Of two texts at ``least`` both have ceil(least * m) shingles in common, so the first m - ceil(least * m) + 1
-    of each cannot all be foreign to the other. More than SKETCH are not needed, see ``shared_at_least``.
-    """
-    return min(m - math.ceil(least * m - 1e-9) + 1, SKETCH) if m else 0
+def sketch_size(m: int) -> int:
+    """How many of m shingles, those with the smallest hashes, are a text's sketch; up to SKETCH it holds them all."""
+    return min(m, SKETCH)
 
 
 def shared_at_least(k: int, least: float) -> int:
@@ -204,12 +200,12 @@ def shared_at_least(k: int, least: float) -> int:
 
     The first k hashes of both texts' union are a random draw from it, and each common shingle among them is in
     both sketches. So the number shared is hypergeometric with a mean of ``least * k`` at least, and by Chernoff's
-    bound it is below the returned one with a probability of at most MISS; one is shared for certain up to SKETCH.
+    bound it is below the returned one with a probability of at most MISS.
     """
     def divergence(x: float) -> float:
         return sum(p * math.log(p / q) for p, q in ((x, least), (1 - x, 1 - least)) if p > 0)
 
-    shared = 1
+    shared = 0
     while shared < least * k and k * divergence(shared / k) >= -math.log(MISS):
         shared += 1
     return shared
@@ -279,10 +275,12 @@ def shared_entries(texts: DataFrame, least: float) -> DataFrame:
     tokens = texts.select("id", F.explode("sketch").alias("token"))
     often = cut_lineage(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"))
     seen = join_small(tokens, often, "token").groupBy("id").agg(F.collect_list(F.struct("n", "token")).alias("seen"))
-    # The smallest text that can be similar to one of m shingles has this many of its own.
-    smallest = F.greatest(F.ceil(F.lit(least) * F.col("size") - 1e-9), F.lit(1))
-    k = F.least(smallest - F.ceil(F.lit(least) * smallest - 1e-9) + 1, F.lit(SKETCH)).cast("int")
-    kept = F.size("seen") - F.get(F.lit(_limits(least)), k) + 1
+    # Texts small enough that all similar ones are held whole share the shingles themselves; of others
+    # the smallest similar one decides.
+    smallest = F.least(F.ceil(F.lit(least) * F.col("size") - 1e-9), F.lit(SKETCH)).cast("int")
+    needed = F.when(F.col("size") <= least * SKETCH, F.ceil(F.lit(least) * F.col("size") - 1e-9)).otherwise(
+        F.get(F.lit(_limits(least)), smallest)).cast("int")
+    kept = F.least(F.size("seen") - needed + 1, F.size("seen"))
     joined = texts.select("id", "size", F.size("sketch").alias("k")).join(seen, "id").where(kept > 0)
     return joined.select("id", "size", ((F.col("k") - F.size("seen")) / F.col("k")).alias("rare"), F.explode(
         F.slice(F.array_sort("seen"), F.lit(1), kept)).alias("e")).select("e.token", "id", "size", "rare")
@@ -306,8 +304,30 @@ def likely(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
         return texts.select(F.col("id").alias(name), F.col("size").alias(f"n_{name}"), F.col("sketch").alias(f"of_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(_fit("n_a", "n_b", least))
-    k = F.least(F.size("of_a"), F.size("of_b"))
-    return both.where(F.size(F.array_intersect("of_a", "of_b")) >= F.get(F.lit(_limits(least)), k)).select("a", "b")
+    k, size = F.least(F.size("of_a"), F.size("of_b")), F.greatest("n_a", "n_b")
+    needed = F.when(size <= SKETCH, F.ceil(F.lit(least) * size - 1e-9)).otherwise(F.get(F.lit(_limits(least)), k))
+    return both.where(F.size(F.array_intersect("of_a", "of_b")) >= needed).select("a", "b")
+
+
+def together(open_rows: DataFrame) -> DataFrame:
+    """The rows (token, id, size) with tokens whose texts overlap put together where that makes fewer blocks.
+
+    Many entries of one large group of copies ask nearly the same question. All texts that a chain of entries
+    connects may be compared at once instead; whichever of both moves fewer texts is done, chain by chain.
+    """
+    low = cut_lineage(open_rows.groupBy("token").agg(F.min("id").alias("low"), F.count("*").alias("n")))
+    chained = _roots(join_small(open_rows, low.select("token", "low"), "token").select(F.col("id").alias("a"), F.col("low").alias("b")))
+    named = chained.withColumnRenamed("root", "chain")
+    members = cut_lineage(open_rows.select("id", "size").distinct().join(named, "id", "left").withColumn(
+        "chain", F.coalesce("chain", "id")))
+    apart = low.join(members.select(F.col("id").alias("low"), "chain"), "low").select(
+        "token", "chain", (F.col("n") * F.ceil(F.col("n") / TEXTS)).alias("moved"))
+    sizes = members.groupBy("chain").agg(F.count("*").alias("n"))
+    cost = apart.groupBy("chain").agg(F.sum("moved").alias("moved")).join(sizes, "chain")
+    whole = cut_lineage(cost.where(F.col("n") * F.ceil(F.col("n") / TEXTS) <= F.col("moved")).select("chain"))
+    tokens = apart.join(whole, "chain", "left_anti").select("token")
+    return members.join(whole, "chain").select(F.col("chain").alias("token"), "id", "size").unionByName(
+        open_rows.join(tokens, "token").select("token", "id", "size"))
 
 
 def blocks(open_rows: DataFrame) -> DataFrame:
@@ -412,7 +432,7 @@ def text_roots(stored: _Stored) -> DataFrame:
         F.col("id").alias("a"), "b").distinct()
     more = stored.linked(likely(cross, texts, least))
     if not many.isEmpty():
-        more = more.unionByName(stored.linked_in_blocks(many))
+        more = more.unionByName(stored.linked_in_blocks(cut_lineage(together(many.select("token", "id", "size")))))
     if more.isEmpty():
         return known
     return _roots(known.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(more))
@@ -433,7 +453,7 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         out = []
         for words in map(_words, texts):
             held = _shingles(words)
-            sketch = held[:sketch_size(len(held), least)].view(np.int64)
+            sketch = held[:sketch_size(len(held))].view(np.int64)
             out.append((_identity(words), len(held), _prints(words), sketch))
         return pd.DataFrame(out, columns=["id", "size", "prints", "sketch"])
 

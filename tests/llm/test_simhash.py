@@ -195,7 +195,7 @@ def test_sketches_of_similar_texts_share_enough():
             drawn = np.unique(rnd.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
             rnd.shuffle(drawn)
             both = -(-8 * n // 10)  # the fewest common ones of n at 0.8 where the other text has no more
-            x, y = (np.sort(drawn[:k])[:simhash.sketch_size(k, 0.8)] for k in (n, both))
+            x, y = (np.sort(drawn[:k])[:simhash.sketch_size(k)] for k in (n, both))
             assert np.isin(x, y).sum() >= simhash.shared_at_least(min(len(x), len(y)), 0.8)
 
 
@@ -203,7 +203,7 @@ def test_bound_on_missed_pairs():
     for k in range(1, simhash.SKETCH + 1):
         t = simhash.shared_at_least(k, 0.8)
         below = sum(math.comb(k, i) * 0.8 ** i * 0.2 ** (k - i) for i in range(t))
-        assert t == 1 or below <= simhash.MISS
+        assert below <= simhash.MISS and t <= math.ceil(0.8 * k)
     assert simhash.shared_at_least(simhash.SKETCH, 0.8) > 15
 
 
@@ -211,7 +211,7 @@ def test_texts_with_a_common_passage_do_not_meet(spark):
     rnd = random.Random(6)
     passage = " ".join(f"p{i}" for i in range(60))
     texts = [" ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(300)) + f" {passage}" for _ in range(400)]
-    rows = [(i, len(s), s[:simhash.sketch_size(len(s), 0.8)].view(np.int64).tolist())
+    rows = [(i, len(s), s[:simhash.sketch_size(len(s))].view(np.int64).tolist())
             for i, s in ((i, simhash._shingles(simhash._words(t))) for i, t in enumerate(texts))]
     made = spark.createDataFrame(rows, "id long, size int, sketch array<long>")
     assert simhash.shared_entries(made, 0.8).count() == 0
@@ -219,7 +219,7 @@ def test_texts_with_a_common_passage_do_not_meet(spark):
 
 def test_copies_of_one_original_make_few_pairs(spark):
     texts = near_variants(random.Random(9), 3000, 150, 2)
-    rows = [(i, len(s), s[:simhash.sketch_size(len(s), 0.8)].view(np.int64).tolist())
+    rows = [(i, len(s), s[:simhash.sketch_size(len(s))].view(np.int64).tolist())
             for i, s in ((i, simhash._shingles(simhash._words(t))) for i, t in enumerate(texts))]
     made = spark.createDataFrame(rows, "id long, size int, sketch array<long>")
     assert simhash.hub_pairs(simhash.shared_entries(made, 0.8), 0.8).count() < 4 * len(texts)
