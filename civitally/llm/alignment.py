@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain, count
+from itertools import accumulate, count
 from pathlib import Path
 
 import numpy as np
@@ -28,6 +28,8 @@ BROADCAST_PAIRS = 1_000_000
 SALTS = 32
 #: Groups remembered by a worker, and documents put into one batch of results.
 _KNOWN_GROUPS, _BATCH = 100_000, 128
+#: Texts whose results are kept for a copy that comes soon, and the characters of those at most.
+_RECENT, _RECENT_CHARS = 2_000, 8_000
 
 Encoder = Callable[[str], list[int]]
 
@@ -79,21 +81,28 @@ def pieces_with_space(model: bytes) -> tuple[Encoder, list[bytes]]:
 
 
 class _Known(dict):
-    """Groups by their ids, made when first asked for; forgotten all at once when there are many.
+    """Texts of groups by their ids, made when first asked for; forgotten all at once when there are many.
 
-    A key is the pair of both sides' ids, or for one id on each side their link.
+    A key is the pair of both sides' ids, or for one id on each side their link; ``links`` has those of the pairs.
     """
 
     def __init__(self, make: Callable):
         super().__init__()
-        self.make = make
+        self.make, self.links = make, {}
 
-    def __missing__(self, key: int | tuple):
+    def __missing__(self, key: int | tuple) -> str:
         if len(self) >= _KNOWN_GROUPS:
             self.clear()
-        a, b = key if isinstance(key, tuple) else ((key // SHIFT,), (key % SHIFT,))
-        made = self[key] = self.make(a, b)
-        return made
+        if isinstance(key, int):
+            text = self[key] = f"{key // SHIFT}|{key % SHIFT}"
+        else:
+            text, self.links[key] = self.make(*key)
+            self[key] = text
+        return text
+
+    def clear(self) -> None:
+        super().clear()
+        self.links.clear()
 
 
 class Aligner:
@@ -103,17 +112,18 @@ class Aligner:
         (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = a, b
         self.length_a, self.length_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
         self.known = _Known(self._group)
+        self.recent: dict[str | None, tuple] = {}
 
     def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both sides; none where either side does not give the text's own bytes again."""
         if not text:
             return [], []
         a, b, whole = self.encode_a(text), self.encode_b(text), b" " + text.encode()
-        same = all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+        same = all(b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.bytes_b, b), (self.bytes_a, a)))
         return (a, b) if same else ([], [])
 
-    def align(self, a: list[int], b: list[int]) -> tuple[list[str], list[int]]:
-        """Every group as ``a1,a2|b1`` and every link as one long, in order.
+    def align(self, a: list[int], b: list[int]) -> tuple[list[str], np.ndarray]:
+        """Every group in order as ``a1,a2|b1``, and all links as longs, in no order.
 
         Two dictionaries hold the index after each cumulative end. The ends in both, sorted, cut both id lists.
         """
@@ -123,12 +133,33 @@ class Aligner:
         ends = sorted(after_a.keys() & after_b.keys())
         to_a, to_b = (np.fromiter(map(after.__getitem__, ends), np.int64, len(ends)) for after in (after_a, after_b))
         from_a, from_b = (np.concatenate(([0], to[:-1])) if len(to) else to for to in (to_a, to_b))
-        # Most groups have one id on each side; only the others need slices.
-        keys = (ids_a[from_a] * SHIFT + ids_b[from_b]).tolist()
-        for at in np.flatnonzero((to_a - from_a > 1) | (to_b - from_b > 1)).tolist():
-            keys[at] = tuple(a[from_a[at]:to_a[at]]), tuple(b[from_b[at]:to_b[at]])
-        made = list(map(self.known.__getitem__, keys))
-        return [text for text, _ in made], list(chain.from_iterable([links for _, links in made]))
+        # Most groups have one id on each side, which are the group's link; only the others need slices.
+        links = ids_a[from_a] * SHIFT + ids_b[from_b]
+        several = (to_a - from_a > 1) | (to_b - from_b > 1)
+        cuts = [cut[several].tolist() for cut in (from_a, to_a, from_b, to_b)]
+        sliced = [(tuple(a[i:j]), tuple(b[k:m])) for i, j, k, m in zip(*cuts)]
+        keys = links.tolist()
+        for at, key in zip(np.flatnonzero(several).tolist(), sliced):
+            keys[at] = key
+        known = self.known
+        groups, more = list(map(known.__getitem__, keys)), []
+        for key in sliced:
+            # Forgotten in the meantime where the text has very many groups.
+            more += known.links.get(key) or self._group(*key)[1]
+        return groups, np.concatenate([links[~several], np.array(more, np.int64)])
+
+    def measures(self, text: str | None) -> tuple:
+        """n_a, n_b, n_groups, n_links, groups, pairs and times of a text; those of recent short texts are kept for copies."""
+        found = self.recent.get(text)
+        if found is None:
+            a, b = self.tokens(text)
+            groups, links = self.align(a, b)
+            found = (len(a), len(b), len(groups), len(links), ";".join(groups), *np.unique(links, return_counts=True))
+            if text is None or len(text) <= _RECENT_CHARS:
+                if len(self.recent) >= _RECENT:
+                    self.recent.pop(next(iter(self.recent)))
+                self.recent[text] = found
+        return found
 
     def _group(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
         """Text of a group, and its links: each piece between two ends of either side is one pair's overlap."""
@@ -161,12 +192,7 @@ def with_alignment(docs: DataFrame, text: str = "text", folder: str = TOKENIZERS
         for whole in batches:
             for start in range(0, whole.num_rows, _BATCH):
                 batch = whole.slice(start, _BATCH)
-                rows = []
-                for value in batch.column("__text"):
-                    a, b = aligner.tokens(value.as_py())
-                    groups, links = aligner.align(a, b)
-                    pairs, times = np.unique(np.array(links, dtype=np.int64), return_counts=True)
-                    rows.append((len(a), len(b), len(groups), len(links), ";".join(groups), pairs, times))
+                rows = [aligner.measures(text) for text in batch.column("__text").to_pylist()]
                 columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:4]]
                 sizes = pa.array(np.cumsum([0, *(len(r[5]) for r in rows)]), pa.int32())
                 lists = [pa.ListArray.from_arrays(sizes, pa.array(np.concatenate([r[k] for r in rows]), pa.int64()))

@@ -69,7 +69,16 @@ def test_any_text(aligner, text):
     groups, links = aligner.align(a, b)
     wanted = plain(text, aligner)
     assert (tuple(a), tuple(b), groups) == (tuple(wanted[0]), tuple(wanted[1]), wanted[2])
-    assert Counter(divmod(p, alignment.SHIFT) for p in links) == Counter(wanted[3])
+    assert Counter(divmod(p, alignment.SHIFT) for p in links.tolist()) == Counter(wanted[3])
+
+
+def test_forgotten_groups_are_made_again(aligner, monkeypatch):
+    text = "Donaudampfschifffahrt und naïve Straßenköter, 東京 and so on. " * 5
+    whole = aligner.align(*aligner.tokens(text))
+    monkeypatch.setattr(alignment, "_KNOWN_GROUPS", 3)
+    aligner.known.clear()
+    again = aligner.align(*aligner.tokens(text))
+    assert whole[0] == again[0] and sorted(whole[1]) == sorted(again[1])
 
 
 @settings(max_examples=500, deadline=None)
