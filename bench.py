@@ -4,6 +4,7 @@ BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEA
 (default 3). Every query runs once unmeasured, then the median of the repeats counts. A
 query is timed from building its plan to its last row in a noop sink; ``until_planned`` is the
 part before the last job starts. ``rows_per_sec`` has the queries that read all of lineitem.
+``calibration`` is a fixed aggregate over generated numbers, which tells machines apart.
 """
 
 from __future__ import annotations
@@ -45,6 +46,18 @@ def run(query, spark, sf_dir: str) -> tuple[float, float]:
     return built, time.perf_counter() - start
 
 
+def calibration(spark) -> float:
+    """Seconds for a fixed aggregate over 50 million generated numbers, the best of three after one unmeasured."""
+    def once() -> float:
+        start = time.perf_counter()
+        spark.range(0, 50_000_000, 1, 16).selectExpr("id % 1000 AS k", "id * 7 % 13 AS v").groupBy("k").sum(
+            "v").write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    once()
+    return min(once() for _ in range(3))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -61,6 +74,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds, planning = {}, {}
+    machine = round(calibration(spark), 3)
     for name in HEADLINE:
         query = QUERIES[name]
         run(query, spark, sf_dir)
@@ -73,7 +87,7 @@ def main() -> None:
         "queries": seconds, "until_planned": planning, "sf": Path(sf_dir).name.removeprefix("sf"), "rows": rows,
         "aggregate_rows_per_sec": round(rows / both),
         "rows_per_sec": {name: round(rows / seconds[name]) for name in SCANS}, "cpus": int(cpus), "repeats": repeats,
-        "spark": spark.version,
+        "calibration": machine, "spark": spark.version,
     }))
     spark.stop()
 

@@ -250,6 +250,28 @@ def ets_forecast(spark, sf_dir):
     return _round(found, "predicted", "objective").withColumn("sigma", F.round("sigma", 9))
 
 
+@query(f"{_BACKTEST} SELECT DISTINCT series, train_start, seasonal, round(objective, 6) AS grid_objective,"
+       " true AS at_most_grid, true AS inside_region FROM bt_fc")
+def ets_search(spark, sf_dir):
+    """The search that also moves the initial states, as the job runs it, against the grid's best point."""
+    series = _analysed(spark, sf_dir)
+    keys = ["series", "train_start", "seasonal"]
+    grid = fc.backtest_forecasts(series, P).select(*keys, F.col("objective").alias("grid")).distinct()
+    found = fc.backtest_forecasts(series, P, refine=8).select(*keys, "objective", "alpha", "beta", "gamma", "phi").distinct()
+    inside = F.expr("beta > 0 AND beta < alpha AND alpha < 1 AND gamma > 0 AND gamma <= 1 - alpha AND phi BETWEEN 0.8 AND 0.98")
+    return grid.join(found, keys).select(*keys, F.round("grid", 6).alias("grid_objective"), (
+        F.col("objective") <= F.col("grid") + 1e-9).alias("at_most_grid"), inside.alias("inside_region"))
+
+
+@query(f"{_ANALYSIS} SELECT series, {_rounded('mape', 'baseline_mape', 'shock_gap_pct', 'worst_month_gap_pct')},"
+       " months_below_interval, CAST(row_number() OVER (ORDER BY shock_gap_pct, series) AS INTEGER) AS place"
+       " FROM analysis WHERE series <> 'ALL'")
+def type_report(spark, sf_dir):
+    """Every series but the total, the largest loss first."""
+    found, _ = _analysis(spark, sf_dir)
+    return _round(fc.type_report(found), "mape", "baseline_mape", "shock_gap_pct", "worst_month_gap_pct")
+
+
 @query(f"{_BACKTEST}, ranked AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY mape, train_start,"
        f" seasonal) AS rn FROM scores) SELECT series, train_start, seasonal, {_rounded('mae', 'mape')}"
        " FROM ranked WHERE rn = 1")

@@ -3,7 +3,8 @@
 Model: multiplicative error, damped additive trend, multiplicative or additive season of
 12 months, in the state-space form of Hyndman et al. (2008). Spark shuffles the training
 rows by series and set-up; each group is one short series (months, not rows) and is fitted
-in its task by trying every parameter combination of a grid at once with numpy.
+in its task by trying every parameter combination of a grid at once with numpy, with simple
+initial states; ``refine`` goes on from the best one and moves the initial states as well.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ ALPHAS = (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7)
 BETAS = (0.0001, 0.01, 0.05, 0.1, 0.2)
 GAMMAS = (0.0001, 0.05, 0.1, 0.2, 0.4)
 PHIS = (0.8, 0.86, 0.92, 0.98)
+#: Of the search from the best grid point: the least alpha, beta and gamma, and the steps at most.
+LOWEST, MOST_STEPS = 0.0001, 400
 
 SETUP = ("series", "train_start", "seasonal")
 _SCHEMA = (
@@ -76,7 +79,7 @@ def ets_forecast(
 
     ``train`` comes from ``with_setups``. Series shorter than two seasons or with a value
     of 0 or below cannot be fitted and have no rows. ``interval=None`` leaves the bounds
-    NULL; ``refine`` halves the grid step round the best point that many times.
+    NULL; ``refine`` is the number of times the moves of the search are halved (0: the grid alone).
     """
     grid = np.array(parameter_grid())
     # Made here: workers get the numbers and need no cache of their own.
@@ -112,32 +115,61 @@ def ets_forecast(
 
 
 def _best_point(y: np.ndarray, grid: np.ndarray, seasonal: str, refine: int):
-    def best_of(points):
-        objective, sigma, state = _filter(y, points, seasonal)
-        i = int(np.argmin(objective))
-        level, trend, season = state
-        return points[i], float(objective[i]), float(sigma[i]), (level[i], trend[i], season[:, i])
-
-    best = best_of(grid)
-    step = np.array([0.05, 0.02, 0.05, 0.03])
-    moves = np.array(list(product((0.0, -1.0, 1.0), repeat=4)))
-    for _ in range(refine):
-        near = best[0] + moves * step
-        near = near[(near > 0).all(axis=1) & (near[:, 1] < near[:, 0])
-                    & (near[:, 2] <= 1 - near[:, 0]) & (near[:, 3] >= 0.8) & (near[:, 3] <= 0.98)]
-        best = min(best, best_of(near), key=lambda b: b[1]) if len(near) else best
-        step = step / 2
-    return best
-
-
-def _filter(y: np.ndarray, points: np.ndarray, seasonal: str):
-    """Run the recursion over the training months for every parameter point at once."""
-    alpha, beta, gamma, phi = points.T
+    """Parameters, objective, sigma and last state of the best grid point, improved by ``_search``."""
+    objective, _, _ = _filter(y, grid, _simple_start(y, seasonal, len(grid)), seasonal)
+    i = int(np.argmin(objective))
+    point = np.concatenate([grid[i], _simple_start(y, seasonal, 1)[:, 0]])
+    if refine:
+        point = _search(y, point, seasonal, refine)
+    objective, sigma, (level, trend, season) = _filter(y, point[None, :4], point[4:, None], seasonal)
+    return point[:4], float(objective[0]), float(sigma[0]), (level[0], trend[0], season[:, 0])
+
+
+def _simple_start(y: np.ndarray, seasonal: str, count: int) -> np.ndarray:
+    """Level, trend and season from the first two years, one column for each of ``count`` points."""
     first, second = y[:SEASON].mean(), y[SEASON:2 * SEASON].mean()
-    level = np.full(len(points), first)
-    trend = np.full(len(points), (second - first) / SEASON)
-    start = y[:SEASON] / first if seasonal == "mul" else y[:SEASON] - first
-    season = np.repeat(start[:, None], len(points), axis=1)
+    season = y[:SEASON] / first if seasonal == "mul" else y[:SEASON] - first
+    return np.repeat(np.concatenate([[first, (second - first) / SEASON], season])[:, None], count, axis=1)
+
+
+def _search(y: np.ndarray, point: np.ndarray, seasonal: str, rounds: int) -> np.ndarray:
+    """Descend from ``point`` (parameters, level, trend, season), all moves of a step tried at once.
+
+    A step tries each coordinate both ways, then the improving moves together, best first. Without
+    an improvement the moves are halved, ``rounds`` times. Parameters stay in the usual region (LOWEST, PHIS,
+    beta < alpha, gamma <= 1 - alpha), not in the grid; the result is never worse than the start.
+    """
+    size = y[:SEASON].mean()
+    moves = np.concatenate([[0.1, 0.05, 0.1, 0.05, 0.05 * size, 0.005 * size],
+                            np.full(SEASON, 0.05 if seasonal == "mul" else 0.05 * size)])
+
+    def judged(points: np.ndarray) -> np.ndarray:
+        objective, _, _ = _filter(y, points[:, :4], points[:, 4:].T, seasonal)
+        alpha, beta, gamma, phi = points[:, :4].T
+        inside = (points[:, :3] >= LOWEST).all(axis=1) & (alpha <= 1 - LOWEST) & (beta < alpha) & (
+            gamma <= 1 - alpha) & (phi >= PHIS[0]) & (phi <= PHIS[-1])
+        return np.where(inside, objective, np.inf)
+
+    best, steps = judged(point[None])[0], 0
+    while rounds and steps < MOST_STEPS:
+        steps += 1
+        single = np.concatenate([np.diag(moves), -np.diag(moves)])
+        found = judged(point + single)
+        gains = np.argsort(found, kind="stable")[:np.count_nonzero(found < best)]
+        if not len(gains):
+            rounds, moves = rounds - 1, moves / 2
+            continue
+        together = point + np.cumsum(single[gains], axis=0)
+        both = judged(together)
+        k = int(np.argmin(both))
+        point, best = (together[k], both[k]) if both[k] < found[gains[0]] else (point + single[gains[0]], found[gains[0]])
+    return point
+
+
+def _filter(y: np.ndarray, points: np.ndarray, start: np.ndarray, seasonal: str):
+    """Run the recursion over the training months for every parameter point and its start at once."""
+    alpha, beta, gamma, phi = points.T
+    level, trend, season = start[0].copy(), start[1].copy(), start[2:].copy()
     squares = np.zeros(len(points))
     logs = np.zeros(len(points))
     with np.errstate(all="ignore"):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendars as cal
@@ -173,6 +173,20 @@ def forecast_metrics(
     )
 
 
+def coverage(backtest: DataFrame) -> DataFrame:
+    """Result table: held-out months of each series, and those whose count lies in the interval."""
+    inside = F.col("actual").between(F.col("lower"), F.col("upper"))
+    return backtest.groupBy("series").agg(
+        F.count_if(inside).alias("months_inside"), F.count("*").alias("months"))
+
+
+def type_report(analysis: DataFrame) -> DataFrame:
+    """Result table: the series but the total, the largest loss against the forecast first."""
+    shown = analysis.filter(F.col("series") != ts.TOTAL).select(
+        "series", "mape", "baseline_mape", "shock_gap_pct", "worst_month_gap_pct", "months_below_interval")
+    return shown.withColumn("place", F.row_number().over(Window.orderBy("shock_gap_pct", "series"))).orderBy("place")
+
+
 def series_list(metrics: DataFrame) -> DataFrame:
     """Series names, the total first."""
     listed = metrics.select("series").distinct()

@@ -83,7 +83,7 @@ def write_marts(cubes: DataFrame, holidays: DataFrame, out: str, jdbc: Mapping[s
 
 def run_forecast(
     trend: DataFrame, by_type: DataFrame, out: str, periods: fc.Periods = fc.Periods(),
-    refine: int = 4,
+    refine: int = 8,
 ) -> int:
     """Backtest, choose the set-up on the total, forecast every series that it fits, publish all tables."""
     monthly = ts.trend_series(trend, by_type)
@@ -96,12 +96,15 @@ def run_forecast(
     series = cut_lineage(fc.analysed_series(candidates, setup, periods))
     forecast = cut_lineage(fc.forecasts_with_setup(
         series, setup, periods.train_end, periods.horizon, periods, refine=refine))
-    analysis = fc.series_analysis(series, setup, forecast, periods, refine)
+    analysis = cut_lineage(fc.series_analysis(series, setup, forecast, periods, refine))
+    backtest = cut_lineage(fc.backtest_table(series, setup, periods, refine))
     return writers.publish({
         "crime_forecast": fc.forecast_rows(forecast, series, periods),
         "forecast_metrics": fc.forecast_metrics(analysis, setup, periods),
         "skipped_series": fc.skipped_series(candidates, setup, periods),
-        "backtest": fc.backtest_table(series, setup, periods, refine),
+        "backtest": backtest,
+        "interval_coverage": fc.coverage(backtest),
+        "type_report": fc.type_report(analysis),
     }, out)
 
 

@@ -269,3 +269,39 @@ def test_one_of_many_claims_a_version(spark, tmp_path):
     with ThreadPoolExecutor(8) as pool:
         for version in range(5):
             assert sum(pool.map(lambda _: writers.claim(spark, str(tmp_path), version), range(8))) == 1
+
+
+@pytest.mark.parametrize("seasonal", ["mul", "add"])
+def test_search_leaves_the_grid_and_moves_the_start(seasonal):
+    # A volatile series: the level follows every error and the first season is an unusual one.
+    rng = np.random.default_rng(4)
+    level, trend, alpha, beta, phi = 1000.0, 5.0, 0.92, 0.04, 0.9
+    season = 1 + 0.2 * np.sin(np.arange(12) / 12 * 2 * np.pi)
+    season = season if seasonal == "mul" else (season - 1) * 1000
+    y = []
+    for t in range(120):
+        base = level + phi * trend
+        mean = base * season[t % 12] if seasonal == "mul" else base + season[t % 12]
+        error = rng.normal() * 0.08
+        y.append(max(mean * (1 + error), 1.0))
+        scale = base if seasonal == "mul" else mean
+        level, trend = base + alpha * scale * error, phi * trend + beta * scale * error
+    y = np.array(y)
+    y[:12] *= 1 + 0.1 * rng.normal(size=12)
+    grid = np.array(smoothing.parameter_grid())
+    coarse = smoothing._best_point(y, grid, seasonal, 0)
+    fine = smoothing._best_point(y, grid, seasonal, 8)
+    assert fine[1] < coarse[1] - 5 and fine[0][0] > max(smoothing.ALPHAS)
+    # No single small move from the result is better.
+    point = smoothing._search(y, np.concatenate([grid[0], smoothing._simple_start(y, seasonal, 1)[:, 0]]), seasonal, 8)
+    assert smoothing._filter(y, point[None, :4], point[4:, None], seasonal)[0][0] < coarse[1]
+
+
+def test_coverage_and_report_are_published(spark, tmp_path, monthly):
+    backtest = spark.createDataFrame([("A", 1, 5.0, 1.0, 3.0, 4.0, 6.0), ("A", 2, 9.0, 1.0, 3.0, 4.0, 6.0)],
+                                     "series string, month_idx int, actual double, baseline double, model double, lower double, upper double")
+    assert rows(fc.coverage(backtest)) == [("A", 1, 2)]
+    analysis = spark.createDataFrame(
+        [("ALL", 1.0, 1.0, -9.0, -9.0, 1), ("B", 1.0, 2.0, 3.0, 4.0, 0), ("A", 1.0, 2.0, -5.0, 4.0, 2), ("C", 1.0, 2.0, -5.0, 4.0, 2)],
+        "series string, mape double, baseline_mape double, shock_gap_pct double, worst_month_gap_pct double, months_below_interval int")
+    assert [(r.series, r.place) for r in fc.type_report(analysis).collect()] == [("A", 1), ("C", 2), ("B", 3)]
