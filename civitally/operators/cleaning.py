@@ -27,17 +27,17 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def dedup_by_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None,
-    ordered: Sequence[str] = (), most: int = quality.REPEATED_KEYS,
+    ordered: Sequence[str] = (), stored: bool = False, most: int = quality.REPEATED_KEYS,
 ) -> DataFrame:
     """One row per key, always the same one: first in ``order``, then by every other column.
 
-    ``ordered`` names the columns that ``order`` already decides. NULL keys count as one
-    key. A first pass over the keys alone finds those that several rows have; rows of
-    all others stay where they are, and only the few in question are shuffled and sorted whole. With
-    more than ``most`` repeated keys all rows are. ``df`` is read three times: give a stored one
-    if it is dear to make.
+    ``ordered`` names the columns that ``order`` already decides. NULL keys count as one key. By default
+    all rows are shuffled and sorted by key (``first_by_key``), which reads ``df`` once. Say ``stored`` if
+    it can be read several times at little cost: a first pass over the keys alone then finds those that several
+    rows have, rows of all others stay where they are, and only the few in question are shuffled and
+    sorted whole. With more than ``most`` repeated keys all rows are.
     """
-    hashes = quality.repeated_hashes(df, keys, most)
+    hashes = quality.repeated_hashes(df, keys, most) if stored else None
     if hashes is None:
         return first_by_key(df, keys, order, ordered)
     alone = quality.with_hash_in(df, keys, hashes, "left_anti")
@@ -81,7 +81,7 @@ def clean_incidents(
     })
     if staged:
         parsed = shared_table(parsed, "parsed")
-    unique = dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()], ["date"])
+    unique = dedup_by_key(parsed, ["id"], [F.col("date").desc_nulls_last()], ["date"], stored=staged)
     return unique.filter(text.not_containing("location_description", exclusions))
 
 

@@ -67,13 +67,13 @@ def test_dedup_is_the_same_for_any_partitioning(raw):
 
 def test_dedup_limits_keys_before_the_shuffle(raw):
     table = cl.snake_case_columns(raw)
-    for frame in (cl.dedup_by_key(table, ["id"]), cl.first_by_key(table, ["id"])):
+    for frame in (cl.dedup_by_key(table, ["id"], stored=True), cl.dedup_by_key(table, ["id"])):
         assert plan(frame).count("WindowGroupLimit") == 2
 
 
 def test_rows_of_unique_keys_are_not_moved(spark):
     df = spark.range(1000).selectExpr("id", "id * 2 AS v").unionByName(spark.sql("SELECT 7 AS id, 0 AS v"))
-    text_plan = plan(cl.dedup_by_key(df, ["id"], [F.col("v").desc()], ["v"]))
+    text_plan = plan(cl.dedup_by_key(df, ["id"], [F.col("v").desc()], ["v"], stored=True))
     alone = text_plan.split("Union")[1].split("Window")[0]
     assert "LeftAnti" in alone and "hashpartitioning" not in alone
 
@@ -85,7 +85,7 @@ def test_dedup_by_hash_and_by_window_agree(spark, most):
         "CASE WHEN id % 5 > 0 THEN CAST(id % 2 AS string) END AS c").repartition(5)
     order = [F.col("a").desc_nulls_last()]
     wanted = rows(cl.first_by_key(df, ["k", "c"], order, ["a"]))
-    assert rows(cl.dedup_by_key(df, ["k", "c"], order, ["a"], most)) == wanted
+    assert rows(cl.dedup_by_key(df, ["k", "c"], order, ["a"], True, most)) == wanted
     assert rows(quality.key_violations(df, ["k", "c"], most)) == rows(
         df.groupBy("k", "c").agg(F.count("*").alias("n_rows")).filter("n_rows > 1 OR k IS NULL OR c IS NULL"))
 
