@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from civitally.session import cut_lineage
 
 from .registry import query, table
-from .rows import ROW_KEY, with_row_key
+from .rows import ROW_KEY, small_batches, with_row_key
 
 KINDS = ("email", "ip", "card", "phone")
 #: Words on either side of an entity that make its context, looked for in so many characters.
@@ -185,7 +185,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
         return texts.map(_marks)
 
     kept = [c for c in docs.columns if c not in ("pii_spans", *ROW_KEY)]
-    keyed = with_row_key(docs.select(*kept))
+    keyed = with_row_key(small_batches(docs).select(*kept))
     may = F.coalesce(F.col("text").rlike(MAY_HOLD), F.lit(False))
     marks = keyed.where(may).select(*ROW_KEY, detect("text").alias("marks")).where(F.size("marks") > 0)
     marks = cut_lineage(marks.dropDuplicates(ROW_KEY).select(*ROW_KEY, F.inline("marks")))

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 ROW_KEY = ["__row_key_a", "__row_key_b"]
 #: Rows of a narrow table that may be sent to every task.
 SMALL = 500_000
+#: Rows with whole texts that a Python worker gets at once.
+BATCH = 1_000
 
 
 def with_row_key(df: DataFrame) -> DataFrame:
@@ -33,6 +35,18 @@ def _hashable(field: T.StructField) -> Column:
     return F.to_json(F.struct(column)) if "map<" in kind else column
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after setting the session to send whole texts to Python workers by BATCH rows at most.
+
+    The default of 10,000 rows holds tens of MB of text several times over in a task: in Arrow buffers of both
+    processes and as Python objects. The setting is read when a plan runs, so it stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= BATCH:
+        df.sparkSession.conf.set(name, BATCH)
+    return df
+
+
 def once(expression: str) -> Column:
     """The expression, marked so that no condition on it is moved below, where each use would work it out anew."""
     return F.expr(f"CASE WHEN spark_partition_id() >= 0 THEN {expression} END")

@@ -27,7 +27,7 @@ from civitally.session import cut_lineage, shared_table
 
 from .components import roots
 from .registry import query, table
-from .rows import ROW_KEY, join_small, with_row_key
+from .rows import ROW_KEY, join_small, small_batches, with_row_key
 
 RADIUS = 2
 SEED = 42
@@ -457,7 +457,7 @@ def near_dedup(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             out.append((_identity(words), len(held), _prints(words), sketch))
         return pd.DataFrame(out, columns=["id", "size", "prints", "sketch"])
 
-    keyed = with_row_key(docs)
+    keyed = with_row_key(small_batches(docs))
     rows = shared_table(keyed.select("doc_id", *ROW_KEY, profiles("text").alias("p")).select(
         "doc_id", *ROW_KEY, "p.*"), "profiles")
     texts = rows.groupBy("id").agg(F.first("size").alias("size"), F.first("prints").alias("prints"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import gru
 from .registry import query, table
+from .rows import small_batches
 
 #: Rows of each label the network is fitted to, at most. Which ones is decided by a hash of
 #: the id, so the same labels give the same network.
@@ -62,7 +63,7 @@ def with_score(docs: DataFrame, network: gru.Network, text: str = "text", out: s
         for texts in batches:
             yield pd.Series(network.scores(texts.tolist()), dtype="float64")
 
-    return docs.withColumn(out, toxicity(F.col(text).cast("binary")))
+    return small_batches(docs).withColumn(out, toxicity(F.col(text).cast("binary")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
