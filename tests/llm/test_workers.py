@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 sys.path.remove({repo!r})
 spark = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {folder!r}).getOrCreate())
-for name in ("op1_pii_spans", "op5_chat_formatting", "op10_warc_archives", "pipeline"):
+for name in ("op1_pii_spans", "op5_chat_formatting", "op10_warc_archives", "op11_embedding_whitening", "op12_token_alignment",
+             "op13_sharding", "pipeline"):
     assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
 """
 
