@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from civitally.llm import decontaminate, mixing, pii, simhash, toxicity
 from civitally.llm.registry import QUERIES, table
-from civitally.session import shared_dir
+from civitally.session import delete_at_end, shared_dir
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +54,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    folder = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; what they write is removed when the session ends."""
+    folder = delete_at_end(spark, f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
