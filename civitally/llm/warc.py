@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civitally.session import cut_lineage, shared_dir
+from civitally.session import cut_lineage, delete_at_end, shared_dir
 
 from .registry import query, table
 
@@ -256,6 +256,6 @@ FROM bits
 @query(_SQL)
 def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as read back from the WARC files it was written to."""
-    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    folder = delete_at_end(spark, f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}")
     archive_pages(table(spark, sf_dir, "pages"), folder)
     return read_warc(spark, folder).drop("record_id", "url")
