@@ -45,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def delete_at_end(spark: SparkSession, folder: str) -> str:
-    """``folder``, which the session's JVM removes when it ends."""
+    """``folder``, which has been written, for the session's JVM to remove when it ends."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return folder

@@ -55,12 +55,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what they write is removed when the session ends."""
-    folder = delete_at_end(spark, f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}")
+    folder = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+    delete_at_end(spark, folder)
     return docs
 
 
