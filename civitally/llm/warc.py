@@ -256,6 +256,6 @@ FROM bits
 @query(_SQL)
 def op10_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as read back from the WARC files it was written to."""
-    folder = delete_at_end(spark, f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}")
+    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     archive_pages(table(spark, sf_dir, "pages"), folder)
-    return read_warc(spark, folder).drop("record_id", "url")
+    return read_warc(spark, delete_at_end(spark, folder)).drop("record_id", "url")
