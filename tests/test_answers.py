@@ -155,6 +155,40 @@ def test_repeated_ids_and_too_few_rows(spark, k):
     assert [g[:3] for g in got] == [e[:3] for e in sorted(brute_force(points, asked, k))]
 
 
+def test_tasks_get_no_pairs_of_blocks(spark):
+    # Executors ran out of memory when each pair of blocks went to the tasks as one row with the bytes of both.
+    rng = np.random.default_rng(9)
+    points = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(5000)]
+    rows_ = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(1)
+    found = vectors.search(rows_, rows_.withColumnRenamed("vec_id", "query_id").filter("query_id % 50 = 0"), 4)
+    assert found.blocks.selectExpr("max(length(row_points))").first()[0] <= 2 ** 20
+    assert found.pairs.count() > 1
+    assert not [line for line in plan(found.nearest()).splitlines() if "row_points" in line and "query_points" in line]
+    got = sorted(tuple(r) for r in found.nearest().collect())
+    matrix = np.array([p for _, p in points])
+    expected = [(q, r + 1, int(i)) for q in range(0, 5000, 50)
+                for r, i in enumerate(np.argsort(((matrix - matrix[q]) ** 2).sum(axis=1), kind="stable")[:4])]
+    assert [g[:3] for g in got] == expected
+
+
+def test_many_copies_far_and_huge_vectors_in_small_lots(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    monkeypatch.setattr(vectors, "LOT", 150)
+    monkeypatch.setattr(vectors, "_AT_ONCE", 50)
+    # Copies, near copies far from the origin, entries whose squares overflow, and floats.
+    points = [(i, [1.0, 2.0, 3.0]) for i in range(40)] + [(40 + i, [1e7 + i % 7 * 2.0 ** -10, 1e7, -1e7]) for i in range(30)]
+    points += [(70 + i, [1e19 * (i % 3 + 1), 0.0, float(i)]) for i in range(9)]
+    points += [(80 + i, [float(np.float32(x)) for x in rng.normal(size=3)]) for i in range(30)]
+    for kind in ("double", "float"):
+        single = [(i, [float(np.float32(x)) for x in v]) if kind == "float" else (i, v) for i, v in points]
+        single = [(i, [x * 1e160 if x >= 1e18 and kind == "double" else x for x in v]) for i, v in single]
+        rows_ = spark.createDataFrame(single, f"vec_id long, embedding array<{kind}>").repartition(3)
+        with np.errstate(over="ignore"):
+            expected = sorted(brute_force(single, single, 3))
+        found = vectors.nearest_rows(rows_, rows_.withColumnRenamed("vec_id", "query_id"), 3, rows_per_block=8, queries_per_block=5)
+        assert sorted(tuple(r) for r in found.collect()) == expected
+
+
 def test_vectors_that_are_not_finite_hide_no_row(spark):
     points = [(0, [float("nan"), 0.0]), (1, [float("inf"), 0.0]), *((i, [float(i), 1.0]) for i in range(2, 40))]
     rows_ = spark.createDataFrame(points, "vec_id long, embedding array<double>").repartition(2)
