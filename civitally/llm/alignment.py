@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import accumulate, count
 from pathlib import Path
 
 import numpy as np
@@ -26,10 +25,12 @@ SHIFT = 2 ** 32
 BROADCAST_PAIRS = 1_000_000
 #: Copies of each pair in that shuffle, so that the rows of a pair all documents hold go to many tasks.
 SALTS = 32
-#: Groups remembered by a worker, and documents put into one batch of results.
-_KNOWN_GROUPS, _BATCH = 100_000, 128
-#: Texts whose results are kept for a copy that comes soon, and the characters of those at most.
-_RECENT, _RECENT_CHARS = 2_000, 8_000
+#: Groups in the results that a worker keeps for copies of a text that come soon, and documents put into one batch of results.
+_KNOWN_GROUPS, _BATCH = 2_000_000, 128
+#: Characters of a text whose result is kept, at most.
+_KNOWN_CHARS = 8_000
+#: A decimal id and the sign behind it take one word of this type, with zero bytes between them.
+_WORD, _SIGN_AT = np.dtype("<u8"), 56
 
 Encoder = Callable[[str], list[int]]
 
@@ -80,39 +81,29 @@ def pieces_with_space(model: bytes) -> tuple[Encoder, list[bytes]]:
     return processor.encode, pieces
 
 
-class _Known(dict):
-    """Texts of groups by their ids, made when first asked for; forgotten all at once when there are many.
+def _decimals(size: int) -> np.ndarray:
+    """The decimal digits of every id below ``size``, as words."""
+    if size > 10 ** 7:
+        raise ValueError("a vocabulary has more than ten million ids")
+    return np.frombuffer(b"".join(str(at).encode().ljust(_WORD.itemsize, b"\0") for at in range(size)), _WORD)
 
-    A key is the pair of both sides' ids, or for one id on each side their link; ``links`` has those of the pairs.
-    """
-
-    def __init__(self, make: Callable):
-        super().__init__()
-        self.make, self.links = make, {}
-
-    def __missing__(self, key: int | tuple) -> str:
-        if len(self) >= _KNOWN_GROUPS:
-            self.clear()
-        if isinstance(key, int):
-            text = self[key] = f"{key // SHIFT}|{key % SHIFT}"
-        else:
-            text, self.links[key] = self.make(*key)
-            self[key] = text
-        return text
 
-    def clear(self) -> None:
-        super().clear()
-        self.links.clear()
+def _signs(last: np.ndarray, size: int, sign: str) -> np.ndarray:
+    """A comma behind each id, and ``sign`` behind those before the cuts ``last``."""
+    signs = np.full(size, ord(",") << _SIGN_AT, _WORD)
+    signs[last - 1] = ord(sign) << _SIGN_AT
+    return signs
 
 
 class Aligner:
-    """Groups and links of one text at a time. Groups met before are not worked out again."""
+    """Groups and links of one text at a time, from whole arrays of its ids."""
 
     def __init__(self, a: tuple[Encoder, list[bytes]], b: tuple[Encoder, list[bytes]]):
         (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = a, b
         self.length_a, self.length_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
-        self.known = _Known(self._group)
-        self.recent: dict[str | None, tuple] = {}
+        self.decimal_a, self.decimal_b = _decimals(len(self.bytes_a)), _decimals(len(self.bytes_b))
+        self.known: dict[str | None, tuple] = {}
+        self.known_groups = 0
 
     def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both sides; none where either side does not give the text's own bytes again."""
@@ -123,53 +114,49 @@ class Aligner:
         return (a, b) if same else ([], [])
 
     def align(self, a: list[int], b: list[int]) -> tuple[list[str], np.ndarray]:
-        """Every group in order as ``a1,a2|b1``, and all links as longs, in no order.
+        """Every group in order as ``a1,a2|b1``, and all links as longs."""
+        groups, _, links = self._align(a, b)
+        return groups.split(";") if groups else [], links
 
-        Two dictionaries hold the index after each cumulative end. The ends in both, sorted, cut both id lists.
+    def _align(self, a: list[int], b: list[int]) -> tuple[str, int, np.ndarray]:
+        """The groups joined by semicolons, their number, and the links.
+
+        Both sides' ends are marked on the text's bytes. Each piece between two marks is the overlap of one pair; a mark
+        of both sides ends a group.
         """
+        if not a:
+            return "", 0, np.zeros(0, np.int64)
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        after_a = dict(zip(self.length_a[ids_a].cumsum().tolist(), count(1)))
-        after_b = dict(zip(self.length_b[ids_b].cumsum().tolist(), count(1)))
-        ends = sorted(after_a.keys() & after_b.keys())
-        to_a, to_b = (np.fromiter(map(after.__getitem__, ends), np.int64, len(ends)) for after in (after_a, after_b))
-        from_a, from_b = (np.concatenate(([0], to[:-1])) if len(to) else to for to in (to_a, to_b))
-        # Most groups have one id on each side, which are the group's link; only the others need slices.
-        links = ids_a[from_a] * SHIFT + ids_b[from_b]
-        several = (to_a - from_a > 1) | (to_b - from_b > 1)
-        cuts = [cut[several].tolist() for cut in (from_a, to_a, from_b, to_b)]
-        sliced = [(tuple(a[i:j]), tuple(b[k:m])) for i, j, k, m in zip(*cuts)]
-        keys = links.tolist()
-        for at, key in zip(np.flatnonzero(several).tolist(), sliced):
-            keys[at] = key
-        known = self.known
-        groups, more = list(map(known.__getitem__, keys)), []
-        for key in sliced:
-            # Forgotten in the meantime where the text has very many groups.
-            more += known.links.get(key) or self._group(*key)[1]
-        return groups, np.concatenate([links[~several], np.array(more, np.int64)])
+        ends_a, ends_b = self.length_a[ids_a].cumsum(), self.length_b[ids_b].cumsum()
+        marks = np.zeros(ends_a[-1] + 1, np.int8)
+        marks[ends_a] = 1
+        marks[ends_b] += 2
+        marks = marks[marks > 0]
+        of_a, of_b = marks & 1, marks >> 1
+        at_a, at_b = of_a.cumsum(dtype=np.int64) - of_a, of_b.cumsum(dtype=np.int64) - of_b
+        links = ids_a[at_a] * SHIFT + ids_b[at_b]
+        both = marks == 3
+        to_a, to_b = at_a[both] + 1, at_b[both] + 1
+        size_a, size_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        # An id of A stands behind the ids of B of earlier groups, one of B behind the ids of A up to its own group.
+        words = np.empty(len(a) + len(b), _WORD)
+        words[np.arange(len(a)) + np.repeat(to_b - size_b, size_a)] = self.decimal_a[ids_a] | _signs(to_a, len(a), "|")
+        words[np.arange(len(b)) + np.repeat(to_a, size_b)] = self.decimal_b[ids_b] | _signs(to_b, len(b), ";")
+        return words.tobytes().translate(None, b"\0")[:-1].decode(), len(to_a), links
 
     def measures(self, text: str | None) -> tuple:
         """n_a, n_b, n_groups, n_links, groups, pairs and times of a text; those of recent short texts are kept for copies."""
-        found = self.recent.get(text)
+        found = self.known.get(text)
         if found is None:
             a, b = self.tokens(text)
-            groups, links = self.align(a, b)
-            found = (len(a), len(b), len(groups), len(links), ";".join(groups), *np.unique(links, return_counts=True))
-            if text is None or len(text) <= _RECENT_CHARS:
-                if len(self.recent) >= _RECENT:
-                    self.recent.pop(next(iter(self.recent)))
-                self.recent[text] = found
+            groups, n, links = self._align(a, b)
+            found = (len(a), len(b), n, len(links), groups, *np.unique(links, return_counts=True))
+            if text is None or len(text) <= _KNOWN_CHARS:
+                self.known[text], self.known_groups = found, self.known_groups + n + 1
+                while self.known and self.known_groups > _KNOWN_GROUPS:
+                    self.known_groups -= self.known.pop(next(iter(self.known)))[2] + 1
         return found
 
-    def _group(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
-        """Text of a group, and its links: each piece between two ends of either side is one pair's overlap."""
-        ends_a, ends_b = ([*accumulate(len(t[i]) for i in ids)] for t, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-        links, i, j = [], 0, 0
-        while i < len(a):
-            links.append(a[i] * SHIFT + b[j])
-            i, j = i + (ends_a[i] <= ends_b[j]), j + (ends_b[j] <= ends_a[i])
-        return f"{','.join(map(str, a))}|{','.join(map(str, b))}", links
-
 
 def with_alignment(docs: DataFrame, text: str = "text", folder: str = TOKENIZERS) -> DataFrame:
     """``docs`` with n_a, n_b, n_groups, n_links, ``groups`` (``a1,a2|b1;a3|b2``), ``pairs`` and ``times``.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter
 from functools import lru_cache
 from pathlib import Path
@@ -81,6 +82,35 @@ def test_forgotten_groups_are_made_again(aligner, monkeypatch):
     assert whole[0] == again[0] and sorted(whole[1]) == sorted(again[1])
 
 
+@pytest.mark.parametrize("most", [0, 40, 10 ** 6])
+def test_results_kept_for_copies(aligner, monkeypatch, most):
+    monkeypatch.setattr(alignment, "_KNOWN_GROUPS", most)
+    texts = ["one two", "Straßenköter, naïve", None, "one two", "", "\u6771\u4eac 12345", "x" * 9000, "one two"]
+    own = alignment.Aligner((aligner.encode_a, aligner.bytes_a), (aligner.encode_b, aligner.bytes_b))
+    for text in texts * 2:
+        a, b, groups, links = plain(text, aligner)
+        counts = sorted(Counter(x * alignment.SHIFT + y for x, y in links).items())
+        n_a, n_b, n_groups, n_links, joined, pairs, times = own.measures(text)
+        assert (n_a, n_b, n_groups, n_links, joined) == (len(a), len(b), len(groups), len(links), ";".join(groups))
+        assert list(zip(pairs.tolist(), times.tolist())) == counts
+        assert own.known_groups == sum(kept[2] + 1 for kept in own.known.values()) <= most
+
+
+def test_aligning_takes_less_than_half_of_encoding(aligner):
+    # It took 0.8 of it when groups were looked up one by one.
+    spent = {"tokens": [], "align": []}
+    texts = [f"The {k}th of many words, naïve Straßenköter and {k * 7919} others: it's {k} " * 60 for k in range(60)]
+    for _ in range(5):
+        start = time.process_time()
+        found = [aligner.tokens(text) for text in texts]
+        spent["tokens"].append(time.process_time() - start)
+        start = time.process_time()
+        for a, b in found:
+            aligner.align(a, b)
+        spent["align"].append(time.process_time() - start)
+    assert min(spent["align"]) < 0.5 * min(spent["tokens"]), spent
+
+
 @settings(max_examples=500, deadline=None)
 @given(text=st.text(max_size=60) | st.text("a '\u0085\u00a0\u180e\u200b\u3000\t\n\r1é²ⅷ་\u0301_s", max_size=40))
 def test_ids_are_those_of_the_vocabulary_file(aligner, text):
