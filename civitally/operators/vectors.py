@@ -25,6 +25,8 @@ _RESULT = "query_block long, query_id long, vec_id long, distance double"
 _SLACK = 1e-9
 #: Differences of two vectors that are held at once, and tasks at most for which lots are dealt out.
 _AT_ONCE, _TASKS = 2 ** 20, 4096
+#: Distances by products worked out at once.
+_NEAR = 2 ** 18
 
 
 def nearest_rows(
@@ -272,40 +274,52 @@ class _Nearest:
     def __init__(self, block: int, ids: np.ndarray, points: np.ndarray, k: int):
         self.block, self.ids, self.points, self.k = block, ids, points, k
         self.lengths = _lengths(points)
+        with np.errstate(all="ignore"):
+            # Beside -2 x stand |x|^2 and 1, so that one product with y, 1 and |y|^2 is a distance.
+            self.left = np.column_stack([-2 * points, self.lengths, np.ones(len(ids))])
         self.query, self.keys = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.gaps, self.bound = np.zeros(0), np.full(len(ids), np.inf)
 
     def meet(self, keys: np.ndarray, rows: np.ndarray, lengths: np.ndarray) -> None:
+        """All rows of a block, so many at a time that their distances stay near the processor."""
+        step = max(1, _NEAR // len(self.ids))
+        for at in range(0, len(keys), step):
+            self._meet(keys[at:at + step], rows[at:at + step], lengths[at:at + step])
+
+    def _meet(self, keys: np.ndarray, rows: np.ndarray, lengths: np.ndarray) -> None:
         """Rows whose distance by products cannot be under the bound, whatever was rounded, are not measured.
 
         A query for which many are left is held to the k-th of the distances by products. What overflows is measured.
         """
         with np.errstate(all="ignore"):
-            rough = self.points @ (-2 * rows.T)
-            rough += self.lengths[:, None]
-            rough += lengths
+            rough = self.left @ np.column_stack([rows, np.ones(len(keys)), lengths]).T
             wrong = 8 * (rows.shape[1] + 8) * np.finfo(float).eps * (self.lengths + lengths.max()) + 1e-290
             near = ~(rough > (self.bound + wrong)[:, None])
-            many = np.flatnonzero(near.sum(axis=1) > 4 * self.k + 16)
+            query, row = np.divmod(np.flatnonzero(near), len(keys))
+            many = np.flatnonzero(np.bincount(query, minlength=len(self.ids)) > 4 * self.k + 16)
             if len(many) and len(keys) > self.k:
                 least = np.partition(rough[many], self.k - 1, axis=1)[:, self.k - 1]
                 near[many] &= ~(rough[many] > (least + 2 * wrong[many])[:, None])
-        query, row = np.nonzero(near)
+                query, row = np.divmod(np.flatnonzero(near), len(keys))
         step = max(1, _AT_ONCE // max(rows.shape[1], 1))
         for at in range(0, len(query), step):
             q, r = query[at:at + step], row[at:at + step]
             self._keep(q, keys[r], _gaps(self.points[q], rows[r]))
 
     def _keep(self, query: np.ndarray, keys: np.ndarray, gaps: np.ndarray) -> None:
+        """The rows under the bound go among those of their queries, of which the k best stay."""
         under = gaps <= self.bound[query]
-        query, keys, gaps = (np.concatenate(both) for both in (
-            (self.query, query[under]), (self.keys, keys[under]), (self.gaps, gaps[under])))
+        touched = np.zeros(len(self.ids), bool)
+        touched[query[under]] = True
+        own = touched[self.query]
+        held = self.query, self.keys, self.gaps
+        query, keys, gaps = (np.concatenate((old[own], new[under])) for old, new in zip(held, (query, keys, gaps)))
         order = np.lexsort((keys, gaps, query))
         query, keys, gaps = query[order], keys[order], gaps[order]
         rank = np.arange(len(query)) - np.searchsorted(query, query)
-        best = rank < self.k
-        self.query, self.keys, self.gaps = query[best], keys[best], gaps[best]
-        full = rank == self.k - 1
+        best, full = rank < self.k, rank == self.k - 1
+        self.query, self.keys, self.gaps = (
+            np.concatenate((old[~own], new[best])) for old, new in zip(held, (query, keys, gaps)))
         self.bound[query[full]] = gaps[full]
 
     def found(self) -> pd.DataFrame:
