@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civitally.session import cut_lineage, shared_table
 
 from .registry import query, table
+from .rows import small_batches
 
 TOKENIZERS = "/opt/tokenizers"
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -27,8 +29,8 @@ BROADCAST_PAIRS = 1_000_000
 SALTS = 32
 #: Groups in the results that a worker keeps for copies of a text that come soon, and documents put into one batch of results.
 _KNOWN_GROUPS, _BATCH = 2_000_000, 128
-#: Characters of a text whose result is kept, at most.
-_KNOWN_CHARS = 8_000
+#: Characters of a text whose result is kept, at most, and bytes of all that is kept.
+_KNOWN_CHARS, _KNOWN_BYTES = 8_000, 64_000_000
 #: A decimal id and the sign behind it take one word of this type, with zero bytes between them.
 _WORD, _SIGN_AT = np.dtype("<u8"), 56
 
@@ -102,8 +104,9 @@ class Aligner:
         (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = a, b
         self.length_a, self.length_b = (np.array([len(t) for t in side]) for side in (self.bytes_a, self.bytes_b))
         self.decimal_a, self.decimal_b = _decimals(len(self.bytes_a)), _decimals(len(self.bytes_b))
+        # The result of a text, and the bytes that it is kept in.
         self.known: dict[str | None, tuple] = {}
-        self.known_groups = 0
+        self.known_groups = self.known_bytes = 0
 
     def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both sides; none where either side does not give the text's own bytes again."""
@@ -146,15 +149,20 @@ class Aligner:
 
     def measures(self, text: str | None) -> tuple:
         """n_a, n_b, n_groups, n_links, groups, pairs and times of a text; those of recent short texts are kept for copies."""
-        found = self.known.get(text)
-        if found is None:
-            a, b = self.tokens(text)
-            groups, n, links = self._align(a, b)
-            found = (len(a), len(b), n, len(links), groups, *np.unique(links, return_counts=True))
-            if text is None or len(text) <= _KNOWN_CHARS:
-                self.known[text], self.known_groups = found, self.known_groups + n + 1
-                while self.known and self.known_groups > _KNOWN_GROUPS:
-                    self.known_groups -= self.known.pop(next(iter(self.known)))[2] + 1
+        kept = self.known.get(text)
+        if kept is not None:
+            return kept[:-1]
+        a, b = self.tokens(text)
+        groups, n, links = self._align(a, b)
+        found = (len(a), len(b), n, len(links), groups, *np.unique(links, return_counts=True))
+        if text is None or len(text) <= _KNOWN_CHARS:
+            # A text without tokens has no groups, but takes room.
+            room = sum(map(getsizeof, (text, found, *found)))
+            self.known[text] = (*found, room)
+            self.known_groups, self.known_bytes = self.known_groups + n + 1, self.known_bytes + room
+            while self.known and (self.known_groups > _KNOWN_GROUPS or self.known_bytes > _KNOWN_BYTES):
+                old = self.known.pop(next(iter(self.known)))
+                self.known_groups, self.known_bytes = self.known_groups - old[2] - 1, self.known_bytes - old[-1]
         return found
 
 
@@ -170,7 +178,8 @@ def with_alignment(docs: DataFrame, text: str = "text", folder: str = TOKENIZERS
         "groups", "string").add("pairs", T.ArrayType(T.LongType())).add("times", T.ArrayType(T.LongType()))
     kept = [c for c in docs.columns if c not in new.names]
     held = [f"__{k}" for k in range(len(kept))]
-    given = docs.select(*(F.col(f"`{c}`").alias(h) for c, h in zip(kept, held)), F.col(f"`{text}`").alias("__text"))
+    given = small_batches(docs).select(
+        *(F.col(f"`{c}`").alias(h) for c, h in zip(kept, held)), F.col(f"`{text}`").alias("__text"))
     schema = T.StructType([*given.select(*held).schema.fields, *new.fields])
     json, model = (Path(folder, name).read_bytes() for name in (BYTE_LEVEL, PIECES))
 
@@ -194,12 +203,13 @@ def with_alignment(docs: DataFrame, text: str = "text", folder: str = TOKENIZERS
 def pair_counts(aligned: DataFrame, pairs: str = "pairs") -> DataFrame:
     """Per linked id pair: ``documents`` that hold it, and ``best``: no pair of its A id is in more.
 
-    Documents hold a pair once, so rows are counted, in the tasks that read them first.
+    Documents hold a pair once, so rows are counted, in the tasks that read them first. An A id has no more pairs than
+    B has ids. The counts are written once, with their marks: every file written is a process that the executor starts
+    to set its permissions.
     """
-    counts = cut_lineage(aligned.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("documents")))
-    most = counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("documents").alias("most"))
-    joined = counts.withColumn("a", F.shiftright("pair", 32)).join(most, "a")
-    return cut_lineage(joined.select("pair", "documents", (F.col("documents") == F.col("most")).alias("best")))
+    counts = aligned.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("documents"))
+    most = F.max("documents").over(Window.partitionBy(F.shiftright("pair", 32)))
+    return cut_lineage(counts.select("pair", "documents", (F.col("documents") == most).alias("best")))
 
 
 def link_measures(aligned: DataFrame, counts: DataFrame, row: str, most: int = BROADCAST_PAIRS) -> DataFrame:

@@ -7,12 +7,15 @@ import time
 from collections import Counter
 from functools import lru_cache
 from pathlib import Path
+from sys import getsizeof
+from urllib.parse import urlparse
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from civitally.llm import alignment
+from civitally.session import shared_dir
 
 SF_DIR = "/root/testdata/sf0.001"
 NEW = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -96,6 +99,16 @@ def test_results_kept_for_copies(aligner, monkeypatch, most):
         assert own.known_groups == sum(kept[2] + 1 for kept in own.known.values()) <= most
 
 
+def test_kept_results_take_bounded_room():
+    # Texts that are not given back have no groups; all of them were kept, 96 MB here.
+    own = alignment.Aligner((lambda text: [], [b"a"]), (lambda text: [], [b"b"]))
+    for k in range(3_000):
+        text = chr(0x1F600 + k) * 8_000
+        assert own.measures(text)[:5] == own.measures(text)[:5] == (0, 0, 0, 0, "")
+    assert 0 < sum(map(getsizeof, own.known)) <= 64_000_000
+    assert own.known_bytes == sum(kept[-1] for kept in own.known.values()) <= 64_000_000
+
+
 def test_aligning_takes_less_than_half_of_encoding(aligner):
     # It took 0.8 of it when groups were looked up one by one.
     spent = {"tokens": [], "align": []}
@@ -148,6 +161,18 @@ def test_odd_rows_by_both_joins(spark, aligner, most):
     assert sorted(map(tuple, found), key=str) == sorted(corpus(ODD, aligner), key=str)
 
 
+def test_counts_are_written_once(spark):
+    # They were written before and after their marks, in as many files again.
+    rows = [[1, 2 ** 32 + 1, 2 ** 32 + 2], [1, 2, 2 ** 32 + 1], [1, 2 ** 32 + 2], []]
+    docs = spark.createDataFrame([(r,) for r in rows], "pairs array<long>").repartition(3)
+    folder = Path(urlparse(shared_dir(spark)).path)
+    before = set(folder.rglob("rdd-*"))
+    found = alignment.pair_counts(docs)
+    assert len(set(folder.rglob("rdd-*")) - before) == 1
+    assert sorted(map(tuple, found.collect())) == [
+        (1, 3, True), (2, 1, False), (2 ** 32 + 1, 2, True), (2 ** 32 + 2, 2, True)]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.align_corpus(docs).collect() == []
