@@ -27,8 +27,10 @@ SHIFT = 2 ** 32
 BROADCAST_PAIRS = 1_000_000
 #: Copies of each pair in that shuffle, so that the rows of a pair all documents hold go to many tasks.
 SALTS = 32
-#: Groups in the results that a worker keeps for copies of a text that come soon, and documents put into one batch of results.
-_KNOWN_GROUPS, _BATCH = 2_000_000, 128
+#: Groups in the results that a worker keeps for copies of a text that come soon.
+_KNOWN_GROUPS = 2_000_000
+#: Documents put into one batch of results; characters that end one.
+_BATCH, _BATCH_CHARS = 128, 1_000_000
 #: Characters of a text whose result is kept, at most, and bytes of all that is kept.
 _KNOWN_CHARS, _KNOWN_BYTES = 8_000, 64_000_000
 #: A decimal id and the sign behind it take one word of this type, with zero bytes between them.
@@ -183,19 +185,25 @@ def with_alignment(docs: DataFrame, text: str = "text", folder: str = TOKENIZERS
     schema = T.StructType([*given.select(*held).schema.fields, *new.fields])
     json, model = (Path(folder, name).read_bytes() for name in (BYTE_LEVEL, PIECES))
 
+    def results(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:4]]
+        sizes = pa.array(np.cumsum([0, *(len(r[5]) for r in rows)]), pa.int32())
+        lists = [pa.ListArray.from_arrays(sizes, pa.array(np.concatenate([r[k] for r in rows]), pa.int64())) for k in (5, 6)]
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(i) for i in range(len(kept))), *columns, pa.array([r[4] for r in rows], pa.string()), *lists],
+            names=schema.names)
+
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_level(json), pieces_with_space(model))
         for whole in batches:
-            for start in range(0, whole.num_rows, _BATCH):
-                batch = whole.slice(start, _BATCH)
-                rows = [aligner.measures(text) for text in batch.column("__text").to_pylist()]
-                columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:4]]
-                sizes = pa.array(np.cumsum([0, *(len(r[5]) for r in rows)]), pa.int32())
-                lists = [pa.ListArray.from_arrays(sizes, pa.array(np.concatenate([r[k] for r in rows]), pa.int64()))
-                         for k in (5, 6)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i) for i in range(len(kept))), *columns, pa.array([r[4] for r in rows], pa.string()),
-                     *lists], names=schema.names)
+            texts, rows, chars = whole.column("__text"), [], 0
+            for at in range(whole.num_rows):
+                text = texts[at].as_py()
+                rows.append(aligner.measures(text))
+                chars += len(text or "")
+                if len(rows) == _BATCH or chars >= _BATCH_CHARS or at + 1 == whole.num_rows:
+                    yield results(whole.slice(at + 1 - len(rows), len(rows)), rows)
+                    rows, chars = [], 0
 
     return given.mapInArrow(align, schema).withColumnsRenamed(dict(zip(held, kept)))
 

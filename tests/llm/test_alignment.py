@@ -10,6 +10,7 @@ from pathlib import Path
 from sys import getsizeof
 from urllib.parse import urlparse
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -161,6 +162,21 @@ def test_odd_rows_by_both_joins(spark, aligner, most):
     assert sorted(map(tuple, found), key=str) == sorted(corpus(ODD, aligner), key=str)
 
 
+def test_long_texts_share_no_batch_of_results(spark, monkeypatch):
+    # All twelve went into one batch of results, as up to 128 texts did whatever their length.
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    sent, send = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, step, *rest: (sent.append(step), send(self, step, *rest))[1])
+    alignment.with_alignment(docs)
+    texts = [None, "", *(f"{k} " * 200_000 for k in range(12)), *["short one"] * 130, None]
+    batch = pa.RecordBatch.from_pydict({"__0": list(range(len(texts))), "__1": texts, "__text": texts})
+    found = list(sent[0](iter([batch.slice(0, 0), batch])))
+    assert max(len("".join(t or "" for t in b.column("__1").to_pylist()[:-1])) for b in found) < 1_000_000
+    assert [i for b in found for i in b.column("__0").to_pylist()] == list(range(len(texts)))
+    assert [n > 0 for b in found for n in b.column("n_a").to_pylist()] == [bool(t) for t in texts]
+    assert all(b.num_rows <= 128 for b in found) and len(found) <= 8
+
+
 def test_counts_are_written_once(spark):
     # They were written before and after their marks, in as many files again.
     rows = [[1, 2 ** 32 + 1, 2 ** 32 + 2], [1, 2, 2 ** 32 + 1], [1, 2 ** 32 + 2], []]
